@@ -1,0 +1 @@
+"""No streaming operators: small-area estimation here works on bounded survey and census tables."""
