@@ -29,49 +29,67 @@ class EblupFit:
     iterations: int
 
 
-def fh_eblup(areas: DataFrame, y: str, psi: str, xs: Sequence[str | Column], sigma2: float | None = None, tol: float = 1e-10, max_iter: int = 100) -> EblupFit:
-    """Area variance by REML Fisher scoring (or fixed) and the GLS coefficients.
+def _reml_sums(fit: DataFrame, cols: Sequence[Column], grid: Sequence[float]) -> list[dict]:
+    """GLS coefficients, restricted log-likelihood and its score at every variance of the grid; one job."""
+    p, y = len(cols), F.col("__y")
+    tall = fit.select("*", F.posexplode(F.array(*[F.lit(float(g)) for g in grid])).alias("__g", "__s2"))
+    w = 1 / (F.col("__s2") + F.col("__psi"))
+    tall = tall.withColumn("__w", w)
+    w = F.col("__w")
+    rows = (
+        tall.groupBy("__g")
+        .agg(
+            *cross_sums(cols, "a", w),
+            *cross_sums(cols, "b", w * w),
+            *vector_sums(cols, y, "u", w),
+            *vector_sums(cols, y, "v", w * w),
+            F.sum(w * y * y).alias("yy1"),
+            F.sum(w * w * y * y).alias("yy2"),
+            F.sum(w).alias("w1"),
+            F.sum(w * w).alias("w2"),
+            F.sum(F.log(w)).alias("lw"),
+        )
+        .collect()
+    )
+    out: list[dict] = [{}] * len(grid)
+    for r in rows:
+        d = r.asDict()
+        a, b, u = read_matrix(d, "a", p), read_matrix(d, "b", p), read_vector(d, "u", p)
+        ai = np.linalg.inv(a)
+        beta = ai @ u
+        score = -0.5 * (d["w1"] - np.trace(ai @ b)) + 0.5 * (d["yy2"] - 2 * beta @ read_vector(d, "v", p) + beta @ b @ beta)
+        ll = 0.5 * d["lw"] - 0.5 * np.linalg.slogdet(a)[1] - 0.5 * (d["yy1"] - u @ beta)
+        out[d["__g"]] = {"s2": float(grid[d["__g"]]), "beta": beta, "cov": ai, "score": float(score), "ll": float(ll), "w2": d["w2"]}
+    return out
+
+
+def fh_eblup(areas: DataFrame, y: str, psi: str, xs: Sequence[str | Column], sigma2: float | None = None, points: int = 31, rounds: int = 4) -> EblupFit:
+    """Area variance by REML (or fixed) and the GLS coefficients.
 
-    Each scoring step is one aggregate of the weighted cross-products at the current variance.
+    The restricted score is evaluated on a whole grid of variances per job; the grid narrows around the best
+    point and the root of the score is interpolated in the last one.  Zero is a candidate.
     """
     p = len(xs)
     check_width(p)
     names = [f"__x{i}" for i in range(p)]
     fit = areas.select(F.col(y).cast("double").alias("__y"), F.col(psi).cast("double").alias("__psi"), *[c.alias(n) for n, c in zip(names, double_columns(xs))])
     fit = fit.filter("__y IS NOT NULL AND __psi IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
-    cols, yc = [F.col(n) for n in names], F.col("__y")
+    cols, jobs = [F.col(n) for n in names], 0
     try:
-        s2, it = sigma2, 0
-        if s2 is None:
-            start = fit.agg(F.var_samp("__y").alias("v"), F.avg("__psi").alias("m")).first()
-            s2 = max((start["v"] or 0.0) - start["m"], start["m"] * 0.1)
-        while True:
-            w = 1 / (F.lit(float(s2)) + F.col("__psi"))
-            row = fit.agg(
-                *cross_sums(cols, "a", w),
-                *cross_sums(cols, "b", w * w),
-                *cross_sums(cols, "c", w * w * w),
-                *vector_sums(cols, yc, "u", w),
-                *vector_sums(cols, yc, "v", w * w),
-                F.sum(w * w * yc * yc).alias("yy2"),
-                F.sum(w).alias("w1"),
-                F.sum(w * w).alias("w2"),
-            ).first().asDict()
-            a, b, c = (read_matrix(row, k, p) for k in "abc")
-            ai = np.linalg.inv(a)
-            beta = ai @ read_vector(row, "u", p)
-            if sigma2 is not None:
-                break
-            aib = ai @ b
-            score = -0.5 * (row["w1"] - np.trace(aib)) + 0.5 * (row["yy2"] - 2 * beta @ read_vector(row, "v", p) + beta @ b @ beta)
-            info = 0.5 * (row["w2"] - 2 * np.trace(ai @ c) + np.trace(aib @ aib))
-            new = max(s2 + score / info, 0.0)
-            it += 1
-            done = abs(new - s2) <= tol * (s2 + 1e-12) or it >= max_iter
-            if done:
-                break
-            s2 = new
-        return EblupFit(beta, ai, float(s2), 2.0 / row["w2"], it)
+        if sigma2 is None:
+            grid = np.concatenate([[0.0], variance_grid(fit, "__y", "__psi", points)])
+            for jobs in range(1, rounds + 1):
+                e = _reml_sums(fit, cols, grid)
+                k = max(range(len(e)), key=lambda i: e[i]["ll"])
+                lo, hi = max(k - 1, 0), min(k + 1, len(e) - 1)
+                grid = np.linspace(e[lo]["s2"], e[hi]["s2"], points)
+            sigma2 = e[k]["s2"]
+            for i in range(lo, hi):
+                s0, s1 = e[i]["score"], e[i + 1]["score"]
+                if s0 > 0 >= s1:
+                    sigma2 = e[i]["s2"] + (e[i + 1]["s2"] - e[i]["s2"]) * s0 / (s0 - s1)
+        r = _reml_sums(fit, cols, [sigma2])[0]
+        return EblupFit(r["beta"], r["cov"], float(sigma2), 2.0 / r["w2"], jobs)
     finally:
         fit.unpersist()
 

@@ -19,7 +19,7 @@ from arealis.functions.numeric import hermite_nodes
 from arealis.functions.quadrature import beta_logit, integrate_groups, multinomial
 from arealis.operators.area import GridFit, log_prior
 from arealis.operators.glm import log_weights
-from arealis.operators.linalg import check_width, double_columns
+from arealis.operators.linalg import check_width, double_columns, sum_vectors
 
 CHUNK = 40_000  # area x grid points integrated at once in a task
 
@@ -56,11 +56,12 @@ def _newton_sums(fit: DataFrame, kind: str, beta: np.ndarray, s2: np.ndarray, no
             )
             total += np.concatenate([r["ll"].reshape(G, B, 1), r["grad"].reshape(G, B, p), r["hess"].reshape(G, B, p * p)], axis=2).sum(axis=1)
         if any_rows:
-            yield pd.DataFrame({"g": np.arange(G), **{f"s{k}": total[:, k] for k in range(width)}})
+            yield pd.DataFrame({"g": np.arange(G), "v": list(total)})
 
-    schema = "g int, " + ", ".join(f"s{k} double" for k in range(width))
-    rows = fit.mapInPandas(task, schema).groupBy("g").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(width)]).collect()
-    return {r["g"]: np.array([r[f"s{k}"] for k in range(width)]) for r in rows}
+    out = {g: np.zeros(width) for g in range(G)}
+    for r in sum_vectors(fit.mapInPandas(task, "g int, v array<double>"), ["g"]).collect():
+        out[r["g"]][r["pos"]] = r["s"]
+    return out
 
 
 def _fit_table(areas: DataFrame, y: str, n: str, xs: Sequence[str | Column], keep: Sequence[str] = ()) -> DataFrame:
@@ -77,12 +78,14 @@ def fh_logit_fit(
     usable = (F.col("__n") > 0) & F.col("__y").isNotNull()
     if kind == "beta":
         usable = usable & (F.col("__y") > 0) & (F.col("__y") < 1)
-    fit = fit.filter(usable).persist(StorageLevel.MEMORY_AND_DISK)
+    # integrals are heavy and rows light: spread them over every core, whatever size adaptive execution chose
+    fit = fit.filter(usable).repartition(areas.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
     G = len(s2)
     beta, cov, ll = np.zeros((G, p)), np.zeros((G, p, p)), np.zeros(G)
     live = np.ones(G, dtype=bool)
+    prior_part = log_prior(s2, prior) + np.log(s2)
     try:
-        for _ in range(max_iter):
+        for it in range(max_iter):
             idx = np.flatnonzero(live)
             sums = _newton_sums(fit, kind, beta[idx], s2[idx], nodes)
             for pos, g in enumerate(idx):
@@ -100,13 +103,17 @@ def fh_logit_fit(
                 if size < tol * (1 + np.abs(beta[g]).max()):
                     live[g] = False
                 beta[g] = beta[g] + step * min(1.0, 2.0 / max(size, 1e-300))
+            if it >= 3:
+                # points more than e^-50 below the best have no weight at double precision
+                height = ll + 0.5 * np.linalg.slogdet(cov)[1] + prior_part
+                live &= height > height.max() - 50
             if not live.any():
                 break
     finally:
         fit.unpersist()
     logdet = np.array([np.linalg.slogdet(c)[1] for c in cov])
     steps = np.gradient(np.log(s2)) if G > 1 else np.ones(1)
-    logp = ll + 0.5 * logdet + log_prior(s2, prior) + np.log(s2) + np.log(steps)
+    logp = ll + 0.5 * logdet + prior_part + np.log(steps)
     return GridFit(s2, log_weights(logp), beta, cov, kind)
 
 

@@ -91,3 +91,12 @@ def least_squares(df: DataFrame, y: str | Column, xs: Sequence[str | Column], re
     n = row["n"]
     s2 = rss / (n - p) if n > p else float("nan")
     return {"beta": beta, "xtx": xtx, "xty": xty, "yty": row["yy"], "n": n, "rss": rss, "s2": s2, "inv": inv, "cov": s2 * inv}
+
+
+def sum_vectors(df: DataFrame, keys: Sequence[str], vector: str = "v") -> DataFrame:
+    """Element-wise sum of an array column per group: rows (keys, pos, s).
+
+    For partial sums that tasks have already reduced.  Hundreds of sum columns in one aggregate would cost
+    seconds of code generation per job; one keyed sum does not.
+    """
+    return df.select(*keys, F.posexplode(vector).alias("pos", "__v")).groupBy(*keys, "pos").agg(F.sum("__v").alias("s"))

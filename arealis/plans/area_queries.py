@@ -12,6 +12,7 @@ from arealis.operators.joins import with_covariates_keep
 from arealis.plans import fixtures as fx
 from arealis.plans.registry import query, rounded
 from arealis.plans.survey_queries import smoothed
+from arealis.session import materialise
 
 NAMES = ["(Intercept)", "x"]
 
@@ -25,7 +26,7 @@ def areas(spark, d):
     s = fx.survey(spark, d).filter("l_partkey % 10 <> 3").groupBy("segm").agg(F.avg("pobreza").alias("y"), F.count(F.lit(1)).alias("nd"))
     s = s.withColumns({"psi": (F.col("y") * (1 - F.col("y")) + 0.01) / F.col("nd"), "n_eff": F.col("nd") / 1.3})
     cov = fx.covariates(spark, d).select("segm", (F.col("p_size") / 50.0).alias("x"))
-    return with_covariates_keep(cov, s, "segm")
+    return materialise(with_covariates_keep(cov, s, "segm"))
 
 
 AREAS = """areas AS (SELECT segm, p_size/50.0 AS x, y, psi, nd, nd/1.3 AS n_eff FROM covariates LEFT JOIN
@@ -156,7 +157,7 @@ def area_poverty_map(spark, d):
 
     base = smoothed(spark, d).select("segm", "pobreza", "n_eff_FGV")
     cov = fx.covariates(spark, d).select("segm", (F.col("p_size") / 50.0).alias("x"))
-    joined = cov.join(base, "segm", "left")
+    joined = materialise(cov.join(base, "segm", "left"))
     _, pred = al.fh_binomial(dm.effective_counts(joined).select("segm", "x", "pobreza", "y_effect", "n_effec"), "y_effect", "n_effec", terms(), points=30)
     out = ar.prediction_cv(pred).withColumn("class", classify("theta", [0, 0.05, 0.1, 0.2, 0.4, 1]))
     return rounded(out.select("segm", "pobreza", "observed", "theta", "theta_sd", "Cv_pred", "class"), 5)

@@ -467,14 +467,10 @@ def flatten_entities_persons(spark, d):
 
 @query(
     "order_by_two_keys",
-    fx.ctes("survey") + "SELECT segm, n, CAST(y AS BIGINT) AS y, row_number() OVER (ORDER BY n DESC, y DESC, segm) AS place FROM (SELECT segm, count(*) AS n, sum(pobreza) AS y FROM survey GROUP BY segm) ORDER BY place LIMIT 50",
+    fx.ctes("survey") + "SELECT segm, count(*) AS n, CAST(sum(pobreza) AS BIGINT) AS y FROM survey GROUP BY segm ORDER BY n DESC, y DESC, segm LIMIT 50",
 )
 def order_by_two_keys(spark, d):
-    c = ce.top_k(sv.unweighted_counts(fx.survey(spark, d), "pobreza", ["segm"]), 50, "n", "y", ties=["segm"])
-    ranked = c.withColumn("v", F.array_sort(F.array(F.struct("n", "y", "segm"))))
-    place = ranked.groupBy().agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), (-F.col("y")).alias("y"), "segm"))).alias("l"))
-    out = place.select(F.posexplode("l").alias("i", "s"))
-    return out.select("s.segm", (-F.col("s.n")).alias("n"), (-F.col("s.y")).alias("y"), (F.col("i") + 1).cast("bigint").alias("place"))
+    return ce.top_k(sv.unweighted_counts(fx.survey(spark, d), "pobreza", ["segm"]), 50, "n", "y", ties=["segm"])
 
 
 @query("top_k", fx.ctes("census") + "SELECT cell_id, n FROM census ORDER BY n DESC, cell_id LIMIT 10")

@@ -177,7 +177,7 @@ FROM (SELECT *, {uniform_sql('theta1', 'cell_id')} AS u1, {uniform_sql('theta2',
 def epred(spark: SparkSession, d: str, draws: int, cells: DataFrame | None = None) -> DataFrame:
     """Expected value per draw and cell, a keyed uniform."""
     c = census(spark, d) if cells is None else cells
-    return c.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("value", uniform("epred", "draw", "cell_id"))
+    return c.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)).cast("array<bigint>"))).withColumn("value", uniform("epred", "draw", "cell_id"))
 
 
 def epred_sql(draws: int, source: str = "census") -> str:

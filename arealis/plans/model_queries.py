@@ -279,7 +279,7 @@ REP_AREAS = f"ap AS (SELECT segm, count(*) AS n, avg(pobreza) AS p FROM survey G
 
 def _replicated_areas(spark, d):
     a = fx.survey(spark, d).groupBy("segm").agg(F.count(F.lit(1)).alias("n"), F.avg("pobreza").alias("p"))
-    return a.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(REP_DRAWS))))
+    return a.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(REP_DRAWS)).cast("array<bigint>")))
 
 
 @query(
@@ -371,7 +371,7 @@ def trace_table(spark, d):
     "chain_density",
     DRAWS
     + """, h AS (SELECT variable, chain, CAST(least(floor(value/0.05),19) AS BIGINT) AS bin, count(*) AS n FROM draws WHERE value BETWEEN 0 AND 1 GROUP BY ALL)
-SELECT variable, chain, bin, round(bin*0.05,6) AS lower, n, round(n/(sum(n) OVER (PARTITION BY variable, chain)*0.05),6) AS density FROM h""",
+SELECT variable, chain, bin, round(CAST(bin*0.05 AS DOUBLE),6) AS lower, n, round(n/(sum(n) OVER (PARTITION BY variable, chain)*0.05),6) AS density FROM h""",
 )
 def chain_density(spark, d):
     return rounded(dr.chain_density(fx.draws_table(spark, d), 20, 0.0, 1.0))
@@ -516,11 +516,11 @@ IPM = fx.ctes("census", extra=fx.epred_sql(IPM_DRAWS) + ", ip AS (SELECT *, " +
 @query(
     "multidim_poverty_draws",
     IPM
-    + f", r AS (SELECT mpio, draw, sum(n*CAST({'+'.join(LIGHT)}+2*({'+'.join(HEAVY)})>4 AS INT))/sum(n) AS v FROM ip GROUP BY mpio, draw) SELECT mpio, round(avg(v),6) AS mrp_estimate, round(stddev_samp(v),6) AS mrp_estimate_se FROM r GROUP BY mpio",
+    + f", r AS (SELECT mpio, draw, sum(n*CAST({'+'.join(LIGHT)}+2*({'+'.join(HEAVY)})>4 AS INT))/sum(n) AS v FROM ip GROUP BY mpio, draw) SELECT mpio, round(avg(v),8) AS mrp_estimate, round(stddev_samp(v),8) AS mrp_estimate_se FROM r GROUP BY mpio",
 )
 def multidim_poverty_draws(spark, d):
     e = _dimension_draws(spark, d).withColumn("value", mrp.multidim_poverty(LIGHT, HEAVY))
-    return rounded(mrp.mrp_estimate(e, ["mpio"]))
+    return rounded(mrp.mrp_estimate(e, ["mpio"]), 8)
 
 
 @query(
@@ -530,8 +530,8 @@ def multidim_poverty_draws(spark, d):
     + ", ".join(fx.INDICATORS)
     + " FROM ip) ON "
     + ", ".join(fx.INDICATORS)
-    + " INTO NAME indicator VALUE value) GROUP BY ALL) SELECT indicator, mpio, round(avg(v),6) AS mrp_estimate, round(stddev_samp(v),6) AS mrp_estimate_se FROM r GROUP BY indicator, mpio",
+    + " INTO NAME indicator VALUE value) GROUP BY ALL) SELECT indicator, mpio, round(avg(v),8) AS mrp_estimate, round(stddev_samp(v),8) AS mrp_estimate_se FROM r GROUP BY indicator, mpio",
 )
 def dimension_estimates(spark, d):
     e = _dimension_draws(spark, d).drop("value").unpivot(["mpio", "draw", "n"], list(fx.INDICATORS), "indicator", "value")
-    return rounded(mrp.dimension_estimates(e, "indicator", ["mpio"]))
+    return rounded(mrp.dimension_estimates(e, "indicator", ["mpio"]), 8)

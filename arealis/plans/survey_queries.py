@@ -8,6 +8,7 @@ from arealis.functions.recode import floor_deff, floor_se
 from arealis.operators import gvf, survey as sv
 from arealis.plans import fixtures as fx
 from arealis.plans.registry import query, rounded
+from arealis.session import materialise
 
 # Fixed value: the 97.5 % normal quantile used in the interval checks.
 Z975 = 1.959963984540054
@@ -242,12 +243,8 @@ def sae_base(spark, d):
 
 
 def smoothed(spark, d):
-    base = gvf.sae_base(direct(spark, d), "segm").persist()
-    try:
-        fit = gvf.gvf_fit(base)
-    finally:
-        base.unpersist()
-    return gvf.gvf_deff(gvf.gvf_predict(gvf.sae_base(direct(spark, d), "segm"), fit))
+    base = materialise(gvf.sae_base(direct(spark, d), "segm"))
+    return gvf.gvf_deff(gvf.gvf_predict(base, gvf.gvf_fit(base)))
 
 
 @query("gvf_smooth")
@@ -257,7 +254,7 @@ def gvf_smooth(spark, d):
 
 @query("gvf_diagnostics")
 def gvf_diagnostics(spark, d):
-    base = gvf.sae_base(direct(spark, d), "segm")
+    base = materialise(gvf.sae_base(direct(spark, d), "segm"))
     return rounded(gvf.gvf_diagnostics(base, gvf.gvf_fit(base)))
 
 

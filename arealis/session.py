@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "arealis", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -43,5 +43,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc.getCheckpointDir() is not None:
         return
     if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before fitting nested models")
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder to hold checkpoints")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="arealis-ckpt-"))
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Compute a stage once and cut its lineage with a reliable checkpoint.
+
+    For aggregated tables that several later jobs read (areas, groups, cells), not for microdata.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

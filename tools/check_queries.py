@@ -16,6 +16,9 @@ sys.path.insert(0, str(ROOT))
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
+# Spark type to the DuckDB types that hold the same values.
+TYPES = {"bigint": ("BIGINT",), "int": ("INTEGER",), "double": ("DOUBLE",), "string": ("VARCHAR",), "boolean": ("BOOLEAN",)}
+
 
 def load_entry():
     spec = importlib.util.spec_from_file_location("spark_entry", ROOT / "__spark_entry__.py")
@@ -56,6 +59,8 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     cols = [c[0] for c in rel.description]
     if sorted(cols) != names:
         return False, f"columns {names} vs {sorted(cols)}"
+    types = {c[0]: str(c[1]) for c in rel.description}
+    odd = {n: (t, types[n]) for n, t in spark_df.dtypes if types[n] not in TYPES.get(t, (types[n],))}
     order = [cols.index(n) for n in names]
     right = sorted(key([r[i] for i in order]) for r in rel.fetchall())
     if len(left) != len(right):
@@ -63,7 +68,7 @@ def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     bad = [(a, b) for a, b in zip(left, right) if a != b]
     if bad:
         return False, f"{len(bad)} of {len(left)} rows differ, e.g. {dict(zip(names, bad[0][0]))} vs {dict(zip(names, bad[0][1]))}"
-    return True, f"{len(left)} rows"
+    return True, f"{len(left)} rows" + (f"; TYPES {odd}" if odd else "")
 
 
 def main(argv: list[str]) -> int:
