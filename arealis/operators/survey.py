@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from arealis.functions.numeric import normal_quantile, t_quantile_column
 from arealis.functions.recode import as_column, inv_logit, logit, nullif_zero
 from arealis.operators.joins import join_keys
+from arealis.session import materialise
+
+BROADCAST_STRATA = 100_000
 
 
 @dataclass(frozen=True)
@@ -33,13 +36,30 @@ class SurveyDesign:
     psu: str | None = None
     nest: bool = True
     lonely_psu: str = "adjust"
+    sizes: DataFrame | None = None
+    totals: tuple[float, float] | None = None
 
     def __post_init__(self):
         if self.lonely_psu not in ("adjust", "remove", "fail"):
             raise ValueError("lonely_psu must be 'adjust', 'remove' or 'fail'")
 
     def with_df(self, df: DataFrame) -> SurveyDesign:
-        return replace(self, df=df)
+        return replace(self, df=df, sizes=None, totals=None)
+
+    def prepare(self) -> SurveyDesign:
+        """Scan the design columns once and keep the stratum sizes and overall totals.
+
+        Worth it when several outcomes share a design: later estimates read neither again.  The sizes are
+        broadcast when there are few strata, which is counted here, and joined on the stratum otherwise.
+        """
+        if self.sizes is not None:
+            return self
+        strata = materialise(_stratum_sizes(self))
+        row = strata.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("n"), F.sum("__w").alias("w")).first()
+        sizes = strata.select("__h", "__nh")
+        if row["k"] <= BROADCAST_STRATA:
+            sizes = F.broadcast(sizes)
+        return replace(self, sizes=sizes, totals=(float(row["n"] or 0), float(row["w"] or 0.0)))
 
     def stratum(self) -> Column:
         return F.lit("1") if self.strata is None else F.coalesce(F.col(self.strata).cast("string"), F.lit("NA"))
@@ -49,11 +69,13 @@ class SurveyDesign:
 
 
 def _stratum_sizes(design: SurveyDesign) -> DataFrame:
-    """Number of sampling units per stratum in the whole design."""
+    """Sampling units, rows and weight per stratum in the whole design."""
+    w = F.col(design.weight).cast("double")
+    counts = [F.count(F.lit(1)).alias("__n"), F.sum(w).alias("__w")]
     if design.psu is None:
-        return design.df.groupBy(design.stratum().alias("__h")).agg(F.count(F.lit(1)).alias("__nh"))
-    units = design.df.groupBy(design.stratum().alias("__h"), design.unit().alias("__i")).agg(F.lit(1).alias("__one"))
-    sizes = units.groupBy("__h").agg(F.count(F.lit(1)).alias("__nh"))
+        return design.df.groupBy(design.stratum().alias("__h")).agg(*counts, F.count(F.lit(1)).alias("__nh"))
+    units = design.df.groupBy(design.stratum().alias("__h"), design.unit().alias("__i")).agg(*counts)
+    sizes = units.groupBy("__h").agg(F.sum("__n").alias("__n"), F.sum("__w").alias("__w"), F.count(F.lit(1)).alias("__nh"))
     if not design.nest:
         # a unit seen in two strata would be split in two; refuse it instead of counting it twice
         clash = units.groupBy("__i").agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).scalar()
@@ -96,7 +118,8 @@ def _domain_sums(design: SurveyDesign, y: str, by: Sequence[str]) -> DataFrame:
             F.sum(W * WY).alias("q_wy"),
             F.sum(WY * WY).alias("q_yy"),
         )
-    strata = strata.join(_stratum_sizes(design), "__h")
+    sizes = _stratum_sizes(design).select("__h", "__nh") if design.sizes is None else design.sizes
+    strata = strata.join(sizes, "__h")
     nh = F.col("__nh")
     f = nh / (nh - 1)
     lonely = {
@@ -192,17 +215,18 @@ def logit_interval(p: str | Column, se: str | Column, alpha: float = 0.05, df: s
 def srs_reference_variance(design: SurveyDesign, y: str, by: Sequence[str]) -> DataFrame:
     """Reference variance of the quality criteria: simple random sampling from the whole survey."""
     w, v = F.col(design.weight).cast("double"), F.col(y).cast("double")
-    whole = design.df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(w).alias("total")).alias("s")).scalar()
+    design = design.prepare()
     d = design.df.groupBy(*by).agg(
         F.sum(w).alias("Nd"), F.sum(F.when(v.isNotNull(), w)).alias("W"), F.sum(w * v).alias("WY"), F.sum(w * v * v).alias("WYY")
     )
-    return d.select(*by, _reference(whole).alias("vari"))
+    return d.select(*by, _reference(design.totals).alias("vari"))
 
 
-def _reference(whole: Column, nd: str = "Nd", w: str = "W", wy: str = "WY", wyy: str = "WYY") -> Column:
-    n, total = whole.getField("n"), whole.getField("total")
+def _reference(totals: tuple[float, float], nd: str = "Nd", w: str = "W", wy: str = "WY", wyy: str = "WYY") -> Column:
+    n, total = totals
+    factor = (1 - n / total) * (total * total / n) / (total - 1) if n > 0 and total > 1 else float("nan")
     ss = F.greatest(F.col(wyy) - F.col(wy) * F.col(wy) / nullif_zero(w), F.lit(0.0)) / (F.col(nd) * F.col(nd))
-    return (1 - n / total) * (total * total / n) * (1 / (total - 1)) * ss
+    return F.lit(factor) * ss
 
 
 def direct_estimates(
@@ -214,8 +238,7 @@ def direct_estimates(
     suppresses the area.
     """
     by = list(by)
-    w = F.col(design.weight).cast("double")
-    whole = design.df.agg(F.struct(F.count(F.lit(1)).alias("n"), F.sum(w).alias("total")).alias("s")).scalar()
+    design = design.prepare()
     e = _estimates(_domain_sums(design, y, by), by, True)
     e = e.withColumns(
         {
@@ -224,7 +247,7 @@ def direct_estimates(
             "__wy": F.col("p") * F.col("W"),
         }
     )
-    e = e.withColumn("vari", _reference(whole, "wall", "W", "__wy", "WYY"))
+    e = e.withColumn("vari", _reference(design.totals, "wall", "W", "__wy", "WYY"))
     p, se = F.col("p"), F.col("ee")
     low, high = logit_interval(p, se, alpha, "grados" if interval == "student" else None)
     e = e.withColumns({"deff": F.col("var") / nullif_zero("vari"), "LI": low, "LS": high, "CV": cv_percent(p, se), "CVl": cv_log(p, se)})
@@ -298,7 +321,8 @@ def trim_grid(design: SurveyDesign, y: str, cs: Sequence[float]) -> DataFrame:
             F.sum(F.col("W") * F.col("WY")).alias("q_wy"),
             F.sum(F.col("WY") * F.col("WY")).alias("q_yy"),
         )
-    strata = strata.join(_stratum_sizes(design), "__h")
+    sizes = _stratum_sizes(design).select("__h", "__nh") if design.sizes is None else design.sizes
+    strata = strata.join(sizes, "__h")
     nh = F.col("__nh")
 
     def part(q: str, a: str, b: str) -> Column:
