@@ -212,7 +212,7 @@ def ess(draws: DataFrame) -> DataFrame:
     ac = d.groupBy("variable", "chain", "half").applyInPandas(autocov, "variable string, chain int, m double, n int, lag int, acov double")
     lags = ac.groupBy("variable", "lag").agg(F.avg("acov").alias("g"), F.count(F.lit(1)).alias("c"), F.min("n").alias("n"), F.coalesce(F.var_samp("m"), F.lit(0.0)).alias("b"))
     w0 = lags.filter("lag = 0").select("variable", (F.col("g") * F.col("n") / (F.col("n") - 1)).alias("w"), (F.col("g") + F.col("b")).alias("vplus"), (F.col("n") * F.col("c")).alias("total"))
-    rho = lags.join(w0, "variable").withColumn("rho", 1 - (F.col("w") - F.col("g") * F.col("n") / (F.col("n") - 1)) / F.col("vplus"))
+    rho = lags.join(w0, "variable").withColumn("rho", 1 - (F.col("w") - F.col("g")) / F.col("vplus"))
     pairs = rho.groupBy("variable", F.floor(F.col("lag") / 2).alias("t")).agg(
         F.sum(F.when(F.col("lag") == 0, 1.0).otherwise(F.col("rho"))).alias("p"), F.count(F.lit(1)).alias("k"), F.max("total").alias("total")
     )

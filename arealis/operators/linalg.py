@@ -99,4 +99,4 @@ def sum_vectors(df: DataFrame, keys: Sequence[str], vector: str = "v") -> DataFr
     For partial sums that tasks have already reduced.  Hundreds of sum columns in one aggregate would cost
     seconds of code generation per job; one keyed sum does not.
     """
-    return df.select(*keys, F.posexplode(vector).alias("pos", "__v")).groupBy(*keys, "pos").agg(F.sum("__v").alias("s"))
+    return df.select(*keys, F.posexplode(vector).alias("pos", "__e")).groupBy(*keys, "pos").agg(F.sum("__e").alias("s"))
