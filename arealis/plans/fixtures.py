@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions.recode import age_band, area_code, concat_key, ethnicity_code, pad_code, poverty_flag, schooling_band
 from arealis.functions.rng import uniform, uniform_sql
-from arealis.operators.cells import cell_id
+from arealis.operators.cells import cell_id, cluster_cells
 from arealis.sources.io import read_survey, read_table
 
 CELL_KEYS = ["segm", "mpio", "area", "sexo", "edad", "etnia", "anoest"]
@@ -174,9 +174,11 @@ FROM (SELECT *, {uniform_sql('theta1', 'cell_id')} AS u1, {uniform_sql('theta2',
       0.9 + 0.2 * {uniform_sql('gk', 'cell_id')} AS gk FROM census))"""
 
 
-def epred(spark: SparkSession, d: str, draws: int, cells: DataFrame | None = None) -> DataFrame:
-    """Expected value per draw and cell, a keyed uniform."""
+def epred(spark: SparkSession, d: str, draws: int, cells: DataFrame | None = None, cluster: str | None = None) -> DataFrame:
+    """Expected value per draw and cell, a keyed uniform; ``cluster`` names fine groups that will be summed."""
     c = census(spark, d) if cells is None else cells
+    if cluster:
+        c = cluster_cells(c, [cluster], "cell_id")
     return c.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)).cast("array<bigint>"))).withColumn("value", uniform("epred", "draw", "cell_id"))
 
 

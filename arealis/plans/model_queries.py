@@ -429,7 +429,7 @@ def _mrp_sql(by: str | None, draws: int = MRP_DRAWS, where: str = "") -> str:
 
 @query("mrp_estimate_by_area", _mrp_sql("segm"))
 def mrp_estimate_by_area(spark, d):
-    return rounded(mrp.mrp_estimate(fx.epred(spark, d, MRP_DRAWS), ["segm"]))
+    return rounded(mrp.mrp_estimate(fx.epred(spark, d, MRP_DRAWS, cluster="segm"), ["segm"]))
 
 
 @query("mrp_estimate_national", _mrp_sql(None))
