@@ -65,7 +65,7 @@ def margin_check(cells: DataFrame, variables: Sequence[str], n: str) -> DataFram
     return (
         long.groupBy("variable", "level")
         .agg(F.sum(n).alias("n"))
-        .withColumns({"prop": F.col("n") / total, "total": total})
+        .withColumns({"prop": F.col("n") / nullif_zero(total), "total": total})
     )
 
 
@@ -110,6 +110,22 @@ def collapse_multinomial(df: DataFrame, by: Sequence[str], category: str, levels
 # ---------------------------------------------------------------- rates
 
 
+def area_rates(df: DataFrame, by: Sequence[str], *families: Mapping[str, Column]) -> DataFrame:
+    """All rates of an area in one aggregate.
+
+    Families are the dictionaries given by the ``*_columns`` functions.  One scan replaces a table per rate
+    and the joins between them.
+    """
+    return df.groupBy(*by).agg(*[c.alias(name) for family in families for name, c in family.items()])
+
+
+def conditional_columns(numerator: Column, denominator: Column, value: str | None = None, out: str = "rate", na_rm: bool = False) -> dict[str, Column]:
+    v = F.lit(1) if value is None else F.col(value)
+    num = sum_na(F.when(numerator, v).when(~numerator, F.lit(0)), na_rm)
+    den = sum_na(F.when(denominator, v).when(~denominator, F.lit(0)), na_rm)
+    return {out: num / nullif_zero(den)}
+
+
 def conditional_rate(
     df: DataFrame, by: Sequence[str], numerator: Column, denominator: Column, value: str | None = None, out: str = "rate", na_rm: bool = False
 ) -> DataFrame:
@@ -117,10 +133,19 @@ def conditional_rate(
 
     A row whose condition is unknown counts as missing: it makes the area's rate null unless ``na_rm``.
     """
+    return area_rates(df, by, conditional_columns(numerator, denominator, value, out, na_rm))
+
+
+def label_columns(specs: Mapping[str, tuple[str, str]], value: str | None = None, skip: Sequence[str] = (TOTAL, MISSING)) -> dict[str, Column]:
     v = F.lit(1) if value is None else F.col(value)
-    num = sum_na(F.when(numerator, v).when(~numerator, F.lit(0)), na_rm)
-    den = sum_na(F.when(denominator, v).when(~denominator, F.lit(0)), na_rm)
-    return df.groupBy(*by).agg((num / nullif_zero(den)).alias(out))
+    out = {}
+    for name, (var, label) in specs.items():
+        c = F.col(var).cast("string")
+        known = c.isNotNull() & ~c.isin(*skip)
+        num = F.sum(F.when(known & (c == label), v).otherwise(0))
+        den = F.sum(F.when(known, v).otherwise(0))
+        out[name] = num / nullif_zero(den)
+    return out
 
 
 def label_rates(
@@ -131,15 +156,7 @@ def label_rates(
     ``specs`` maps an output name to (variable, label).  Rows whose variable is null or labelled as in
     ``skip`` leave both sums.
     """
-    v = F.lit(1) if value is None else F.col(value)
-    aggs = []
-    for out, (var, label) in specs.items():
-        c = F.col(var).cast("string")
-        known = c.isNotNull() & ~c.isin(*skip)
-        num = F.sum(F.when(known & (c == label), v).otherwise(0))
-        den = F.sum(F.when(known, v).otherwise(0))
-        aggs.append((num / nullif_zero(den)).alias(out))
-    return df.groupBy(*by).agg(*aggs)
+    return area_rates(df, by, label_columns(specs, value, skip))
 
 
 def label_rates_long(long: DataFrame, by: Sequence[str], specs: Mapping[str, tuple[str, str]], value: str, skip: Sequence[str] = (TOTAL, MISSING)) -> DataFrame:
@@ -154,37 +171,43 @@ def label_rates_long(long: DataFrame, by: Sequence[str], specs: Mapping[str, tup
     return long.groupBy(*by).agg(*aggs)
 
 
-def unemployment_rate(
-    df: DataFrame, by: Sequence[str], status: str, value: str | None = None, employed: Sequence[int] = (2,), unemployed: Sequence[int] = (3, 4), out: str = "tasa_desocupacion"
-) -> DataFrame:
-    """Unemployed over unemployed plus employed; null where either class is absent."""
+def unemployment_columns(
+    status: str, value: str | None = None, employed: Sequence[int] = (2,), unemployed: Sequence[int] = (3, 4), out: str = "tasa_desocupacion"
+) -> dict[str, Column]:
     v = F.lit(1) if value is None else F.col(value)
     e = F.sum(F.when(F.col(status).isin(*employed), v))
     u = F.sum(F.when(F.col(status).isin(*unemployed), v))
-    return df.groupBy(*by).agg((u / nullif_zero(u + e)).alias(out))
+    return {out: u / nullif_zero(u + e)}
 
 
-def share_profile(
-    cells: DataFrame, by: Sequence[str], var: str, names: Mapping[str, str], n: str | None = "n", fill: float | None = None, require_all: bool = False
-) -> DataFrame:
-    """Category shares per area as columns.
+def unemployment_rate(df: DataFrame, by: Sequence[str], status: str, **kw) -> DataFrame:
+    """Unemployed over unemployed plus employed; null where either class is absent."""
+    return area_rates(df, by, unemployment_columns(status, **kw))
 
-    The denominator holds every category, also those without a name.  ``fill`` replaces the share of an
-    absent category; ``require_all`` makes all shares null unless every named category is present.
-    """
+
+def share_columns(var: str, names: Mapping[str, str], n: str | None = "n", fill: float | None = None, require_all: bool = False) -> dict[str, Column]:
     v = F.lit(1) if n is None else F.col(n)
     total = F.sum(v)
     parts = {out: F.sum(F.when(F.col(var) == code, v)) for code, out in names.items()}
     present = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts.values()])
-    aggs = []
+    shares = {}
     for out, p in parts.items():
         share = p / nullif_zero(total)
         if require_all:
             share = F.when(present, share)
-        if fill is not None:
-            share = F.coalesce(share, F.lit(float(fill)))
-        aggs.append(share.alias(out))
-    return cells.groupBy(*by).agg(*aggs)
+        shares[out] = share if fill is None else F.coalesce(share, F.lit(float(fill)))
+    return shares
+
+
+def share_profile(
+    cells: DataFrame, by: Sequence[str], var: str, names: Mapping[str, str], n: str | None = "n", fill: float | None = None, require_all: bool = False
+) -> DataFrame:
+    """Category shares per area as columns.
+
+    The denominator holds every category, also those without a name.  ``fill`` replaces the share of an
+    absent category; ``require_all`` makes all shares null unless every named category is present.
+    """
+    return area_rates(cells, by, share_columns(var, names, n, fill, require_all))
 
 
 def employment_rates_survey(df: DataFrame, by: Sequence[str] | None = None, status: str = "empleo", weight: str = "fep", na_rm: bool = False) -> DataFrame:
@@ -359,7 +382,7 @@ def share_within(df: DataFrame, n: str, prefix: Sequence[str] = (), out: str = "
     one task.
     """
     if not prefix:
-        return df.withColumn(out, F.col(n) / df.agg(F.sum(n)).scalar())
+        return df.withColumn(out, F.col(n) / nullif_zero(df.agg(F.sum(n)).scalar()))
     totals = df.groupBy(*prefix).agg(F.sum(n).alias("__total"))
     return join_keys(df, totals, prefix).withColumn(out, F.col(n) / nullif_zero("__total")).drop("__total")
 

@@ -225,7 +225,7 @@ def srs_reference_variance(design: SurveyDesign, y: str, by: Sequence[str]) -> D
 def _reference(totals: tuple[float, float], nd: str = "Nd", w: str = "W", wy: str = "WY", wyy: str = "WYY") -> Column:
     n, total = totals
     factor = (1 - n / total) * (total * total / n) / (total - 1) if n > 0 and total > 1 else float("nan")
-    ss = F.greatest(F.col(wyy) - F.col(wy) * F.col(wy) / nullif_zero(w), F.lit(0.0)) / (F.col(nd) * F.col(nd))
+    ss = F.greatest(F.col(wyy) - F.col(wy) * F.col(wy) / nullif_zero(w), F.lit(0.0)) / nullif_zero(F.col(nd) * F.col(nd))
     return F.lit(factor) * ss
 
 

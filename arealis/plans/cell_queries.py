@@ -158,6 +158,35 @@ def share_profile_schooling(spark, d):
     return rounded(ce.share_profile(fx.census(spark, d), ["segm"], "anoest", cl.SCHOOLING_SHARE_NAMES))
 
 
+@query(
+    "area_rates",
+    fx.ctes("survey")
+    + "SELECT segm, "
+    + ", ".join(f"""round(count(*) FILTER (edad='{k}')/NULLIF(count(*),0) + CASE WHEN count(*) FILTER (edad='{k}')=0 THEN NULL ELSE 0 END,6) AS "{v}\"""" for k, v in cl.AGE_SHARE_NAMES.items())
+    + ", "
+    + ", ".join(f"""round(count(*) FILTER (anoest='{k}')/count(*),6) AS "{v}\"""" for k, v in cl.SCHOOLING_SHARE_NAMES.items())
+    + """, round(count(*) FILTER (etnia='2')/count(*),6) AS "Afro", round(count(*) FILTER (area='0')/count(*),6) AS "Rural",
+round(count(*) FILTER (edad>='2' AND anoest='1')/nullif(count(*) FILTER (edad>='2'),0),6) AS alfabeta,
+round(nullif(count(*) FILTER (empleo=2),0)/(nullif(count(*) FILTER (empleo=1),0)+nullif(count(*) FILTER (empleo=2),0)),6) AS tasa_desocupacion, """
+    + ", ".join(f"round(sum({i})/count(*),6) AS {i}" for i in fx.INDICATORS)
+    + " FROM survey GROUP BY segm",
+)
+def area_rates(spark, d):
+    """Every covariate rate of an area from one scan."""
+    out = ce.area_rates(
+        fx.survey(spark, d),
+        ["segm"],
+        ce.share_columns("edad", cl.AGE_SHARE_NAMES, None),
+        ce.share_columns("anoest", cl.SCHOOLING_SHARE_NAMES, None, fill=0),
+        ce.share_columns("etnia", {"2": "Afro"}, None, fill=0),
+        ce.share_columns("area", {"0": "Rural"}, None, fill=0),
+        ce.conditional_columns((F.col("edad") >= "2") & (F.col("anoest") == "1"), F.col("edad") >= "2", out="alfabeta"),
+        ce.unemployment_columns("empleo", employed=[1], unemployed=[2]),
+        ce.label_columns({i: (i, "1") for i in fx.INDICATORS}),
+    )
+    return rounded(out)
+
+
 def _profiles(spark, d):
     c = fx.census(spark, d)
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -12,6 +12,7 @@ from arealis.operators import design as dm
 from arealis.operators.cells import collapse
 from arealis.plans import fixtures as fx
 from arealis.plans.registry import query, rounded
+from arealis.session import ensure_checkpoint_dir
 from arealis.sources import io
 
 
@@ -63,10 +64,7 @@ def read_pixels(spark, d):
 
 @query("write_table", fx.ctes("survey") + "SELECT mpio, count(*) AS n, CAST(sum(pobreza) AS BIGINT) AS y FROM survey GROUP BY mpio")
 def write_table(spark, d):
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    import uuid
-
-    path = f"{base}/arealis-stage-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark)}/stage-{uuid.uuid4().hex}"
     out = fx.survey(spark, d).groupBy("mpio").agg(F.count(F.lit(1)).alias("n"), F.sum("pobreza").alias("y"))
     io.write_table(out, path)
     return spark.read.schema(out.schema).parquet(path)

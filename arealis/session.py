@@ -27,24 +27,22 @@ def build_session(app: str = "arealis", master: str | None = None, shuffle_parti
     return b.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point reliable checkpoints at the cluster's shared folder.
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Point reliable checkpoints at the cluster's shared folder and return it.
 
     The folder comes from ``spark.checkpoint.dir``.  Only a local master without that setting gets a
     temporary folder; on a cluster the setting is required, because a machine-local folder would be
     lost with its machine.
     """
     sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(configured)
-        return
-    if sc.getCheckpointDir() is not None:
-        return
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder to hold checkpoints")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="arealis-ckpt-"))
+    if sc.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder to hold checkpoints")
+            folder = tempfile.mkdtemp(prefix="arealis-ckpt-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def materialise(df: DataFrame) -> DataFrame:

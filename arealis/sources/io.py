@@ -63,7 +63,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode
     return path
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> str:
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite", path: str | None = None) -> str:
     """Save a table bucketed and sorted by its join key, so later joins on the key need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    writer = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return table

@@ -49,6 +49,33 @@ def test_zone_and_covariate_codes_are_padded(spark, tmp_path):
     assert io.read_covariates(spark, path, "code", 3).first()["code"] == "007"
 
 
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    a = spark.range(200).select(F.col("id").alias("segm"), (F.col("id") * 2).alias("v"))
+    io.write_bucketed(a, "bucket_a", "segm", 4, path=str(tmp_path / "a"))
+    io.write_bucketed(a.withColumnRenamed("v", "u"), "bucket_b", "segm", 4, path=str(tmp_path / "b"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("bucket_a").join(spark.table("bucket_b"), "segm")
+        assert j.count() == 200 and "Exchange" not in plan(j)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP TABLE bucket_a")
+        spark.sql("DROP TABLE bucket_b")
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from arealis.session import ensure_checkpoint_dir
+
+    assert ensure_checkpoint_dir(spark)
+    conf = SimpleNamespace(get=lambda k, default=None: default)
+    cluster = SimpleNamespace(master="yarn", getCheckpointDir=lambda: None, getConf=lambda: conf)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=cluster, conf=conf))
+
+
 @pytest.mark.parametrize("name", ["crosstab", "label_rates", "survey_mean", "mrp_estimate_by_area", "share_within", "zonal_sum", "complete_grid", "margin_check"])
 def test_no_nested_loops(spark, name):
     registry.load_all()

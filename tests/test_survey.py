@@ -124,6 +124,12 @@ def test_zero_variance_area(spark):
     assert r["p"] == 0.0 and r["ee"] == 0.0 and r["deff"] is None and r["CVl"] is None
 
 
+def test_zero_weights_give_missing_estimates(spark):
+    rows = [{"d": d, "h": "s", "i": k, "w": 0.0 if d == "none" else 2.0, "y": float(k % 2), "inc": 1.0} for d in ("none", "some") for k in range(6)]
+    got = {r["d"]: r for r in sv.direct_estimates(sv.SurveyDesign(frame(spark, rows), "w", "h", "i"), "y", ["d"]).collect()}
+    assert got["none"]["p"] is None and got["some"]["p"] == 0.5
+
+
 def test_student_interval(spark):
     df = spark.createDataFrame([(0.2, 0.05, 8)], "p double, se double, df int")
     lo, hi = sv.logit_interval("p", "se", df="df")
