@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arealis.llm import sharding
+from arealis.functions.rng import uniform_sql
+from arealis.llm import mixing, sharding
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -16,3 +17,37 @@ def op1_sharding(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     out = sharding.shard_uniformly(docs, 8, seed=11)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+MIX_SQL = f"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
+), ranked AS (
+  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM sources
+), levels AS (
+  SELECT *, CAST((sum(source_size) OVER ())
+      - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+      / CAST(sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM ranked
+), targets AS (
+  SELECT source, source_size, least(weight * min(CASE WHEN weight * level <= 3 * source_size THEN level END) OVER (), CAST(3 * source_size AS DOUBLE)) AS target FROM levels
+), placed AS (
+  SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY {uniform_sql("mix", "doc_id", "source", "size")}, doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM sized
+)
+SELECT doc_id, size, source_size, target,
+  CAST(greatest(0, least(size, CAST(floor(target) AS BIGINT) - start))
+     + greatest(0, least(size, CAST(floor(target) AS BIGINT) - source_size - start))
+     + greatest(0, least(size, CAST(floor(target) AS BIGINT) - 2 * source_size - start)) AS BIGINT) AS taken
+FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source
+"""
+
+
+@query("op4_mixing", MIX_SQL)
+def op4_mixing(spark, sf_dir):
+    """Words that the mix takes from each document, in the order of their first reading."""
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    slim = planned.select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("visits", F.lit(1))["time"].alias("at"))
+    return slim.orderBy("at").drop("at")
