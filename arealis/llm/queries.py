@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import mixing, sharding
+from arealis.llm import fingerprints, mixing, sharding
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -51,3 +51,9 @@ def op4_mixing(spark, sf_dir):
     planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     slim = planned.select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("visits", F.lit(1))["time"].alias("at"))
     return slim.orderBy("at").drop("at")
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts, and their likeness."""
+    return fingerprints.edit_test(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -110,7 +110,7 @@ def communication_matrix(counts: DataFrame, shards: int, rows: int, seed: int, d
     """
     spark = counts.sparkSession
     caps = F.array(*[F.lit((rows + shards - 1 - s) // shards).cast("long") for s in range(shards)])
-    nodes = spark.range(1).select(F.lit(0).cast("long").alias("node"), caps.alias("caps"))
+    nodes = spark.range(1).select(F.col("id").alias("node"), caps.alias("caps"))
     for level in range(1, depth + 1):
         sizes = counts.groupBy(F.shiftright("part", depth - level + 1).alias("node")).agg(
             F.sum(F.when(F.shiftright("part", depth - level).bitwiseAND(1) == 0, F.col("n")).otherwise(0)).alias("first")
