@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import fingerprints, mixing, sharding
+from arealis.llm import decontaminate, fingerprints, mixing, sharding
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -57,3 +57,31 @@ def op4_mixing(spark, sf_dir):
 def op3_fingerprints(spark, sf_dir):
     """Fingerprints of all documents and of their edited texts, and their likeness."""
     return fingerprints.edit_test(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def shingle_sql(name: str, table_name: str, key: str) -> str:
+    """Common table expression: distinct five-word shingles of a table's texts; a text of fewer words is one shingle."""
+    return f"""{name}_words AS (
+  SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM {table_name}
+), {name} AS (
+  SELECT DISTINCT {key}, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM {name}_words
+)"""
+
+
+CONTAINED_SQL = f"""
+WITH {shingle_sql("item_sets", "benchmark", "item_id")}, {shingle_sql("doc_sets", "documents", "doc_id")},
+item_sizes AS (SELECT item_id, count(*) AS n_item FROM item_sets GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM doc_sets JOIN item_sets USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_item, n_shared, CAST(n_shared AS DOUBLE) / CAST(n_item AS DOUBLE) AS containment
+FROM shared JOIN item_sizes USING (item_id) WHERE 100 * n_shared >= 80 * n_item
+"""
+
+
+@query("op7_decontaminate", CONTAINED_SQL)
+def op7_decontaminate(spark, sf_dir):
+    """Benchmark items that documents hold, with the share of the item's shingles."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contained_items(docs, items)
+    share = F.col("n_shared").cast("double") / F.col("n_item")
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_item", "n_shared", share.alias("containment"))
