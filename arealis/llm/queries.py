@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import decontaminate, fingerprints, mixing, sharding
+from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, sharding
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -85,3 +85,21 @@ def op7_decontaminate(spark, sf_dir):
     found = decontaminate.contained_items(docs, items)
     share = F.col("n_shared").cast("double") / F.col("n_item")
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "n_item", "n_shared", share.alias("containment"))
+
+
+NEAR_SQL = f"""
+WITH RECURSIVE {shingle_sql("sets", "documents", "doc_id")},
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS s FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s >= 85 * (x.n + y.n - s)),
+reach AS (SELECT doc_id AS v, doc_id AS r FROM documents UNION SELECT reach.v, links.b FROM reach JOIN links ON reach.r = links.a)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
+FROM reach JOIN documents ON v = doc_id LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op5_near_dedup", NEAR_SQL)
+def op5_near_dedup(spark, sf_dir):
+    """Near-duplicate class of every document at 85 %."""
+    classes = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+    return classes.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
