@@ -22,20 +22,21 @@ def _two_uniforms(h: Column) -> Column:
     return low * high / F.lit(2.0**64)
 
 
-def weighted_sample(term: Column, weight: Column, sample: int) -> Column:
+def weighted_sample(term: Column, ln_weight: Column, sample: int) -> Column:
     """Log weight and identity of a term's consistent sample, packed so that the least is the draw.
 
     With r and c from Gamma(2, 1) and b uniform, all hashed from the term and the sample number: t = floor(ln w / r + b) and
     ln a = ln c - r (t - b + 1).  The least a over the terms names the pair (term, t); two documents agree on it with a
     probability equal to their generalised Jaccard similarity.
     """
-    r = -F.ln(_two_uniforms(F.xxhash64(term, F.lit(3 * sample))))
+    h = F.xxhash64(term, F.lit(3 * sample))
+    r = -F.ln(_two_uniforms(h))
     ln_c = F.ln(-F.ln(_two_uniforms(F.xxhash64(term, F.lit(3 * sample + 1)))) + F.lit(1e-30))
     b = F.shiftrightunsigned(F.xxhash64(term, F.lit(3 * sample + 2)), 11).cast("double") / F.lit(2.0**53)
-    t = F.floor(F.ln(weight) / (r + F.lit(1e-30)) + b)
+    t = F.floor(ln_weight / (r + F.lit(1e-30)) + b)
     ln_a = ln_c - r * (t - b + 1)
     rank = F.floor((ln_a + F.lit(OFFSET)) * F.lit(SCALE)).cast("long")
-    return F.shiftleft(rank, 32).bitwiseOR(F.xxhash64(term, t, F.lit(sample)).bitwiseAND(F.lit(HALF)))
+    return F.shiftleft(rank, 32).bitwiseOR(h.bitwiseXOR(t).bitwiseAND(F.lit(HALF)))
 
 
 def signatures(df: DataFrame, keys: list[str], text: Column, samples: int = SAMPLES) -> DataFrame:
@@ -51,7 +52,7 @@ def signatures(df: DataFrame, keys: list[str], text: Column, samples: int = SAMP
     runs = runs.select(
         *[quoted(k) for k in keys],
         F.xxhash64(F.expr(f"{terms}[{end}]")).alias(term),
-        F.expr(f"cast({end} - if({place} = 0, -1, {ends}[{place} - 1]) as double)").alias(weight),
+        F.expr(f"ln(cast({end} - if({place} = 0, -1, {ends}[{place} - 1]) as double))").alias(weight),
         F.col(end).isNotNull().alias(end),
     )
     draws = [F.min(F.when(F.col(end), weighted_sample(F.col(term), F.col(weight), k))).alias(f"{weight}{k}") for k in range(samples)]
@@ -108,15 +109,16 @@ def edit_test(df: DataFrame, key: str = "doc_id", text: str = "text", samples: i
     counts as the least.  Where rows repeat a key, each is fingerprinted on its own; they share the next key, whose
     row with the least text hash is the next document.  A single document follows itself.  Other columns are ignored.
     """
-    base = df.select(F.coalesce(quoted(key).cast("long"), F.lit(-(1 << 63))).alias("id"), text_of(quoted(text)).alias("text"))
+    base = df.select(F.coalesce(quoted(key).cast("long"), F.lit(-(1 << 63))).alias("id"), text_of(quoted(text)).alias("text"), F.monotonically_increasing_id().alias("row"))
     slim = base.select("id", F.char_length("text").alias("n"), F.xxhash64("text").alias("h"))
     ids = slim.groupBy("id").agg(F.max("n").alias("most"), F.min("h").alias("h"))
     ring = staged(neighbours(ids.select("id", F.expr("most div 3").alias("needs"), "h"), "id"))
     senders = ring.join(ids.select("id", "h"), "id").select(F.col("id"), F.col("h").alias("chosen"), "previous", "previous_needs")
-    sent = base.join(senders, "id").where(F.xxhash64("text") == F.col("chosen"))
+    # the row number takes part so that both joins read one exchange of the texts
+    sent = base.join(senders, "id").where((F.xxhash64("text") == F.col("chosen")) & (F.col("row") + F.col("previous_needs") >= 0))
     sent = sent.select(F.col("previous").alias("id"), F.expr("substring(text, 1, cast(previous_needs as int))").alias("head"))
     heads = sent.groupBy("id").agg(F.max("head").alias("head"))  # repeated rows send the same text
-    rows = base.withColumn("row", F.monotonically_increasing_id()).join(heads, "id").withColumn("n", F.char_length("text")).withColumn("hash", F.xxhash64("text"))
+    rows = base.join(heads, "id").withColumn("n", F.char_length("text")).withColumn("hash", F.xxhash64("text"))
     edited = F.expr("concat(substring(text, 1, cast(n - n div 3 as int)), substring(head, 1, cast(n div 3 as int)))")
     both = rows.select("id", "row", "hash", "n", F.sha2(edited, 256).alias("sha"), F.posexplode(F.array("text", edited)).alias("side", "text"))
     both = both.withColumn("sha", F.when(F.col("side") == 1, F.col("sha")))

@@ -32,7 +32,7 @@ def super_minhash(elements: np.ndarray, size: int) -> np.ndarray:
         return out
     rows, order = np.arange(n), None
     for j in range(size):
-        h = mix(elements + STEP * np.uint64(2 * j + 1))
+        h = mix(elements + np.uint64(int(STEP) * (2 * j + 1) % (1 << 64)))
         offer = j + (h >> np.uint64(12)) * 2.0**-52
         k = j + (mix(h ^ STEP) % np.uint64(size - j)).astype(np.int64)
         if j == 0:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, sharding
+from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, sharding, toxicity
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -103,3 +103,14 @@ def op5_near_dedup(spark, sf_dir):
     """Near-duplicate class of every document at 85 %."""
     classes = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     return classes.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from two thirds of the labels."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_on_table(docs, labels, keep="crc32(cast(cast(doc_id as string) as binary)) % 3 != 1")
+    scored = toxicity.score_toxicity(docs, model)
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    spans = F.array_join(F.transform("toxic_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return scored.select("doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), spans.alias("spans"))

@@ -38,10 +38,17 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def polynomial_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a polynomial over the bytes, and the factors that shift a difference of two sums to the start."""
+    up, down = _power_tables(max(len(data), 1 << 16) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * up[: len(data)], out=total[1:])
+    return total, down
+
+
 def words_of(data: np.ndarray, first_bytes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words in a run of bytes; ``first_bytes`` are places where a new text begins."""
     n = len(data)
-    up, down = _power_tables(max(n, 1 << 16) + 1)
     inside = ~_SPACE[data]
     starts = inside.copy()
     starts[1:] &= ~inside[:-1]
@@ -54,8 +61,7 @@ def words_of(data: np.ndarray, first_bytes: np.ndarray) -> tuple[np.ndarray, np.
     back = cut[(cut > 0)]
     stops[back[inside[back - 1]]] = True
     ends = np.flatnonzero(stops)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[data] * up[:n], out=total[1:])
+    total, down = polynomial_sums(data)
     hashes = mix((total[ends] - total[begins]) * down[begins] + (ends - begins).astype(np.uint64))
     return hashes, begins, ends
 
@@ -101,7 +107,7 @@ def shingle_set(hashes: np.ndarray, size: int = 5) -> np.ndarray:
     if n == 0:
         return np.zeros(0, np.uint64)
     width = min(size, n)
-    out = np.full(n - width + 1, _PLACES[5] * np.uint64(width), np.uint64)
+    out = np.full(n - width + 1, int(_PLACES[5]) * width % (1 << 64), np.uint64)
     for i in range(width):
         out += hashes[i : n - width + 1 + i] * _PLACES[i]
     return np.unique(mix(out))
