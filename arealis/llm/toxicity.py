@@ -10,6 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from arealis.llm.common import fresh, quoted, text_of
 from arealis.llm.near_dedup import super_minhash
@@ -295,5 +296,6 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", leas
             rest = [n for n in batch.schema.names if n != body]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in rest], pa.array(score, pa.float64()), value], [*rest, "toxicity", "toxic_spans"])
 
-    schema = df.schema.add("toxicity", "double").add("toxic_spans", "array<struct<start:int,end:int>>")
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+    schema = T.StructType([*df.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("toxic_spans", T.ArrayType(span))])
     return df.withColumn(body, text_of(quoted(text))).mapInArrow(run, schema)
