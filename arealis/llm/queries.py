@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, sharding, toxicity
+from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, secrets, sharding, spans, toxicity
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -114,3 +114,11 @@ def op8_toxicity(spark, sf_dir):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     spans = F.array_join(F.transform("toxic_spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
     return scored.select("doc_id", held.alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.7).cast("int").alias("predicted"), spans.alias("spans"))
+
+
+@query("op9_secrets")
+def op9_secrets(spark, sf_dir):
+    """Secrets in every document."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    counts = [spans.count_kind("secrets", k).alias(f"n_{k}") for k in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(spans.joined("secrets", secrets.BASE_KINDS), 256).alias("base_sha256"), spans.joined("secrets").alias("spans"))
