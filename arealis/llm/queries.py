@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, secrets, sharding, spans, toxicity
+from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, pii, secrets, sharding, spans, toxicity
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -122,3 +122,12 @@ def op9_secrets(spark, sf_dir):
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     counts = [spans.count_kind("secrets", k).alias(f"n_{k}") for k in secrets.KINDS]
     return found.select("doc_id", *counts, F.sha2(spans.joined("secrets", secrets.BASE_KINDS), 256).alias("base_sha256"), spans.joined("secrets").alias("spans"))
+
+
+@query("op10_pii")
+def op10_pii(spark, sf_dir):
+    """Personal data in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.fit_on_table(docs)).drop("text")
+    counts = [spans.count_kind("personal", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(spans.joined("personal", pii.KINDS), 256).alias("base_sha256"), spans.joined("personal").alias("spans"))
