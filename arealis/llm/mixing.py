@@ -31,7 +31,7 @@ def source_targets(sources: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap
     onward = F.sum("weight").over(by_need.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     levels = ranked.withColumn("level", (F.sum("source_size").over(everything) - cap * before) / onward)
     free = F.when(F.col("weight") * F.col("level") <= cap * F.col("source_size"), F.col("level"))
-    target = F.least(F.col("weight") * F.min(free).over(everything), (cap * F.col("source_size")).cast("double"))
+    target = F.least(F.col("weight") * F.max(free).over(everything), (cap * F.col("source_size")).cast("double"))
     return levels.withColumn("target", target).drop("level")
 
 

@@ -32,7 +32,7 @@ WITH sized AS (
       / CAST(sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
   FROM ranked
 ), targets AS (
-  SELECT source, source_size, least(weight * min(CASE WHEN weight * level <= 3 * source_size THEN level END) OVER (), CAST(3 * source_size AS DOUBLE)) AS target FROM levels
+  SELECT source, source_size, least(weight * max(CASE WHEN weight * level <= 3 * source_size THEN level END) OVER (), CAST(3 * source_size AS DOUBLE)) AS target FROM levels
 ), placed AS (
   SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY {uniform_sql("mix", "doc_id", "source", "size")}, doc_id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM sized
