@@ -6,13 +6,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arealis.llm.common import fresh, quoted, text_of
+from arealis.llm.common import fresh, quoted, staged, text_of
 from arealis.llm.near_dedup import super_minhash
 from arealis.llm.wordhash import mix, polynomial_sums, shingle_set, text_buffers
 
@@ -265,7 +264,7 @@ def score_column(column: pa.Array, model: ToxicityModel, least: float = 0.5) ->
     return 1 / (1 + np.exp(-value)), found
 
 
-def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows_per_class: int = 3000, longest: int = 1 << 15) -> ToxicityModel:
+def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows_per_class: int = 2000, longest: int = 1 << 14) -> ToxicityModel:
     """Fit on a bounded sample: at most ``rows_per_class`` labelled documents of each class, chosen by a hash of the key, of at most ``longest`` characters.
 
     ``keep`` is an SQL condition on the labels table for the rows that may be learned from.  Rows with a null key, label or
@@ -273,9 +272,12 @@ def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     """
     marked = labels.where(keep) if keep else labels
     marked = marked.where(quoted(label).isin(0, 1)).groupBy(quoted(key).alias("k")).agg(F.min(quoted(label)).alias("y"), F.max(quoted(label)).alias("z")).where("y = z").select("k", "y")
-    known = docs.select(quoted(key).alias("k"), quoted(text).cast("string").alias("text")).join(marked, "k").where((F.length("text") > 0) & (F.length("text") <= longest))
-    parts = [known.where(F.col("y") == y).orderBy(F.xxhash64("k", F.lit(3)), "k", "text").limit(rows_per_class) for y in (0, 1)]
-    sample = pd.concat([p.select("text", "y").toPandas() for p in parts])
+    texts = docs.select(quoted(key).alias("k"), quoted(text).cast("string").alias("text"))
+    fits = texts.select("k", F.length("text").alias("n")).where(f"n between 1 and {longest}").join(marked, "k").groupBy("k").agg(F.max("y").alias("y"))
+    chosen = [fits.where(F.col("y") == y).orderBy(F.xxhash64("k", F.lit(3)), "k").limit(rows_per_class) for y in (0, 1)]
+    # at most two times rows_per_class keys, so the sample's keys may be broadcast; texts of other rows do not move
+    some = texts.join(F.broadcast(staged(chosen[0].union(chosen[1]))), "k").where(F.length("text") <= longest).dropDuplicates(["k"])
+    sample = some.orderBy(F.xxhash64("k", F.lit(4)), "k").select("text", "y").toPandas()
     return fit(sample["text"].tolist(), sample["y"].to_numpy())
 
 
