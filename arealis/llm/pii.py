@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealis.llm import char_tagger
-from arealis.llm.common import quoted
+from arealis.llm.common import quoted, staged
 from arealis.llm.spans import Span, add_spans
 from arealis.llm.wordhash import text_buffers
 
@@ -160,9 +160,11 @@ def rows_with_triggers(column: pa.Array) -> np.ndarray:
 
 def fit_on_table(df: DataFrame, text: str = "text", rows: int = 1500, longest: int = 1 << 14) -> dict[str, np.ndarray]:
     """Train on the fixed patterns' spans in at most ``rows`` texts of at most ``longest`` characters, chosen by a hash of the text."""
-    body = quoted(text).cast("string")
-    some = df.select(body.alias("t")).where((F.length("t") <= longest) & F.col("t").rlike("[0-9@]")).distinct()
-    return fit([r["t"] for r in some.orderBy(F.xxhash64("t"), "t").limit(rows).collect()])
+    some = df.select(quoted(text).cast("string").alias("t")).where((F.length("t") <= longest) & F.col("t").rlike("[0-9@]"))
+    picked = some.select(F.xxhash64("t").alias("h")).distinct().orderBy("h").limit(rows)
+    # at most ``rows`` hashes, so they may be broadcast; other texts do not move
+    sample = some.withColumn("h", F.xxhash64("t")).join(F.broadcast(staged(picked)), "h").dropDuplicates(["h"])
+    return fit([r["t"] for r in sample.orderBy("h").collect()])
 
 
 def find_personal_data(df: DataFrame, model: dict[str, np.ndarray], text: str = "text", out: str = "personal") -> DataFrame:
