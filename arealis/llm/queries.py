@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import decontaminate, fingerprints, mixing, near_dedup, pii, secrets, sharding, spans, toxicity
+from arealis.llm import chat, decontaminate, fingerprints, mixing, near_dedup, pii, secrets, sharding, spans, toxicity
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -131,3 +131,9 @@ def op10_pii(spark, sf_dir):
     found = pii.find_personal_data(docs, pii.fit_on_table(docs)).drop("text")
     counts = [spans.count_kind("personal", k).alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(spans.joined("personal", pii.KINDS), 256).alias("base_sha256"), spans.joined("personal").alias("spans"))
+
+
+@query("op6_chat")
+def op6_chat(spark, sf_dir):
+    """Repaired roles and rendered pieces of all conversations."""
+    return chat.repair_roles(table(spark, sf_dir, "conversations")).drop("position")
