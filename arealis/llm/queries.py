@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import chat, decontaminate, fingerprints, mixing, near_dedup, pii, secrets, sharding, spans, toxicity
+from arealis.llm import chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, toxicity
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -137,3 +137,9 @@ def op10_pii(spark, sf_dir):
 def op6_chat(spark, sf_dir):
     """Repaired roles and rendered pieces of all conversations."""
     return chat.repair_roles(table(spark, sf_dir, "conversations")).drop("position")
+
+
+@query("op2_suffix_array")
+def op2_suffix_array(spark, sf_dir):
+    """All documents without the bytes of strings of 100 bytes that start earlier."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
