@@ -18,6 +18,7 @@ from arealis.llm.wordhash import mix, polynomial_sums, shingle_set, text_buffers
 PREFIXES = (4, 5, 6, 7)  # bytes at the start of a token, to meet inflected forms
 BUCKETS = 1 << 18
 PIECE = 1 << 20
+SLICE = 4000  # rows whose chains run together
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -292,7 +293,7 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", leas
     shipped = df.sparkSession.sparkContext.broadcast(model)  # bounded: BUCKETS weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, len(whole), SLICE)):
             score, spans = score_column(batch.column(body), shipped.value, least)
             value = pa.array([[{"start": s, "end": e} for s, e in row] for row in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
             rest = [n for n in batch.schema.names if n != body]
