@@ -74,7 +74,9 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = column.fill_null("")
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if len(column) else np.zeros(1, np.int64)
-    return at, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    if data is None or not len(column):
+        return np.zeros(len(column) + 1, np.int64), np.zeros(0, np.uint8)
+    return at - at[0], np.frombuffer(data, np.uint8)[at[0] : at[-1]]  # a slice shares its batch's bytes
 
 
 def word_hashes(column: pa.Array) -> Iterator[np.ndarray]:
