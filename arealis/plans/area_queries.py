@@ -21,9 +21,9 @@ def terms():
     return [F.lit(1.0), F.col("x")]
 
 
-def areas(spark, d):
-    """Areas with a covariate; a tenth of them has no estimate."""
-    s = fx.survey(spark, d).filter("l_partkey % 10 <> 3").groupBy("segm").agg(F.avg("pobreza").alias("y"), F.count(F.lit(1)).alias("nd"))
+def areas(spark, d, observed="l_partkey % 10 <> 3"):
+    """Areas with a covariate; a tenth of them has no estimate unless ``observed`` is true."""
+    s = fx.survey(spark, d).filter(observed).groupBy("segm").agg(F.avg("pobreza").alias("y"), F.count(F.lit(1)).alias("nd"))
     s = s.withColumns({"psi": (F.col("y") * (1 - F.col("y")) + 0.01) / F.col("nd"), "n_eff": F.col("nd") / 1.3})
     cov = fx.covariates(spark, d).select("segm", (F.col("p_size") / 50.0).alias("x"))
     return materialise(with_covariates_keep(cov, s, "segm"))
@@ -133,7 +133,7 @@ def fh_normal_fitted_grid(spark, d):
 
 @query("fh_normal_coefficients")
 def fh_normal_coefficients(spark, d):
-    return rounded(ar.fh_gaussian_fit(areas(spark, d), "y", "psi", terms()).summary(spark, NAMES))
+    return rounded(ar.fh_gaussian_fit(areas(spark, d, "true"), "y", "psi", terms()).summary(spark, NAMES))
 
 
 @query("fh_binomial")
@@ -158,6 +158,6 @@ def area_poverty_map(spark, d):
     base = smoothed(spark, d).select("segm", "pobreza", "n_eff_FGV")
     cov = fx.covariates(spark, d).select("segm", (F.col("p_size") / 50.0).alias("x"))
     joined = materialise(cov.join(base, "segm", "left"))
-    _, pred = al.fh_binomial(dm.effective_counts(joined).select("segm", "x", "pobreza", "y_effect", "n_effec"), "y_effect", "n_effec", terms(), points=30)
+    _, pred = al.fh_binomial(dm.effective_counts(joined).select("segm", "x", "pobreza", "y_effect", "n_effec"), "y_effect", "n_effec", terms())
     out = ar.prediction_cv(pred).withColumn("class", classify("theta", [0, 0.05, 0.1, 0.2, 0.4, 1]))
     return rounded(out.select("segm", "pobreza", "observed", "theta", "theta_sd", "Cv_pred", "class"), 5)

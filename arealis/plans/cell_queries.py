@@ -260,18 +260,18 @@ def interaction_means(spark, d):
     return rounded(ce.interaction_means(fx.survey(spark, d), "sexo", "edad"))
 
 
-COMPARE = """a AS (SELECT etnia, count(*) AS ns FROM survey WHERE upm<20 GROUP BY etnia), b AS (SELECT etnia, sum(n) AS nc FROM census GROUP BY etnia),
+COMPARE = """a AS (SELECT etnia, count(*) AS ns FROM survey GROUP BY etnia), b AS (SELECT etnia, sum(n) AS nc FROM census GROUP BY etnia),
 cmp AS (SELECT CASE etnia WHEN '1' THEN 'Indigena' WHEN '2' THEN 'Afro' ELSE 'Otro' END AS etnia, round(ns/(SELECT sum(ns) FROM a),6) AS "Sample", round(nc/(SELECT sum(nc) FROM b),6) AS "Population" FROM a FULL JOIN b USING (etnia))"""
 
 
 @query("compare_proportions", fx.ctes("census", extra=COMPARE) + "SELECT * FROM cmp")
 def compare_proportions(spark, d):
-    return rounded(ce.compare_proportions(fx.survey(spark, d).filter("upm < 20"), fx.census(spark, d), "etnia"))
+    return rounded(ce.compare_proportions(fx.survey(spark, d), fx.census(spark, d), "etnia"))
 
 
 @query("melt", fx.ctes("census", extra=COMPARE) + 'SELECT etnia, \'Sample\' AS variable, "Sample" AS value FROM cmp UNION ALL SELECT etnia, \'Population\', "Population" FROM cmp')
 def melt(spark, d):
-    return rounded(ce.melt(ce.compare_proportions(fx.survey(spark, d).filter("upm < 20"), fx.census(spark, d), "etnia"), ["etnia"]))
+    return rounded(ce.melt(ce.compare_proportions(fx.survey(spark, d), fx.census(spark, d), "etnia"), ["etnia"]))
 
 
 def _direct(spark, d, by):
@@ -325,10 +325,16 @@ def compare_indicators(spark, d):
 
 @query(
     "axis_order",
-    fx.ctes("census") + " UNION ALL ".join(f"SELECT '{v}' AS variable, count(DISTINCT {v}) AS levels FROM census" for v in ("segm", "edad", "sexo")),
+    fx.ctes("census")
+    + "SELECT variable, levels, row_number() OVER (ORDER BY levels DESC) AS axis FROM ("
+    + " UNION ALL ".join(f"SELECT '{v}' AS variable, count(DISTINCT {v}) AS levels FROM census" for v in ("segm", "edad", "sexo"))
+    + ")",
 )
 def axis_order(spark, d):
-    return ce.level_counts(fx.census(spark, d), ["sexo", "segm", "edad"])
+    """Axis of each variable, with its number of levels."""
+    cells = fx.census(spark, d)
+    order = spark.createDataFrame([(v, i) for i, v in enumerate(ce.axis_order(cells, ["sexo", "segm", "edad"]), 1)], "variable string, axis bigint")
+    return ce.level_counts(cells, ["sexo", "segm", "edad"]).join(order, "variable")
 
 
 @query(
@@ -414,15 +420,15 @@ def _join_sql(kind: str) -> str:
     return f"SELECT segm, sum(n) AS n, round(sum(n*p_size),2) AS weighted FROM census {kind} JOIN covariates USING (segm) GROUP BY segm".replace("sum(n) AS", "CAST(sum(n) AS BIGINT) AS")
 
 
-@query("join_covariates_inner", fx.ctes("census", "covariates") + _join_sql("INNER"))
+@query("join_covariates_inner", fx.ctes("census", "covariates_gaps") + _join_sql("INNER"))
 def join_covariates_inner(spark, d):
-    j = jn.with_covariates(fx.census(spark, d), fx.covariates(spark, d), "segm")
+    j = jn.with_covariates(fx.census(spark, d), fx.covariates(spark, d, gaps=True), "segm")
     return rounded(j.groupBy("segm").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p_size")).alias("weighted")), 2)
 
 
-@query("join_covariates_left", fx.ctes("census", "covariates") + _join_sql("LEFT"))
+@query("join_covariates_left", fx.ctes("census", "covariates_gaps") + _join_sql("LEFT"))
 def join_covariates_left(spark, d):
-    j = jn.with_covariates_keep(fx.census(spark, d), fx.covariates(spark, d), "segm")
+    j = jn.with_covariates_keep(fx.census(spark, d), fx.covariates(spark, d, gaps=True), "segm")
     return rounded(j.groupBy("segm").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("p_size")).alias("weighted")), 2)
 
 
@@ -432,23 +438,23 @@ OBS = "obs AS (SELECT segm, count(*) AS nd, avg(pobreza) AS p FROM survey WHERE
 def _estimates_with_covariates(spark, d):
     s = fx.survey(spark, d).filter("l_partkey % 10 <> 3")
     obs = s.groupBy("segm").agg(F.count(F.lit(1)).alias("nd"), F.avg("pobreza").alias("p"))
-    return jn.full_join(obs, fx.covariates(spark, d).select("segm", "p_size"), "segm")
+    return jn.full_join(obs, fx.covariates(spark, d, gaps=True).select("segm", "p_size"), "segm")
 
 
-@query("full_join", fx.ctes("survey", "covariates", extra=OBS) + "SELECT segm, nd, round(p,6) AS p, p_size FROM fj")
+@query("full_join", fx.ctes("survey", "covariates_gaps", extra=OBS) + "SELECT segm, nd, round(p,6) AS p, p_size FROM fj")
 def full_join(spark, d):
     return rounded(_estimates_with_covariates(spark, d))
 
 
-@query("unobserved_areas", fx.ctes("survey", "covariates", extra=OBS) + "SELECT segm, p_size FROM covariates ANTI JOIN obs USING (segm)")
+@query("unobserved_areas", fx.ctes("survey", "covariates_gaps", extra=OBS) + "SELECT segm, p_size FROM covariates ANTI JOIN obs USING (segm)")
 def unobserved_areas(spark, d):
     seen = fx.survey(spark, d).filter("l_partkey % 10 <> 3").select("segm").distinct()
-    return jn.unobserved(fx.covariates(spark, d).select("segm", "p_size"), seen, "segm")
+    return jn.unobserved(fx.covariates(spark, d, gaps=True).select("segm", "p_size"), seen, "segm")
 
 
 @query(
     "split_observed",
-    fx.ctes("survey", "covariates", extra=OBS)
+    fx.ctes("survey", "covariates_gaps", extra=OBS)
     + "SELECT segm, p_size, 'observed' AS part FROM fj WHERE p>0 AND p_size IS NOT NULL UNION ALL SELECT segm, p_size, 'synthetic' FROM fj WHERE NOT coalesce(p>0,false) AND p_size IS NOT NULL",
 )
 def split_observed(spark, d):
@@ -496,10 +502,10 @@ def flatten_entities_persons(spark, d):
 
 @query(
     "order_by_two_keys",
-    fx.ctes("survey") + "SELECT segm, count(*) AS n, CAST(sum(pobreza) AS BIGINT) AS y FROM survey GROUP BY segm ORDER BY n DESC, y DESC, segm LIMIT 50",
+    fx.ctes("survey") + "SELECT segm, count(*) AS n, CAST(sum(pobreza) AS BIGINT) AS y FROM survey GROUP BY segm ORDER BY n DESC, y DESC, segm",
 )
 def order_by_two_keys(spark, d):
-    return ce.top_k(sv.unweighted_counts(fx.survey(spark, d), "pobreza", ["segm"]), 50, "n", "y", ties=["segm"])
+    return ce.sort_desc(sv.unweighted_counts(fx.survey(spark, d), "pobreza", ["segm"]), "n", "y", ties=["segm"])
 
 
 @query("top_k", fx.ctes("census") + "SELECT cell_id, n FROM census ORDER BY n DESC, cell_id LIMIT 10")

@@ -139,12 +139,14 @@ SELECT *, {cell_id_sql(*CELL_KEYS)} AS cell_id
 FROM (SELECT {', '.join(CELL_KEYS)}, count(*) AS n FROM survey GROUP BY ALL))"""
 
 
-def covariates(spark: SparkSession, d: str) -> DataFrame:
-    """Area covariates; every fiftieth part has none."""
+def covariates(spark: SparkSession, d: str, gaps: bool = False) -> DataFrame:
+    """Area covariates; with ``gaps`` every fiftieth part has none, to meet areas without a match."""
     li = table(spark, d, "lineitem").groupBy("l_partkey").agg(
         F.avg("l_tax").alias("avg_tax"), F.avg((F.col("l_returnflag") == "R").cast("double")).alias("share_r")
     )
-    part = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice").filter("p_partkey % 50 <> 7")
+    part = table(spark, d, "part").select("p_partkey", "p_size", "p_retailprice")
+    if gaps:
+        part = part.filter("p_partkey % 50 <> 7")
     mpio = pad_code(F.col("p_partkey") % 20, 4)
     return part.join(li, F.col("p_partkey") == F.col("l_partkey")).select(
         concat_key(mpio, F.lit("-"), "p_partkey").alias("segm"), F.col("p_size").cast("double").alias("p_size"), "p_retailprice", "avg_tax", "share_r"
@@ -155,8 +157,8 @@ COVARIATES = """covariates AS (
 SELECT concat(lpad(CAST(p_partkey % 20 AS VARCHAR),4,'0'),'-',CAST(p_partkey AS VARCHAR)) AS segm,
        CAST(p_size AS DOUBLE) AS p_size, p_retailprice, avg_tax, share_r
 FROM part JOIN (SELECT l_partkey, avg(l_tax) AS avg_tax, avg(CASE WHEN l_returnflag='R' THEN 1.0 ELSE 0.0 END) AS share_r
-                FROM lineitem GROUP BY l_partkey) ON p_partkey=l_partkey
-WHERE p_partkey % 50 <> 7)"""
+                FROM lineitem GROUP BY l_partkey) ON p_partkey=l_partkey)"""
+COVARIATES_GAPS = COVARIATES[:-1] + "\nWHERE p_partkey % 50 <> 7)"
 
 
 def theta_cells(spark: SparkSession, d: str) -> DataFrame:
@@ -227,7 +229,7 @@ SELECT l_shipdate AS date, l_returnflag AS band, l_quantity AS x, round(l_discou
 
 def zones(spark: SparkSession, d: str) -> DataFrame:
     """Grid of 10 x 2 rectangles over the range that the pixels span, built from the distinct grid cells of the data."""
-    cells = pixels(spark, d).filter("x < 50 and y < 12").select(F.floor(F.col("x") / 10).alias("i"), F.floor(F.col("y") / 2).alias("j")).distinct()
+    cells = pixels(spark, d).select(F.floor(F.col("x") / 10).alias("i"), F.floor(F.col("y") / 2).alias("j")).distinct()
 
     def corner(a: int, b: int):
         return F.struct(((F.col("i") + a) * 10).cast("double").alias("x"), ((F.col("j") + b) * 2).cast("double").alias("y"))
@@ -238,7 +240,7 @@ def zones(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-ALL = {"survey_raw": SURVEY_RAW, "survey": SURVEY, "census": CENSUS, "covariates": COVARIATES, "theta_cells": THETA, "pixels": PIXELS}
+ALL = {"survey_raw": SURVEY_RAW, "survey": SURVEY, "census": CENSUS, "covariates": COVARIATES, "covariates_gaps": COVARIATES_GAPS, "theta_cells": THETA, "pixels": PIXELS}
 NEEDS = {"survey": ["survey_raw"], "census": ["survey_raw", "survey"], "theta_cells": ["survey_raw", "survey", "census"]}
 
 

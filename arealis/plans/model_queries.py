@@ -193,9 +193,9 @@ def multinomial_probabilities(spark, d):
 # ---------------------------------------------------------------- mixed models
 
 
-def _income_cells(spark, d):
+def _income_cells(spark, d, observed="l_partkey % 10 <> 3"):
     """Survey cells of the observed areas with mean log income and count."""
-    s = _log_survey(spark, d).filter("l_partkey % 10 <> 3")
+    s = _log_survey(spark, d).filter(observed)
     return ce.collapse_mean(s, ["segm", "sexo", "edad"], "ly")
 
 
@@ -212,7 +212,7 @@ def group_intercept_model(spark, d):
 
 @query("random_intercept_model")
 def random_intercept_model(spark, d):
-    fit, _ = mx.random_intercept_model(_income_cells(spark, d), "ly", cell_terms(), "segm", "n")
+    fit, _ = mx.random_intercept_model(_income_cells(spark, d, "true"), "ly", cell_terms(), "segm", "n")
     return rounded(fit.table(spark), 5)
 
 

@@ -32,24 +32,24 @@ def read_survey(spark, d):
 
 @query(
     "read_census",
-    fx.ctes("census") + "SELECT segm, CAST(sum(n) AS BIGINT) AS n FROM census WHERE edad > '1' GROUP BY segm",
+    "SELECT l_returnflag AS condact3, CAST(count(*) AS BIGINT) AS n, round(sum(l_quantity),2) AS years FROM lineitem WHERE l_quantity > 14 AND l_returnflag IN ('A','N') GROUP BY l_returnflag",
 )
 def read_census(spark, d):
-    return collapse(fx.census(spark, d).filter(F.col("edad") > "1"), ["segm"], "n")
+    rows = io.read_census(spark, f"{d}/lineitem.parquet", 14, ["A", "N"], ["l_returnflag", "l_quantity"], age_column="l_quantity", status_column="l_returnflag")
+    return rounded(rows.groupBy(F.col("l_returnflag").alias("condact3")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("years")), 2)
 
 
-@query("read_covariates", fx.ctes("covariates") + "SELECT segm, p_size, round(p_retailprice,2) AS p_retailprice, round(avg_tax,6) AS avg_tax, round(share_r,6) AS share_r FROM covariates")
+@query(
+    "read_covariates",
+    "SELECT CASE WHEN length(CAST(p_partkey AS VARCHAR))<7 THEN lpad(CAST(p_partkey AS VARCHAR),7,'0') ELSE CAST(p_partkey AS VARCHAR) END AS p_partkey, p_size, round(p_retailprice,2) AS p_retailprice FROM part",
+)
 def read_covariates(spark, d):
-    return rounded(fx.covariates(spark, d), {"p_retailprice": 2})
+    return rounded(io.read_covariates(spark, f"{d}/part.parquet", "p_partkey", 7).select("p_partkey", "p_size", "p_retailprice"), 2)
 
 
-@query(
-    "read_zones",
-    "SELECT lpad(CAST(n_nationkey AS VARCHAR),4,'0') AS zone, n_name FROM nation JOIN region ON n_regionkey=r_regionkey WHERE r_name='EUROPE'",
-)
+@query("read_zones", "SELECT lpad(CAST(c_custkey AS VARCHAR),9,'0') AS c_custkey, c_name FROM customer WHERE c_mktsegment='BUILDING'")
 def read_zones(spark, d):
-    layer = fx.table(spark, d, "nation").join(fx.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return layer.filter("r_name = 'EUROPE'").select(rc.pad_code("n_nationkey", 4).alias("zone"), "n_name")
+    return io.read_zones(spark, f"{d}/customer.parquet", "c_mktsegment", "BUILDING", "c_custkey", 9).select("c_custkey", "c_name")
 
 
 @query(
@@ -58,8 +58,8 @@ def read_zones(spark, d):
     + "SELECT band, count(*) AS n, round(sum(value),2) AS total FROM pixels WHERE date>=TIMESTAMP '1999-01-01' AND date<TIMESTAMP '2001-01-01' AND band IN ('A','R') GROUP BY band",
 )
 def read_pixels(spark, d):
-    px = io.read_pixels(fx.pixels(spark, d), "1999-01-01", "2001-01-01", ["A", "R"])
-    return rounded(px.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")), 2)
+    px = io.read_pixels(spark, f"{d}/lineitem.parquet", "1999-01-01", "2001-01-01", ["A", "R"], "l_shipdate", "l_returnflag", ["l_returnflag", "l_extendedprice"])
+    return rounded(px.groupBy(F.col("l_returnflag").alias("band")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_extendedprice").alias("total")), 2)
 
 
 @query("write_table", fx.ctes("survey") + "SELECT mpio, count(*) AS n, CAST(sum(pobreza) AS BIGINT) AS y FROM survey GROUP BY mpio")

@@ -9,7 +9,7 @@ from arealis.operators.cells import collapse
 from arealis.operators.joins import attach_to_zones
 from arealis.plans import fixtures as fx
 from arealis.plans.registry import query, rounded
-from arealis.sources.io import read_pixels
+from arealis.sources.io import pixels_between
 
 BREAKS = [0.0, 0.05, 0.1, 0.2, 0.4, 1.0]
 
@@ -25,13 +25,13 @@ def _class_sql(v: str) -> str:
 RATES = "rate AS (SELECT segm, avg(pobreza) AS p FROM survey WHERE l_partkey%10<>3 GROUP BY segm)"
 
 
-def _rates(spark, d):
-    return fx.survey(spark, d).filter("l_partkey % 10 <> 3").groupBy("segm").agg(F.avg("pobreza").alias("p"))
+def _rates(spark, d, observed="l_partkey % 10 <> 3"):
+    return fx.survey(spark, d).filter(observed).groupBy("segm").agg(F.avg("pobreza").alias("p"))
 
 
-@query("classify", fx.ctes("survey", extra=RATES) + f"SELECT segm, round(p,6) AS p, {_class_sql('p')} AS class FROM rate")
+@query("classify", fx.ctes("survey", extra=RATES.replace(" WHERE l_partkey%10<>3", "")) + f"SELECT segm, round(p,6) AS p, {_class_sql('p')} AS class FROM rate")
 def classify(spark, d):
-    return rounded(_rates(spark, d).withColumn("class", geo.classify("p", BREAKS)))
+    return rounded(_rates(spark, d, "true").withColumn("class", geo.classify("p", BREAKS)))
 
 
 @query("attach_to_zones", fx.ctes("survey", "covariates", extra=RATES) + "SELECT segm, p_size, round(p,6) AS p FROM covariates LEFT JOIN rate USING (segm)")
@@ -58,7 +58,7 @@ def facet_table(spark, d):
 ZONE = "concat('Z',CAST(CAST(floor(x/10) AS BIGINT) AS VARCHAR),'_',CAST(CAST(floor(y/2) AS BIGINT) AS VARCHAR))"
 
 
-@query("points_in_zones", fx.ctes("pixels") + f"SELECT {ZONE} AS zone, band, count(*) AS n FROM pixels WHERE x<50 AND y<12 GROUP BY ALL")
+@query("points_in_zones", fx.ctes("pixels") + f"SELECT {ZONE} AS zone, band, count(*) AS n FROM pixels GROUP BY ALL")
 def points_in_zones(spark, d):
     hit = geo.points_in_zones(fx.pixels(spark, d), fx.zones(spark, d), "zone", cell=5.0)
     return collapse(hit, ["zone", "band"])
@@ -67,16 +67,16 @@ def points_in_zones(spark, d):
 @query(
     "zonal_sum",
     fx.ctes("pixels")
-    + f"""SELECT {ZONE} AS zone, round(sum(value) FILTER (band='A'),2) AS "A", round(sum(value) FILTER (band='R'),2) AS "R" FROM pixels WHERE x<50 AND y<12 AND band IN ('A','R') AND date>=TIMESTAMP '1999-01-01' AND date<TIMESTAMP '2001-01-01' GROUP BY 1""",
+    + f"""SELECT {ZONE} AS zone, round(sum(value) FILTER (band='A'),2) AS "A", round(sum(value) FILTER (band='R'),2) AS "R" FROM pixels WHERE band IN ('A','R') AND date>=TIMESTAMP '1999-01-01' AND date<TIMESTAMP '2001-01-01' GROUP BY 1""",
 )
 def zonal_sum(spark, d):
-    px = read_pixels(fx.pixels(spark, d), "1999-01-01", "2001-01-01", ["A", "R"])
+    px = pixels_between(fx.pixels(spark, d), "1999-01-01", "2001-01-01", ["A", "R"])
     return rounded(geo.zonal_sum(px, fx.zones(spark, d), "zone", ["A", "R"], cell=5.0), 2)
 
 
 @query(
     "zonal_sum_two_collections",
-    fx.ctes("pixels", extra=f"""a AS (SELECT {ZONE} AS zone, sum(value) FILTER (band='A') AS "A" FROM pixels WHERE x<50 AND y<12 AND band='A' GROUP BY 1), b AS (SELECT {ZONE} AS zone, sum(value) FILTER (band='N') AS "N" FROM pixels WHERE x<50 AND y<12 AND band='N' GROUP BY 1)""")
+    fx.ctes("pixels", extra=f"""a AS (SELECT {ZONE} AS zone, sum(value) FILTER (band='A') AS "A" FROM pixels WHERE band='A' GROUP BY 1), b AS (SELECT {ZONE} AS zone, sum(value) FILTER (band='N') AS "N" FROM pixels WHERE band='N' GROUP BY 1)""")
     + 'SELECT zone, round("A",2) AS "A", round("N",2) AS "N" FROM a FULL JOIN b USING (zone)',
 )
 def zonal_sum_two_collections(spark, d):

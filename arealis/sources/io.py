@@ -26,13 +26,15 @@ def read_survey(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return nan_to_null(read_table(spark, path, columns, fmt, schema, **options))
 
 
-def read_census(spark: SparkSession, path: str, min_age: int | None = None, status: Sequence[int] | None = None, columns: Sequence[str] | None = None) -> DataFrame:
-    """Aggregated census cells; the universe filters reach the scan."""
+def read_census(
+    spark: SparkSession, path: str, min_age: float | None = None, status: Sequence[object] | None = None, columns: Sequence[str] | None = None, age_column: str = "edad", status_column: str = "condact3"
+) -> DataFrame:
+    """Census rows or cells above an age and of some activity states; the universe filters reach the scan."""
     df = read_table(spark, path)
     if min_age is not None:
-        df = df.filter(F.col("edad") > min_age)
+        df = df.filter(F.col(age_column) > min_age)
     if status is not None:
-        df = df.filter(F.col("condact3").isin(*status))
+        df = df.filter(F.col(status_column).isin(*status))
     return df.select(*columns) if columns else df
 
 
@@ -49,8 +51,14 @@ def read_zones(spark: SparkSession, path: str, region_column: str | None = None,
     return df.withColumn(code, pad_code(code, width)) if code and width else df
 
 
-def read_pixels(pixels: DataFrame, start: str, end: str, bands: Sequence[str], date: str = "date", band: str = "band") -> DataFrame:
-    """Pixel samples in the half-open window [start, end) and the wanted bands."""
+def read_pixels(spark: SparkSession, path: str, start: str, end: str, bands: Sequence[str], date: str = "date", band: str = "band", columns: Sequence[str] | None = None) -> DataFrame:
+    """Pixel samples of a stored collection in the half-open window [start, end) and the wanted bands."""
+    kept = pixels_between(read_table(spark, path), start, end, bands, date, band)
+    return kept.select(*columns) if columns else kept
+
+
+def pixels_between(pixels: DataFrame, start: str, end: str, bands: Sequence[str], date: str = "date", band: str = "band") -> DataFrame:
+    """Pixel samples of a table in the half-open window [start, end) and the wanted bands."""
     return pixels.filter((F.col(date) >= F.lit(start).cast("timestamp")) & (F.col(date) < F.lit(end).cast("timestamp")) & F.col(band).isin(*bands))
 
 
