@@ -10,8 +10,7 @@ from pyspark.sql.window import Window
 
 from arealis.llm.common import fresh, quoted, staged, text_of, words
 
-SAMPLES = 32
-LANES = 4  # samples are drawn in as many groups, so that the generated code of a task stays small
+SAMPLES = 24
 OFFSET, SCALE = 128.0, float(1 << 23)  # keep a log weight as a positive number of 31 bits
 HALF = (1 << 32) - 1
 
@@ -23,17 +22,17 @@ def _two_uniforms(h: Column) -> Column:
     return low * high / F.lit(2.0**64)
 
 
-def weighted_sample(term: Column, ln_weight: Column, sample: Column) -> Column:
+def weighted_sample(term: Column, ln_weight: Column, sample: int) -> Column:
     """Log weight and identity of a term's consistent sample, packed so that the least is the draw.
 
     With r and c from Gamma(2, 1) and b uniform, all hashed from the term and the sample number: t = floor(ln w / r + b) and
     ln a = ln c - r (t - b + 1).  The least a over the terms names the pair (term, t); two documents agree on it with a
     probability equal to their generalised Jaccard similarity.
     """
-    h = F.xxhash64(term, 3 * sample)
+    h = F.xxhash64(term, F.lit(3 * sample))
     r = -F.ln(_two_uniforms(h))
-    ln_c = F.ln(-F.ln(_two_uniforms(F.xxhash64(term, 3 * sample + 1))) + F.lit(1e-30))
-    b = F.shiftrightunsigned(F.xxhash64(term, 3 * sample + 2), 11).cast("double") / F.lit(2.0**53)
+    ln_c = F.ln(-F.ln(_two_uniforms(F.xxhash64(term, F.lit(3 * sample + 1)))) + F.lit(1e-30))
+    b = F.shiftrightunsigned(F.xxhash64(term, F.lit(3 * sample + 2)), 11).cast("double") / F.lit(2.0**53)
     t = F.floor(ln_weight / (r + F.lit(1e-30)) + b)
     ln_a = ln_c - r * (t - b + 1)
     rank = F.floor((ln_a + F.lit(OFFSET)) * F.lit(SCALE)).cast("long")
@@ -41,11 +40,11 @@ def weighted_sample(term: Column, ln_weight: Column, sample: Column) -> Column:
 
 
 def signatures(df: DataFrame, keys: list[str], text: Column, samples: int = SAMPLES) -> DataFrame:
-    """Signatures over the words weighted by their counts, in ``LANES`` parts: a row for each row and ``lane``, its part of the ``samples`` integers in ``signature``; nulls where the text has no word.
+    """One signature per row: array of ``samples`` integers over the words weighted by their counts; nulls where the text has no word.
 
-    ``keys`` must tell rows apart.  If the rows lie by one of them, nothing is exchanged.
+    ``keys`` must tell rows apart, and are best of fixed width: every word is aggregated by them.  If the rows lie by one of
+    them, nothing is exchanged.
     """
-    each = samples // LANES
     terms, ends, place, end, term, weight = fresh(df, "terms", "ends", "place", "end", "term", "weight")
     listed = df.select(*[quoted(k) for k in keys], F.sort_array(words(text)).alias(terms))
     ties = F.expr(f"filter(sequence(0, size({terms}) - 1), i -> i = size({terms}) - 1 or {terms}[i] != {terms}[i + 1])")
@@ -56,11 +55,10 @@ def signatures(df: DataFrame, keys: list[str], text: Column, samples: int = SAMP
         F.xxhash64(F.expr(f"{terms}[{end}]")).alias(term),
         F.expr(f"ln(cast({end} - if({place} = 0, -1, {ends}[{place} - 1]) as double))").alias(weight),
         F.col(end).isNotNull().alias(end),
-        F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))).alias("lane"),
     )
-    draws = [F.min(F.when(F.col(end), weighted_sample(F.col(term), F.col(weight), F.col("lane") * each + k))).alias(f"{weight}{k}") for k in range(each)]
-    least = runs.groupBy(*[quoted(k) for k in keys], "lane").agg(*draws)
-    return least.select(*[quoted(k) for k in keys], "lane", F.array(*[(F.col(f"{weight}{k}").bitwiseAND(F.lit(HALF)) - F.lit(1 << 31)).cast("int") for k in range(each)]).alias("signature"))
+    draws = [F.min(F.when(F.col(end), weighted_sample(F.col(term), F.col(weight), k))).alias(f"{weight}{k}") for k in range(samples)]
+    least = runs.groupBy(*[quoted(k) for k in keys]).agg(*draws)
+    return least.select(*[quoted(k) for k in keys], F.array(*[(F.col(f"{weight}{k}").bitwiseAND(F.lit(HALF)) - F.lit(1 << 31)).cast("int") for k in range(samples)]).alias("signature"))
 
 
 def fingerprint(signature: Column, samples: int = SAMPLES) -> Column:
@@ -123,17 +121,12 @@ def edit_test(df: DataFrame, key: str = "doc_id", text: str = "text", samples: i
     heads = sent.groupBy("id").agg(F.max("head").alias("head"))  # repeated rows send the same text
     rows = base.join(heads, "id").withColumn("n", F.char_length("text")).withColumn("hash", F.xxhash64("text"))
     edited = F.expr("concat(substring(text, 1, cast(n - n div 3 as int)), substring(head, 1, cast(n div 3 as int)))")
-    both = rows.select("id", "row", "hash", "n", F.sha2(edited, 256).alias("sha"), F.posexplode(F.array("text", edited)).alias("side", "text"))
-    both = both.withColumn("sha", F.when(F.col("side") == 1, F.col("sha")))
-    signed = signatures(both, ["id", "row", "hash", "side", "n", "sha"], F.col("text"), samples)
-    mine = signed.groupBy("id", "row").agg(
-        F.max("hash").alias("hash"),
-        F.max("n").alias("n_chars"),
-        F.max("sha").alias("edited_sha256"),
-        *[F.max(F.when((F.col("side") == i) & (F.col("lane") == lane), F.col("signature"))).alias(f"{name}{lane}") for i, name in enumerate(("own", "changed")) for lane in range(LANES)],
-    )
-    mine = mine.select("id", "row", "hash", "n_chars", "edited_sha256", *[F.concat(*[f"{name}{lane}" for lane in range(LANES)]).alias(name) for name in ("own", "changed")])
-    mine = staged(mine.join(ids.select("id", "h"), "id").join(ring.select("id", "next"), "id"))
+    both = rows.select("id", "row", F.posexplode(F.array("text", edited)).alias("side", "text"))
+    signed = signatures(both, ["id", "row", "side"], F.col("text"), samples)
+    mine = signed.groupBy("id", "row").agg(*[F.max(F.when(F.col("side") == i, F.col("signature"))).alias(name) for i, name in enumerate(("own", "changed"))])
+    # the same exchanges once more, for what belongs to a row: cheaper than carrying it along with every word
+    about = rows.select("id", "row", "hash", F.col("n").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
+    mine = staged(mine.join(about, ["id", "row"]).join(ids.select("id", "h"), "id").join(ring.select("id", "next"), "id"))
     following = mine.where(F.col("hash") == F.col("h")).groupBy("id").agg(F.min("own").alias("following")).withColumnRenamed("id", "next")
     out = mine.join(following, "next")
     real = F.when(F.col("id") != F.lit(-(1 << 63)), F.col("id"))
