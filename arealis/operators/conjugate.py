@@ -65,15 +65,17 @@ def normal_posterior_unknown_var(
     """Posterior mean and sd of (theta, sigma2) under independent normal and inverse-gamma priors.
 
     Given sigma2 the mean is normal in closed form, so one log-spaced grid over sigma2 per group, centred at
-    the sample variance and ``width`` standard deviations wide, is all that is integrated numerically.
+    the sample variance and ``width`` standard deviations wide, is all that is integrated numerically.  Where the
+    values of a group are equal, or there is only one, the grid is centred at what the prior alone would give.
     ``stan_compat`` puts the inverse-gamma density on sigma2 without the change of variable from sigma.
     """
     s = df.groupBy(*by).agg(F.count(y).cast("double").alias("n"), F.avg(y).alias("ybar"), F.var_samp(y).alias("s2"))
-    s = s.filter(F.col("s2") > 0)
+    s = s.filter(F.col("n") > 0).withColumn("s2", F.coalesce("s2", F.lit(0.0)))
     n, ybar, s2 = F.col("n"), F.col("ybar"), F.col("s2")
+    centre = F.when(s2 > 0, s2).otherwise(F.lit(2 * rate) / (n - 1 + F.lit(2 * shape)))
     half = F.lit(width) * F.sqrt(2.0 / n)
     grid = F.transform(
-        F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.log(s2) - half + 2 * half * i / F.lit(float(points - 1))
+        F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.log(centre) - half + 2 * half * i / F.lit(float(points - 1))
     )
     jac = 0.5 if stan_compat else 1.0  # log grid step: d sigma2 = sigma2 d log; d sigma = sigma/2 d log
 

@@ -66,34 +66,95 @@ def replicate_bernoulli(p: Column, seed: object, *keys: str) -> Column:
     return (uniform(seed, *keys) < p).cast("int")
 
 
-def replicate_binomial(n: Column, p: Column, seed: object, *keys: str, exact_up_to: int = 1000) -> Column:
-    """Sum of keyed Bernoulli trials; a rounded normal beyond ``exact_up_to`` trials."""
-    trials = F.sequence(F.lit(1), F.greatest(n.cast("int"), F.lit(1)))
+def _bound(values: dict[str, Column], body) -> Column:
+    """Apply ``body`` to values that are computed once, however often it names them."""
+    row = F.struct(*[c.alias(k) for k, c in values.items()])
+    return F.element_at(F.transform(F.array(row), body), 1)
+
+
+def _by_ratio(x: Column, up, down) -> Column:
+    """Invert a discrete distribution at the uniform ``x.u`` from the ratios of neighbouring probabilities.
+
+    ``up(k)`` is p(k) / p(k - 1) and ``down(k)`` is p(k) / p(k + 1).  Weights start from 1 at ``x.mode`` and are summed as
+    far as 12 times ``x.sd`` and 40 steps within ``x.low`` and ``x.high``; beyond that they vanish in double precision.
+    """
+
+    def side(length: Column) -> Column:
+        n = F.least(length, x["sd"] * 12 + 40).cast("long")
+        return F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<bigint>"))
+
+    def total(steps: Column, sign: int, ratio) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            return _bound({"w": acc["w"] * ratio(x["mode"] + sign * i)}, lambda v: F.struct(v["w"].alias("w"), (acc["s"] + v["w"]).alias("s")))
+
+        return F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s")), step).getField("s")
+
+    def walk(steps: Column, sign: int, ratio, left: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            k = x["mode"] + sign * i
+            moved = _bound({"w": acc["w"] * ratio(k)}, lambda v: F.struct(v["w"].alias("w"), (acc["left"] - v["w"]).alias("left"), k.alias("k")))
+            return F.when(acc["left"] <= 0, acc).otherwise(moved)
+
+        return F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), left.alias("left"), x["mode"].alias("k")), step).getField("k")
+
+    def pick(y: Column) -> Column:
+        goal = x["u"] * (1 + y["over"] + y["under"])
+        return (
+            F.when(goal <= 1, x["mode"])
+            .when(goal <= 1 + y["over"], walk(y["above"], 1, up, goal - 1))
+            .otherwise(walk(y["below"], -1, down, goal - 1 - y["over"]))
+        )
+
+    sides = _bound({"above": side(x["high"] - x["mode"]), "below": side(x["mode"] - x["low"])}, lambda s: F.struct(s["above"], s["below"], total(s["above"], 1, up).alias("over"), total(s["below"], -1, down).alias("under")))
+    return _bound({"y": sides}, lambda z: pick(z["y"]))
+
+
+def replicate_binomial(n: Column, p: Column, seed: object, *keys: str, trials_up_to: int = 1000) -> Column:
+    """An exact binomial draw: the sum of keyed Bernoulli trials, or by inversion beyond ``trials_up_to`` trials."""
     joined = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-    exact = F.aggregate(trials, F.lit(0), lambda acc, t: acc + (uniform(seed, joined, t) < p).cast("int"))
-    exact = F.when(n >= 1, exact).otherwise(0)
-    approx = F.least(F.greatest(F.bround(n * p + F.sqrt(n * p * (1 - p)) * normal(seed, *keys)), F.lit(0.0)), n.cast("double")).cast("int")
-    return F.when(n <= exact_up_to, exact).otherwise(approx)
+
+    def drawn(x: Column) -> Column:
+        exact = F.aggregate(F.sequence(F.lit(1), x["n"]), F.lit(0), lambda acc, t: acc + (uniform(seed, joined, t) < x["p"]).cast("int"))
+        size, odds = x["n"].cast("double"), F.greatest(x["p"] / F.greatest(1 - x["p"], F.lit(1e-300)), F.lit(1e-300))
+
+        def invert(y: Column) -> Column:
+            return _by_ratio(y, lambda k: (y["high"] - k + 1) / k * y["odds"], lambda k: (k + 1) / ((y["high"] - k) * y["odds"])).cast("int")
+
+        mode = F.least(size, F.floor((size + 1) * x["p"]).cast("double"))
+        values = {"u": uniform(seed, *keys), "mode": mode, "low": F.lit(0.0), "high": size, "sd": F.sqrt(size * x["p"] * (1 - x["p"])), "odds": odds}
+        return (
+            F.when(x["n"] < 1, F.lit(0))
+            .when(x["n"] <= trials_up_to, exact)
+            .when(x["p"] <= 0, F.lit(0))
+            .when(x["p"] >= 1, x["n"])
+            .otherwise(_bound(values, invert))
+        )
+
+    return _bound({"n": n.cast("int"), "p": p.cast("double")}, drawn)
 
 
 def replicate_normal(mean: Column, sd: Column, seed: object, *keys: str) -> Column:
     return mean + sd * normal(seed, *keys)
 
 
-def replicate_poisson(rate: Column, seed: object, *keys: str, exact_up_to: float = 500.0) -> Column:
-    """Inverse of the Poisson distribution function at a keyed uniform; a rounded normal for large rates."""
-    u = uniform(seed, *keys)
-    small = F.least(rate, F.lit(exact_up_to))
-    top = F.ceil(small + 12 * F.sqrt(small) + 20).cast("int")
-    start = F.struct(F.exp(-small).alias("p"), F.lit(0.0).alias("c"), F.lit(0).alias("k"))
+def replicate_poisson(rate: Column, seed: object, *keys: str, from_zero_up_to: float = 500.0) -> Column:
+    """An exact Poisson draw by inversion at a keyed uniform, from zero upwards or, where that would underflow, from the mode."""
+
+    def drawn(x: Column) -> Column:
+        top = F.ceil(x["rate"] + 12 * F.sqrt(x["rate"]) + 20).cast("int")
+        start = F.struct(F.exp(-x["rate"]).alias("p"), F.lit(0.0).alias("c"), F.lit(0).alias("k"))
+
+        def step(acc: Column, i: Column) -> Column:
+            c = acc["c"] + acc["p"]
+            return F.struct((acc["p"] * x["rate"] / (i + 1)).alias("p"), c.alias("c"), (acc["k"] + (c < x["u"]).cast("int")).alias("k"))
 
-    def step(acc: Column, i: Column) -> Column:
-        c = acc["c"] + acc["p"]
-        return F.struct((acc["p"] * small / (i + 1)).alias("p"), c.alias("c"), (acc["k"] + (c < u).cast("int")).alias("k"))
+        small = F.aggregate(F.sequence(F.lit(0), top), start, step).getField("k")
+        mode = F.floor(x["rate"]).cast("double")
+        values = {"u": x["u"], "mode": mode, "low": F.lit(0.0), "high": mode + 12 * F.sqrt(x["rate"]) + 40, "sd": F.sqrt(x["rate"]), "rate": x["rate"]}
+        large = _bound(values, lambda y: _by_ratio(y, lambda k: y["rate"] / k, lambda k: (k + 1) / y["rate"]).cast("int"))
+        return F.when(x["rate"] <= from_zero_up_to, small).otherwise(large)
 
-    exact = F.aggregate(F.sequence(F.lit(0), top), start, step).getField("k")
-    approx = F.greatest(F.bround(rate + F.sqrt(rate) * normal(seed, *keys)), F.lit(0.0)).cast("int")
-    return F.when(rate <= exact_up_to, exact).otherwise(approx)
+    return _bound({"rate": rate.cast("double"), "u": uniform(seed, *keys)}, drawn)
 
 
 def replicate_category(probs: Sequence[Column], seed: object, *keys: str) -> Column:

@@ -64,19 +64,15 @@ def split_observed(df: DataFrame, estimate: str, covariate: str) -> tuple[DataFr
     return seen, rest
 
 
-def complete_grid(df: DataFrame, keys: Sequence[str], max_levels: int = 10_000) -> DataFrame:
+def complete_grid(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All combinations of the levels of ``keys``, joined back to ``df``.
 
-    The first key (the area) may have any number of levels.  The others are classifications: their levels
-    become one array per key, checked against ``max_levels``, and are exploded onto the areas.
+    The first key (the area) may have any number of levels, spread over tasks.  The others are classifications: the
+    distinct levels of one of them travel as one array and are exploded onto the areas.
     """
     grid = df.select(keys[0]).distinct()
     for k in keys[1:]:
-        levels = df.select(k).distinct().orderBy(k).limit(max_levels + 1).agg(F.collect_list(k).alias("v"))
-        arr = levels.select(
-            F.when(F.size("v") <= max_levels, F.col("v")).otherwise(F.raise_error(F.lit(f"{k} has too many levels to complete")))
-        ).scalar()
-        grid = grid.withColumn(k, F.explode(arr))
+        grid = grid.withColumn(k, F.explode(df.agg(F.array_sort(F.collect_set(k))).scalar()))
     return grid.join(df, list(keys), "full")
 
 

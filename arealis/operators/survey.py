@@ -18,8 +18,6 @@ from arealis.functions.recode import as_column, inv_logit, logit, nullif_zero
 from arealis.operators.joins import join_keys
 from arealis.session import materialise
 
-BROADCAST_STRATA = 100_000
-
 
 @dataclass(frozen=True)
 class SurveyDesign:
@@ -49,17 +47,13 @@ class SurveyDesign:
     def prepare(self) -> SurveyDesign:
         """Scan the design columns once and keep the stratum sizes and overall totals.
 
-        Worth it when several outcomes share a design: later estimates read neither again.  The sizes are
-        broadcast when there are few strata, which is counted here, and joined on the stratum otherwise.
+        Worth it when several outcomes share a design: later estimates read neither again.
         """
         if self.sizes is not None:
             return self
         strata = materialise(_stratum_sizes(self))
-        row = strata.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("n"), F.sum("__w").alias("w")).first()
-        sizes = strata.select("__h", "__nh")
-        if row["k"] <= BROADCAST_STRATA:
-            sizes = F.broadcast(sizes)
-        return replace(self, sizes=sizes, totals=(float(row["n"] or 0), float(row["w"] or 0.0)))
+        row = strata.agg(F.sum("__n").alias("n"), F.sum("__w").alias("w")).first()
+        return replace(self, sizes=strata.select("__h", "__nh"), totals=(float(row["n"] or 0), float(row["w"] or 0.0)))
 
     def stratum(self) -> Column:
         return F.lit("1") if self.strata is None else F.coalesce(F.col(self.strata).cast("string"), F.lit("NA"))
@@ -85,6 +79,15 @@ def _stratum_sizes(design: SurveyDesign) -> DataFrame:
     return sizes
 
 
+def _lonely(design: SurveyDesign):
+    """What a stratum with a single PSU adds to a variance sum."""
+    return {
+        "adjust": lambda q: q,
+        "remove": lambda q: F.lit(0.0),
+        "fail": lambda q: F.raise_error(F.lit("a stratum has a single PSU")).cast("double"),
+    }[design.lonely_psu]
+
+
 def _domain_sums(design: SurveyDesign, y: str, by: Sequence[str]) -> DataFrame:
     """Per domain: counts, weighted sums and the three coefficients of the variance as a polynomial in the mean."""
     w, v = F.col(design.weight).cast("double"), F.col(y).cast("double")
@@ -122,11 +125,7 @@ def _domain_sums(design: SurveyDesign, y: str, by: Sequence[str]) -> DataFrame:
     strata = strata.join(sizes, "__h")
     nh = F.col("__nh")
     f = nh / (nh - 1)
-    lonely = {
-        "adjust": lambda q: q,
-        "remove": lambda q: F.lit(0.0),
-        "fail": lambda q: F.raise_error(F.lit("a stratum has a single PSU")).cast("double"),
-    }[design.lonely_psu]
+    lonely = _lonely(design)
 
     def part(q: str, a: str, b: str) -> Column:
         qq, sa, sb = (F.coalesce(c, F.lit(0.0)) for c in (q, a, b))
@@ -326,8 +325,7 @@ def trim_grid(design: SurveyDesign, y: str, cs: Sequence[float]) -> DataFrame:
     nh = F.col("__nh")
 
     def part(q: str, a: str, b: str) -> Column:
-        keep = F.col(q) if design.lonely_psu == "adjust" else F.lit(0.0)
-        return F.sum(F.when(nh > 1, nh / (nh - 1) * (F.col(q) - F.col(a) * F.col(b) / nh)).otherwise(keep))
+        return F.sum(F.when(nh > 1, nh / (nh - 1) * (F.col(q) - F.col(a) * F.col(b) / nh)).otherwise(_lonely(design)(F.col(q))))
 
     tot = strata.groupBy("__g", "C").agg(
         F.sum("W").alias("W"), F.sum("WY").alias("WY"), part("q_yy", "WY", "WY").alias("A"), part("q_wy", "W", "WY").alias("B"), part("q_ww", "W", "W").alias("D")

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +103,7 @@ def test_replicated_outcomes(spark):
         dr.replicate_bernoulli(F.lit(0.3), "b", "id").alias("bern"),
         dr.replicate_binomial(F.col("n"), F.lit(0.25), "c", "id").alias("bin"),
         dr.replicate_binomial(F.lit(5000), F.lit(0.25), "d", "id").alias("big"),
+        dr.replicate_poisson(F.lit(900.0), "k", "id").alias("bigpois"),
         dr.replicate_normal(F.lit(2.0), F.lit(0.5), "e", "id").alias("norm"),
         dr.replicate_poisson(F.lit(3.5), "f", "id").alias("pois"),
         dr.replicate_category([F.lit(0.2), F.lit(0.3), F.lit(0.5)], "g", "id").alias("cat"),
@@ -110,6 +113,11 @@ def test_replicated_outcomes(spark):
     assert x.bern.mean() == pytest.approx(0.3, abs=0.015)
     assert x.bin.mean() == pytest.approx(3, abs=0.05) and x.bin.var() == pytest.approx(2.25, rel=0.06)
     assert x.big.mean() == pytest.approx(1250, rel=0.005) and x.big.std() == pytest.approx(30.6, rel=0.05)
+    # the distribution functions of the large draws, not only their moments
+    for values, law in ((x.big, [math.lgamma(5001) - math.lgamma(k + 1) - math.lgamma(5001 - k) + k * math.log(0.25) + (5000 - k) * math.log(0.75) for k in range(5001)]), (x.bigpois, [k * math.log(900) - 900 - math.lgamma(k + 1) for k in range(2000)])):
+        expected = np.cumsum(np.exp(law))
+        seen = np.searchsorted(np.sort(values), np.arange(len(law)), "right") / len(values)
+        assert np.abs(seen - expected).max() < 1.63 / np.sqrt(len(values))
     assert x.norm.mean() == pytest.approx(2, abs=0.02)
     assert x.pois.mean() == pytest.approx(3.5, abs=0.06) and x.pois.var() == pytest.approx(3.5, rel=0.06)
     assert x.cat.value_counts(normalize=True).sort_index().to_numpy() == pytest.approx([0.2, 0.3, 0.5], abs=0.015)
