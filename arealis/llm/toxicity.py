@@ -17,8 +17,9 @@ from arealis.llm.wordhash import mix, polynomial_sums, shingle_set, text_buffers
 
 PREFIXES = (4, 5, 6, 7)  # bytes at the start of a token, to meet inflected forms
 BUCKETS = 1 << 18
-PIECE = 1 << 20
-SLICE = 4000  # rows whose chains run together
+QUIET = 0.25  # chances below this do not add up, or every long text would seem toxic
+PIECE = 1 << 18
+SLICE = 1500  # rows whose chains run together
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -142,8 +143,15 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, moves: np.ndarray) -> tup
     return out, pairs
 
 
+def _token_scores(weights: np.ndarray, feats: np.ndarray) -> np.ndarray:
+    out = weights[feats[:, 0]]
+    for column in feats.T[1:]:
+        out += weights[column]
+    return out
+
+
 def _document_inputs(p: np.ndarray) -> tuple[float, float]:
-    return (float(p.max()), float(np.log1p(p.sum()))) if len(p) else (0.0, 0.0)
+    return (float(p.max()), float(np.log1p(np.maximum(p - QUIET, 0).sum()))) if len(p) else (0.0, 0.0)
 
 
 def _without_copies(docs: list[np.ndarray]) -> list[int]:
@@ -190,11 +198,11 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
     common = both >= max(3, len(docs) // 500)  # rarer features would only let the field learn documents by heart
     common[0] = False
     # a prefix that nearly always begins one and the same token says no more than the token
-    forms = np.unique(np.concatenate(docs)[:, 0])
+    forms = np.unique(np.concatenate([d[:, 0] for d in docs]))
     for c in range(1, 1 + len(PREFIXES)):
-        rows = np.unique(np.concatenate([np.unique(d[:, [0, c]], axis=0) for d in docs]), axis=0, return_counts=True)
+        pairs, held = np.unique(np.concatenate([np.unique(d[:, 0].astype(np.int64) * BUCKETS + d[:, c]) for d in docs]), return_counts=True)
         most = np.zeros(BUCKETS)
-        np.maximum.at(most, rows[0][:, 1], rows[1])
+        np.maximum.at(most, pairs % BUCKETS, held)
         alone = (most > 0.8 * both) & (most > 0)
         common &= ~alone
         marks &= ~alone
@@ -202,7 +210,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
     lengths = np.array([len(d) for d in docs])
     feats = np.concatenate(docs)
     owner = np.repeat(np.arange(len(docs)), lengths)
-    label = (marks[feats].any(1) & (toxic[owner] == 1)).astype(float)
+    label = (np.logical_or.reduce([marks[column] for column in feats.T]) & (toxic[owner] == 1)).astype(float)
     weights, bias, moves = np.zeros(BUCKETS), -4.0, np.zeros((2, 2))
     seen_w, seen_b, seen_m = np.full(BUCKETS, 1e-6), 1e-6, np.full((2, 2), 1e-6)
     first = np.zeros(len(label), bool)
@@ -213,9 +221,9 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
     told = np.zeros((2, 2))
     np.add.at(told, (at[inner - 1], at[inner]), 1)
     for _ in range(rounds):
-        p, pairs = marginals(weights[feats].sum(1) + bias, lengths, moves)
+        p, pairs = marginals(_token_scores(weights, feats) + bias, lengths, moves)
         slope = label - p
-        up = np.where(common, np.bincount(feats.ravel(), np.repeat(slope, feats.shape[1]), BUCKETS) - 0.1 * weights, 0.0)
+        up = np.where(common, sum(np.bincount(column, slope, BUCKETS) for column in feats.T) - 0.1 * weights, 0.0)
         seen_w += up**2
         weights += 0.6 * up / np.sqrt(seen_w)
         seen_b += slope.sum() ** 2
@@ -223,7 +231,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
         gap = told - pairs
         seen_m += gap**2
         moves += 0.1 * gap / np.sqrt(seen_m)
-    p, _ = marginals(weights[feats].sum(1) + bias, lengths, moves)
+    p, _ = marginals(_token_scores(weights, feats) + bias, lengths, moves)
     edges = np.cumsum(lengths)[:-1]
     x = np.array([[1.0, *_document_inputs(q)] for q in np.split(p, edges)])
     scale = np.zeros(3)
@@ -243,7 +251,7 @@ def score_column(column: pa.Array, model: ToxicityModel, least: float = 0.5) ->
     lengths, scores, starts, ends = np.zeros(rows, np.int64), [], [], []
     for row, _, feats, b, e in batch_features(column):
         lengths[row] += len(feats)
-        scores.append(model.weights[feats].sum(1, dtype=np.float32))
+        scores.append(_token_scores(model.weights, feats))
         starts.append(b)
         ends.append(e)
     flat = np.concatenate(scores) if scores else np.zeros(0, np.float32)
@@ -256,7 +264,7 @@ def score_column(column: pa.Array, model: ToxicityModel, least: float = 0.5) ->
         top[full] = np.maximum.reduceat(p, edges[full])
     mass = np.zeros(rows)
     if len(full):
-        mass[full] = np.add.reduceat(p, edges[full])
+        mass[full] = np.add.reduceat(np.maximum(p - QUIET, 0), edges[full])
     value = model.scale[0] + model.scale[1] * top + model.scale[2] * np.log1p(mass)
     found: list[list[tuple[int, int]]] = [[] for _ in range(rows)]
     hits = np.flatnonzero(p >= least)
@@ -265,8 +273,8 @@ def score_column(column: pa.Array, model: ToxicityModel, least: float = 0.5) ->
     return 1 / (1 + np.exp(-value)), found
 
 
-def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows_per_class: int = 2000, longest: int = 1 << 14) -> ToxicityModel:
-    """Fit on a bounded sample: at most ``rows_per_class`` labelled documents of each class, chosen by a hash of the key, of at most ``longest`` characters.
+def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows: tuple[int, int] = (4500, 1500), longest: int = 1 << 13) -> ToxicityModel:
+    """Fit on a bounded sample: at most ``rows`` labelled documents (clean, toxic), chosen by a hash of the key, of at most ``longest`` characters.
 
     ``keep`` is an SQL condition on the labels table for the rows that may be learned from.  Rows with a null key, label or
     text are left out, and keys that are labelled both ways.
@@ -275,8 +283,8 @@ def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     marked = marked.where(quoted(label).isin(0, 1)).groupBy(quoted(key).alias("k")).agg(F.min(quoted(label)).alias("y"), F.max(quoted(label)).alias("z")).where("y = z").select("k", "y")
     texts = docs.select(quoted(key).alias("k"), quoted(text).cast("string").alias("text"))
     fits = texts.select("k", F.length("text").alias("n")).where(f"n between 1 and {longest}").join(marked, "k").groupBy("k").agg(F.max("y").alias("y"))
-    chosen = [fits.where(F.col("y") == y).orderBy(F.xxhash64("k", F.lit(3)), "k").limit(rows_per_class) for y in (0, 1)]
-    # at most two times rows_per_class keys, so the sample's keys may be broadcast; texts of other rows do not move
+    chosen = [fits.where(F.col("y") == y).orderBy(F.xxhash64("k", F.lit(3)), "k").limit(rows[y]) for y in (0, 1)]
+    # at most sum(rows) keys, so the sample's keys may be broadcast; texts of other rows do not move
     some = texts.join(F.broadcast(staged(chosen[0].union(chosen[1]))), "k").where(F.length("text") <= longest).dropDuplicates(["k"])
     sample = some.orderBy(F.xxhash64("k", F.lit(4)), "k").select("text", "y").toPandas()
     return fit(sample["text"].tolist(), sample["y"].to_numpy())
