@@ -241,7 +241,7 @@ def binomial_mixed_models(spark, d):
     """Eight deprivation models with area effects nested in municipality effects, fitted together."""
     long = ce.collapse_binomial(fx.survey(spark, d), ["mpio", "segm", "sexo", "area"], list(fx.INDICATORS))
     xs = {**sex_terms(), "urban": (F.col("area") == "1").cast("double")}
-    fits, _, _ = mx.binomial_mixed_models(long, "indicator", "yno", "n", xs, "segm", "mpio", nodes=5, max_iter=12)
+    fits, _, _ = mx.binomial_mixed_models(long, "indicator", "yno", "n", xs, "segm", "mpio", nodes=5)
     rows = [(k, n, float(b), float(s)) for k, f in fits.items() for n, b, s in zip(f.names, f.beta, np.sqrt(np.diag(f.cov)))]
     rows += [(k, "sigma_group", float(np.sqrt(f.sigma2_u[0, 0])), None) for k, f in fits.items()]
     return rounded(spark.createDataFrame(rows, "indicator string, variable string, mean double, sd double"), 4)
@@ -252,7 +252,7 @@ def multinomial_mixed_model(spark, d):
     """Employment probabilities per census cell with correlated area effects, then rates by municipality."""
     cats = ["empleo_1", "empleo_2", "empleo_3"]
     counts = ce.collapse_multinomial(fx.survey(spark, d).filter("l_partkey % 10 <> 3"), ["segm", "sexo", "edad"], "empleo", [1, 2, 3])
-    fit, effects = mx.multinomial_mixed_model(counts, cats, cell_terms(), "segm", nodes=3, max_iter=10)
+    fit, effects = mx.multinomial_mixed_model(counts, cats, cell_terms(), "segm")
     cells = ce.collapse(fx.census(spark, d), ["segm", "mpio", "sexo", "edad"], "n")
     theta = mx.predict_multinomial(cells, fit, effects, cell_terms(), "segm", nodes=5)
     return rounded(ce.employment_rates_census(theta, ["mpio"]), 3)
