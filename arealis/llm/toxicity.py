@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -286,8 +288,16 @@ def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     chosen = [fits.where(F.col("y") == y).orderBy(F.xxhash64("k", F.lit(3)), "k").limit(rows[y]) for y in (0, 1)]
     # at most sum(rows) keys, so the sample's keys may be broadcast; texts of other rows do not move
     some = texts.join(F.broadcast(staged(chosen[0].union(chosen[1]))), "k").where(F.length("text") <= longest).dropDuplicates(["k"])
-    sample = some.orderBy(F.xxhash64("k", F.lit(4)), "k").select("text", "y").toPandas()
-    return fit(sample["text"].tolist(), sample["y"].to_numpy())
+    sample = some.repartition(1).sortWithinPartitions(F.xxhash64("k", F.lit(4)), "k").select("text", "y")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = list(batches)
+        texts, toxic = [t for p in parts for t in p["text"]], [y for p in parts for y in p["y"]]
+        m = fit(texts, np.array(toxic))
+        yield pd.DataFrame({"model": [pickle.dumps((m.weights, m.bias, m.moves, m.scale))]})
+
+    # the sample is bounded and fits one task; the model is a megabyte
+    return ToxicityModel(*pickle.loads(sample.mapInPandas(run, "model binary").first()["model"]))
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", least: float = 0.5) -> DataFrame:
