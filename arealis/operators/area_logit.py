@@ -69,7 +69,7 @@ def _fit_table(areas: DataFrame, y: str, n: str, xs: Sequence[str | Column], kee
 
 
 def fh_logit_fit(
-    areas: DataFrame, kind: str, y: str, n: str, xs: Sequence[str | Column], prior: str, tau: float, grid: np.ndarray | None = None, points: int = 60, nodes: int = 15, tol: float = 1e-7, max_iter: int = 25
+    areas: DataFrame, kind: str, y: str, n: str, xs: Sequence[str | Column], prior: str, tau: float, grid: np.ndarray | None = None, points: int = 60, nodes: int = 15, tol: float = 1e-7, max_iter: int = 40
 ) -> GridFit:
     p = len(xs)
     check_width(p)
@@ -114,7 +114,10 @@ def fh_logit_fit(
     logdet = np.array([np.linalg.slogdet(c)[1] for c in cov])
     steps = np.gradient(np.log(s2)) if G > 1 else np.ones(1)
     logp = ll + 0.5 * logdet + prior_part + np.log(steps)
-    return GridFit(s2, log_weights(logp), beta, cov, kind)
+    weights = log_weights(logp)
+    if live.any() and weights[live].sum() > 1e-4:
+        raise RuntimeError(f"grid points of weight {weights[live].sum():.2g} have not converged after {max_iter} Newton steps")
+    return GridFit(s2, weights, beta, cov, kind)
 
 
 def fh_logit_predict(areas: DataFrame, fit: GridFit, y: str, n: str, xs: Sequence[str | Column], area_effect: bool = True, nodes: int = 15) -> DataFrame:

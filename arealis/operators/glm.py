@@ -132,6 +132,8 @@ def binomial_model(df: DataFrame, y: str | Column, n: str | Column | None, xs: d
             cov = np.linalg.inv(h)
             if size < tol * (1 + np.abs(beta).max()):
                 break
+        else:
+            raise RuntimeError(f"no convergence after {max_iter} Newton steps; the last one was {size:.2g}")
     finally:
         fit.unpersist()
     return Coefficients(tuple(xs), beta, cov, None, it)
@@ -179,6 +181,8 @@ def multinomial_model(df: DataFrame, counts: Sequence[str], xs: dict[str, Column
             cov = np.linalg.inv(h)
             if size < tol * (1 + np.abs(beta).max()):
                 break
+        else:
+            raise RuntimeError(f"no convergence after {max_iter} Newton steps; the last one was {size:.2g}")
     finally:
         fit.unpersist()
     names = tuple(f"{c}:{x}" for c in counts[1:] for x in xs)

@@ -212,7 +212,9 @@ def test_nested_binomial_models_recover(spark):
                     n = int(rng.integers(5, 25))
                     rows.append((k, f"d{D}", f"d{D}m{m}", x, float(rng.binomial(n, 1 / (1 + np.exp(-(b0 + b1 * x + u + v))))), float(n)))
     df = spark.createDataFrame(rows, "ind string, d string, m string, x double, y double, n double")
-    fits, eff, up = mx.binomial_mixed_models(df, "ind", "y", "n", {"1": F.lit(1.0), "x": F.col("x")}, "m", "d", nodes=5, max_iter=12)
+    fits, eff, up = mx.binomial_mixed_models(df, "ind", "y", "n", {"1": F.lit(1.0), "x": F.col("x")}, "m", "d", nodes=5)
+    with pytest.raises(mx.NotConverged):
+        mx.binomial_mixed_models(df, "ind", "y", "n", {"1": F.lit(1.0), "x": F.col("x")}, "m", "d", nodes=5, max_iter=2)
     assert abs(fits["a"].beta[1] - 0.8) < 0.2 and abs(fits["b"].beta[1] + 0.4) < 0.2
     assert 0.35 < np.sqrt(fits["a"].sigma2_u[0, 0]) < 0.9 and 0.1 < np.sqrt(fits["b"].sigma2_u[0, 0]) < 0.55
     assert 0.4 < np.sqrt(fits["b"].sigma2_upper) < 1.4
