@@ -202,7 +202,7 @@ def test_unseen_groups_use_the_prior(spark, groups):
 
 def test_nested_binomial_models_recover(spark):
     rng = np.random.default_rng(9)
-    rows = []
+    rows, truth = [], {}
     for k, (b0, b1, su, sv) in {"a": (-0.5, 0.8, 0.6, 0.5), "b": (0.3, -0.4, 0.3, 0.8)}.items():
         for D in range(14):
             v = rng.normal() * sv
@@ -210,7 +210,8 @@ def test_nested_binomial_models_recover(spark):
                 u = rng.normal() * su
                 for x in (0.0, 1.0):
                     n = int(rng.integers(5, 25))
-                    rows.append((k, f"d{D}", f"d{D}m{m}", x, float(rng.binomial(n, 1 / (1 + np.exp(-(b0 + b1 * x + u + v))))), float(n)))
+                    truth[k, f"d{D}m{m}", x] = 1 / (1 + np.exp(-(b0 + b1 * x + u + v)))
+                    rows.append((k, f"d{D}", f"d{D}m{m}", x, float(rng.binomial(n, truth[k, f"d{D}m{m}", x])), float(n)))
     df = spark.createDataFrame(rows, "ind string, d string, m string, x double, y double, n double")
     fits, eff, up = mx.binomial_mixed_models(df, "ind", "y", "n", {"1": F.lit(1.0), "x": F.col("x")}, "m", "d", nodes=5)
     with pytest.raises(mx.NotConverged):
@@ -219,6 +220,23 @@ def test_nested_binomial_models_recover(spark):
     assert 0.35 < np.sqrt(fits["a"].sigma2_u[0, 0]) < 0.9 and 0.1 < np.sqrt(fits["b"].sigma2_u[0, 0]) < 0.55
     assert 0.4 < np.sqrt(fits["b"].sigma2_upper) < 1.4
     assert eff.count() == 280 and up.count() == 28
+    xs = {"1": F.lit(1.0), "x": F.col("x")}
+    cells = df.filter("ind = 'b' and x = 1").select("d", "m", "x", (F.col("y") / F.col("n")).alias("rate"))
+    cells = cells.union(spark.createDataFrame([("d3", "new", 1.0, None), ("unseen", "new", 1.0, None)], "d string, m string, x double, rate double")).withColumn("cell", F.concat("d", "m"))
+    mine, tops = eff.filter("ind = 'b'"), up.filter("ind = 'b'")
+    out = mx.predict_epred(cells, fits["b"], mine, xs, "m", "d", tops).toPandas()
+    seen = out[out.rate.notna()]
+    real = [truth["b", m, 1.0] for m in seen.m]
+    assert np.corrcoef(seen.epred, real)[0, 1] > 0.85 and abs(seen.epred.mean() - np.mean(real)) < 0.03
+    flat = mx.predict_epred(cells, fits["b"], mine, xs, "m", "d", tops.limit(0)).toPandas()
+    assert np.corrcoef(flat[flat.rate.notna()].epred, real)[0, 1] < np.corrcoef(seen.epred, real)[0, 1]
+    known, unknown = out[out.d == "d3"], out[out.d == "unseen"].iloc[0]
+    assert unknown.new_group and unknown.epred_sd > known[known.m == "new"].iloc[0].epred_sd > known[known.m != "new"].epred_sd.mean()
+    with pytest.raises(ValueError):
+        mx.predict_epred(cells, fits["b"], mine, xs, "m")
+    draws = mx.predict_epred_draws(cells, fits["b"], mine, xs, "m", "cell", 400, upper="d", upper_effects=tops).groupBy("cell").agg(F.avg("value").alias("a"), F.stddev("value").alias("s")).toPandas()
+    both = draws.merge(out, on="cell")
+    assert np.abs(both.a - both.epred).max() < 0.06 and np.abs(both.s - both.epred_sd).max() < 0.05
 
 
 def test_multinomial_mixed_model_recovers(spark):
