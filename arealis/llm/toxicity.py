@@ -183,6 +183,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
     for row, _, feats, _, _ in batch_features(pa.array(texts, pa.large_string())):
         rows[row].append(feats)
     docs = [np.concatenate(r) if r else np.zeros((0, 1 + len(PREFIXES)), np.int32) for r in rows]
+    del rows
     alone = _without_copies(docs)
     docs, toxic = [docs[i] for i in alone], toxic[alone]
     counts = np.zeros((2, BUCKETS))
@@ -212,6 +213,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
     lengths = np.array([len(d) for d in docs])
     feats = np.concatenate(docs)
     owner = np.repeat(np.arange(len(docs)), lengths)
+    del docs
     label = (np.logical_or.reduce([marks[column] for column in feats.T]) & (toxic[owner] == 1)).astype(float)
     weights, bias, moves = np.zeros(BUCKETS), -4.0, np.zeros((2, 2))
     seen_w, seen_b, seen_m = np.full(BUCKETS, 1e-6), 1e-6, np.full((2, 2), 1e-6)
@@ -275,7 +277,7 @@ def score_column(column: pa.Array, model: ToxicityModel, least: float = 0.5) ->
     return 1 / (1 + np.exp(-value)), found
 
 
-def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows: tuple[int, int] = (4500, 1500), longest: int = 1 << 13) -> ToxicityModel:
+def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows: tuple[int, int] = (3600, 1200), longest: int = 1 << 13) -> ToxicityModel:
     """Fit on a bounded sample: at most ``rows`` labelled documents (clean, toxic), chosen by a hash of the key, of at most ``longest`` characters.
 
     ``keep`` is an SQL condition on the labels table for the rows that may be learned from.  Rows with a null key, label or
