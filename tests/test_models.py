@@ -258,3 +258,17 @@ def test_multinomial_mixed_model_recovers(spark):
     new = spark.createDataFrame([("g1", 1.0), ("new", 1.0)], "g string, x double")
     for r in mx.predict_multinomial(new, fit, eff, xs, "g").collect():
         assert r["theta_1"] + r["theta_2"] + r["theta_3"] == pytest.approx(1)
+
+
+def test_poverty_pipeline_agrees_with_the_survey(spark):
+    from arealis.operators import mrp
+    from arealis.plans import fixtures as fx
+    from arealis.plans import model_queries as mq
+
+    d = "/root/testdata/sf0.001"
+    e = mq.fitted_dimension_draws(spark, d, draws=20).cache()
+    assert e.count() == 20 * fx.census(spark, d).select("segm", "sexo").distinct().count()
+    long = e.unpivot(["draw", "n"], list(fx.INDICATORS), "indicator", "value")
+    got = {r["indicator"]: r["mrp_estimate"] for r in mrp.dimension_estimates(long, "indicator", []).collect()}
+    survey = fx.survey(spark, d).agg(*[F.avg(i).alias(i) for i in fx.INDICATORS]).first().asDict()
+    assert all(abs(got[i] - survey[i]) < 0.03 for i in fx.INDICATORS)
