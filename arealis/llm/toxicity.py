@@ -20,6 +20,7 @@ from arealis.llm.wordhash import mix, polynomial_sums, shingle_set, text_buffers
 PREFIXES = (4, 5, 6, 7)  # bytes at the start of a token, to meet inflected forms
 BUCKETS = 1 << 18
 QUIET = 0.25  # chances below this do not add up, or every long text would seem toxic
+COPY = 0.8  # Jaccard similarity of shingles from which a labelled text is a copy
 PIECE = 1 << 18
 SLICE = 1500  # rows whose chains run together
 
@@ -156,23 +157,67 @@ def _document_inputs(p: np.ndarray) -> tuple[float, float]:
     return (float(p.max()), float(np.log1p(np.maximum(p - QUIET, 0).sum()))) if len(p) else (0.0, 0.0)
 
 
-def _without_copies(docs: list[np.ndarray]) -> list[int]:
-    """Indices of the documents that are no copy of an earlier one; copies would make their rare tokens look frequent."""
-    seen: set[tuple[int, float]] = set()
-    kept = []
+def _without_copies(docs: list[np.ndarray], toxic: np.ndarray) -> list[int]:
+    """Indices of the documents that are no near copy of a kept one of the same label; copies would make their rare tokens look frequent.
+
+    Copies share 4 of 5 shingles of all; SuperMinHash values only find candidates (at that likeness 2 of 6 agree with a chance of
+    99.8 %), which are then compared on their whole shingle sets.
+    """
+    kept: list[int] = []
+    sets: list[np.ndarray] = []
+    seen, sizes, labels = np.full((len(docs), 6), np.inf), np.zeros(len(docs)), np.zeros(len(docs))
     for i, feats in enumerate(docs):
-        signature = {(k, v) for k, v in enumerate(super_minhash(shingle_set(feats[:, 0].astype(np.uint64)), 6))} if len(feats) else set()
-        if not signature & seen:
+        mine = shingle_set(feats[:, 0].astype(np.uint64)) if len(feats) else np.zeros(0, np.uint64)
+        n, k = len(mine), len(kept)
+        if n:
+            values = super_minhash(mine, 6)
+            agree = (seen[:k] == values).sum(1)
+            like = np.flatnonzero((agree >= 2) & (labels[:k] == toxic[i]) & (np.minimum(sizes[:k], n) >= COPY * np.maximum(sizes[:k], n)))
+            for j in like[np.argsort(-agree[like], kind="stable")]:
+                shared = len(np.intersect1d(mine, sets[j], assume_unique=True))
+                if shared >= COPY * (n + len(sets[j]) - shared):
+                    break
+            else:
+                seen[k], sizes[k], labels[k] = values, n, toxic[i]
+                kept.append(i)
+                sets.append(mine)
+        else:
+            seen[k] = np.nan
             kept.append(i)
-        seen |= signature
+            sets.append(mine)
     return kept
 
 
+def _new_tokens(docs: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
+    """For each document, which tokens lie in a shingle that no earlier document of its label holds: a passage that many share is evidence once."""
+    lengths = np.array([len(d) for d in docs])
+    edges = np.concatenate([[0], np.cumsum(lengths)])
+    tokens = mix(np.concatenate([d[:, 0] for d in docs]).astype(np.uint64))
+    tokens = np.concatenate([tokens, np.zeros(4, np.uint64)])
+    n = int(edges[-1])
+    sums = np.repeat(toxic.astype(np.uint64), lengths)
+    for i in range(5):
+        sums = mix(sums + tokens[i : n + i])
+    new = np.zeros(n, bool)
+    new[np.unique(sums, return_index=True)[1]] = True
+    out = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        whole = max(b - 4, min(a + 1, b))  # shingles that start later would reach into the next document
+        starts = new[a:whole]
+        cover = np.zeros(b - a, bool)
+        for i in range(min(5, b - a)):
+            part = cover[i : i + len(starts)]
+            part |= starts[: len(part)]
+        out.append(cover)
+    return out
+
+
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) -> ToxicityModel:
     """Learn token labels from document labels, then the field from the tokens, then the document scale.
 
     A token of a toxic document is labelled toxic if it or a prefix of it marks toxic documents: the likelihood ratio of its
-    document counts exceeds what the number of features tested would give by chance.  The field is fitted by adaptive
+    document counts, in which a passage of many documents of a label counts once, exceeds what the number of features tested
+    would give by chance.  The field is fitted by adaptive
     gradient steps on the exact likelihood of these labels.
     """
     toxic = np.asarray(toxic, float)
@@ -184,16 +229,17 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
         rows[row].append(feats)
     docs = [np.concatenate(r) if r else np.zeros((0, 1 + len(PREFIXES)), np.int32) for r in rows]
     del rows
-    alone = _without_copies(docs)
+    alone = _without_copies(docs, toxic)
     docs, toxic = [docs[i] for i in alone], toxic[alone]
-    counts = np.zeros((2, BUCKETS))
-    for feats, y in zip(docs, toxic, strict=True):
-        counts[int(y), np.unique(feats)] += 1
+    counts, both = np.zeros((2, BUCKETS)), np.zeros(BUCKETS)
+    for feats, y, new in zip(docs, toxic, _new_tokens(docs, toxic), strict=True):
+        counts[int(y), np.unique(feats[new])] += 1
+        both[np.unique(feats)] += 1
     total = np.array([(toxic == 0).sum(), (toxic == 1).sum()], float)
-    both = counts.sum(0)
+    told_by = counts.sum(0)
     share = total[1] / total.sum()
     with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (np.nan_to_num(counts[1] * np.log(counts[1] / (both * share))) + np.nan_to_num(counts[0] * np.log(counts[0] / (both * (1 - share)))))
+        ratio = 2 * (np.nan_to_num(counts[1] * np.log(counts[1] / (told_by * share))) + np.nan_to_num(counts[0] * np.log(counts[0] / (told_by * (1 - share)))))
     tested = max(2, int((both >= 3).sum()))
     odds = (counts[1] + 0.1) / (total[1] + 0.2) / ((counts[0] + 0.1) / (total[0] + 0.2))
     marks = (ratio > 2 * np.log(tested) + 1) & (odds > 8)

@@ -46,6 +46,28 @@ def test_learns_words_and_stems_and_finds_offsets(prose):
     assert ((score >= 0) & (score <= 1)).all()
 
 
+def test_only_near_copies_of_the_same_label_are_left_out():
+    rng = np.random.default_rng(2)
+
+    def doc(*parts):
+        out = np.zeros((sum(map(len, parts)), 5), np.int32)
+        out[:, 0] = np.concatenate(parts)
+        return out
+
+    word = lambda n: rng.integers(1, 1 << 18, n)
+    shared = word(80)
+    docs = [doc(shared, word(80)) for _ in range(60)]  # one passage in all: pairs at a third
+    near = docs[0].copy()
+    near[100, 0] += 1
+    docs += [near, near, docs[1], np.zeros((0, 5), np.int32)]
+    toxic = np.array([i % 2 for i in range(60)] + [0, 1, 1, 0], float)
+    # 60 is a copy of 0, and 62 of 1; 61 is one of 0 too, but of the other label
+    assert toxicity._without_copies(docs, toxic) == [*range(60), 61, 63]
+    new = toxicity._new_tokens(docs[:4], toxic[:4])
+    assert new[0].all() and new[1].all()
+    assert not new[2][:76].any() and new[2][76:].all() and not new[3][:76].any() and new[3][76:].all()
+
+
 def test_held_out_accuracy_on_the_documents(spark):
     from arealis.llm.queries import op8_toxicity
 
