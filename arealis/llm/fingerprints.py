@@ -10,29 +10,30 @@ from pyspark.sql.window import Window
 
 from arealis.llm.common import fresh, quoted, staged, text_of, words
 
-SAMPLES = 24
+SAMPLES = 32
 OFFSET, SCALE = 128.0, float(1 << 23)  # keep a log weight as a positive number of 31 bits
 HALF = (1 << 32) - 1
+FIELD = (1 << 25) - 1
 
 
 def _two_uniforms(h: Column) -> Column:
-    """Product of two uniforms in (0, 1] made of the halves of a hash."""
-    low = (h.bitwiseAND(F.lit(HALF)) + 1).cast("double")
-    high = (F.shiftrightunsigned(h, 32) + 1).cast("double")
-    return low * high / F.lit(2.0**64)
+    """Product of two uniforms in (0, 1], of 25 bits each, made of the lower 50 bits of a hash."""
+    low = (h.bitwiseAND(F.lit(FIELD)) + 1).cast("double")
+    high = (F.shiftrightunsigned(h, 25).bitwiseAND(F.lit(FIELD)) + 1).cast("double")
+    return low * high / F.lit(2.0**50)
 
 
 def weighted_sample(term: Column, ln_weight: Column, sample: int) -> Column:
     """Log weight and identity of a term's consistent sample, packed so that the least is the draw.
 
-    With r and c from Gamma(2, 1) and b uniform, all hashed from the term and the sample number: t = floor(ln w / r + b) and
-    ln a = ln c - r (t - b + 1).  The least a over the terms names the pair (term, t); two documents agree on it with a
-    probability equal to their generalised Jaccard similarity.
+    With r and c from Gamma(2, 1) and b uniform, made of separate bits of two hashes of the term and the sample number:
+    t = floor(ln w / r + b) and ln a = ln c - r (t - b + 1).  The least a over the terms names the pair (term, t); two
+    documents agree on it with a probability equal to their generalised Jaccard similarity.
     """
-    h = F.xxhash64(term, F.lit(3 * sample))
+    h, g = F.xxhash64(term, F.lit(2 * sample)), F.xxhash64(term, F.lit(2 * sample + 1))
     r = -F.ln(_two_uniforms(h))
-    ln_c = F.ln(-F.ln(_two_uniforms(F.xxhash64(term, F.lit(3 * sample + 1)))) + F.lit(1e-30))
-    b = F.shiftrightunsigned(F.xxhash64(term, F.lit(3 * sample + 2)), 11).cast("double") / F.lit(2.0**53)
+    ln_c = F.ln(-F.ln(_two_uniforms(g)) + F.lit(1e-30))
+    b = F.shiftleft(F.shiftrightunsigned(h, 50), 14).bitwiseOR(F.shiftrightunsigned(g, 50)).cast("double") / F.lit(2.0**28)
     t = F.floor(ln_weight / (r + F.lit(1e-30)) + b)
     ln_a = ln_c - r * (t - b + 1)
     rank = F.floor((ln_a + F.lit(OFFSET)) * F.lit(SCALE)).cast("long")

@@ -3,8 +3,9 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from arealis.llm.fingerprints import SAMPLES, edit_test
+from arealis.llm.fingerprints import SAMPLES, edit_test, likeness, signatures
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -35,6 +36,20 @@ def test_edits_and_likeness_match_brute_force(spark, prose):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 1.5 * 0.5 / np.sqrt(SAMPLES)
 
 
+def test_likeness_is_as_exact_as_32_samples(spark):
+    # 400 pairs of texts at a similarity of a half; the bound does not follow SAMPLES
+    pairs = []
+    for k in range(400):
+        a, b, c = ([f"w{k}x{i}" for i in range(j, j + 30)] for j in (0, 30, 60))
+        pairs.append((k, " ".join(a + b), " ".join(b + a[:10] + c[:20])))
+    df = spark.createDataFrame(pairs, "id long, a string, b string")
+    a = signatures(df, ["id"], F.col("a")).withColumnRenamed("signature", "x")
+    b = signatures(df, ["id"], F.col("b")).withColumnRenamed("signature", "y")
+    got = a.join(b, "id").select(likeness(F.col("x"), F.col("y")).alias("l")).toPandas()["l"]
+    assert abs(got.mean() - 0.5) < 0.02 and got.std() < 0.095
+    assert np.allclose(got * 32, np.round(got * 32)) and not np.allclose(got * 24, np.round(got * 24))
+
+
 def test_awkward_rows(spark, awkward, empty):
     assert edit_test(empty).count() == 0
     got = edit_test(awkward).toPandas()
