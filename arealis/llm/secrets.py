@@ -24,15 +24,15 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 # the split of the public byte-level vocabulary, a fixed value
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+LETTER_RATIO = 1.9  # ordinary words of 16 letters come down to 2.2
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}  # hexadecimal digits of the common digests
 _HEXDIGITS = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 _NAMED_DIGEST = re.compile(r"(md5|sha1|sha256|sha384|sha512)[-_=][A-Za-z0-9+/=_-]+", re.I)
 _NUMBERED = re.compile(r"[A-Za-z]+[-_/]?[0-9]+|[0-9+/_=-]+|[0-9]{4}-[0-9]{2}-[0-9]{2}[A-Za-z0-9+-]*")
 
-_RUN = np.zeros(256, np.uint8)  # 1: in a candidate, 2: digit, 4: hexadecimal digit in lower case
+_RUN = np.zeros(256, np.uint8)  # 1: in a candidate, 4: hexadecimal digit in lower case
 _RUN[[*b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"]] = 1
-_RUN[[*b"0123456789"]] |= 2
 _RUN[[*b"0123456789abcdef"]] |= 4
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key", b"akia")
 
@@ -50,18 +50,19 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[1], BASE_KINDS.index(s[0])))
 
 
-def random_spans(text: str, encoding, ratio: float) -> list[Span]:
-    """Unknown strings of letters and digits with at most ``ratio`` characters per token."""
+def random_spans(text: str, encoding, ratio: float, letter_ratio: float = LETTER_RATIO) -> list[Span]:
+    """Unknown strings with at most ``ratio`` characters per token; ``letter_ratio`` for those without a digit."""
     out = []
     for m in CANDIDATE.finditer(text):
         string = m[0]
-        if any(c.isdigit() for c in string) and any(c.isalpha() for c in string) and not is_known(string) and len(string) <= ratio * len(encoding.encode_ordinary(string)):
+        most = ratio if any(c.isdigit() for c in string) else letter_ratio
+        if not is_known(string) and len(string) <= most * len(encoding.encode_ordinary(string)):
             out.append(("random", *m.span()))
     return out
 
 
 def suspicious_rows(column: pa.Array) -> np.ndarray:
-    """Rows that can hold any span: those with a key word, or with a long run of hexadecimal digits or of mixed letters and digits.
+    """Rows that can hold any span: those with a key word, or with a long run of hexadecimal digits or of characters of a candidate.
 
     Only whether a row is read in detail depends on this, and no row with a span is passed over.
     """
@@ -82,10 +83,6 @@ def suspicious_rows(column: pa.Array) -> np.ndarray:
                 edge = np.diff(inside)
                 begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
                 long = end - begin >= length
-                if bit == 1 and long.any():
-                    digits = np.concatenate([[0], np.cumsum((kind & 2) != 0)])
-                    # a run that the piece cuts may have its digits elsewhere
-                    long &= (digits[end] > digits[begin]) | (end == len(kind)) | (begin == 0)
                 if long.any():
                     out[r] = True
     return out
@@ -112,12 +109,12 @@ def read_vocabulary(spark: SparkSession, path: str = VOCABULARY) -> bytes:
     return bytes(row["content"])
 
 
-def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", vocabulary: str = VOCABULARY, ratio: float = 2.2) -> DataFrame:
+def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", vocabulary: str = VOCABULARY, ratio: float = 2.2, letter_ratio: float = LETTER_RATIO) -> DataFrame:
     """Add the secrets of each whole text: an array of ``kind``, ``start`` and ``end`` (code points, end exclusive).
 
     Kinds ``assign``, ``access`` and ``hex`` are fixed patterns.  ``random`` is a string of at least 16 letters, digits and
-    ``+/_=-`` that mixes letters and digits, is no known digest, UUID, date or numbered name, and gives at most ``ratio``
-    characters per token.  Spans are ordered by start, then kind as listed.
+    ``+/_=-`` that is no known digest, UUID, number, date or numbered name, and gives at most ``ratio`` characters per token,
+    or ``letter_ratio`` if it has no digit.  Spans are ordered by start, then kind as listed.
 
     Null and empty texts have no spans; repeated rows get the same spans; a column named ``out`` is replaced; an empty
     table stays empty.
@@ -128,7 +125,7 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", vocabu
         found: list[list[Span]] = [[] for _ in range(len(column))]
         for r in np.flatnonzero(suspicious_rows(column)):
             body = column[int(r)].as_py() or ""
-            spans = base_spans(body) + random_spans(body, encoding_of(shipped.value), ratio)
+            spans = base_spans(body) + random_spans(body, encoding_of(shipped.value), ratio, letter_ratio)
             found[r] = sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
         return found
 

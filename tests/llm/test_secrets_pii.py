@@ -70,6 +70,20 @@ def test_random_strings_and_known_ones(spark):
     assert hits[999] == hits[1000] == []
 
 
+def test_random_strings_of_letters_alone():
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    encoding = secrets.encoding_of(open(secrets.VOCABULARY, "rb").read())
+    for alphabet, least in ((string.ascii_letters, 0.98), (string.ascii_uppercase, 0.95), (string.ascii_lowercase, 0.8)):
+        for size in (16, 20, 24, 32, 40):
+            texts = ["é " + "".join(rng.choice(alphabet) for _ in range(size)) + " end" for _ in range(300)]
+            assert secrets.suspicious_rows(pa.array(texts)).all()
+            assert sum(secrets.random_spans(t, encoding, 2.2) == [("random", 2, 2 + size)] for t in texts) >= least * 300
+    ordinary = "internationalization counterrevolutionaries some/ordinary/path_name ================ self-congratulatory Donaudampfschifffahrt"
+    assert secrets.random_spans(ordinary, encoding, 2.2) == []
+
+
 def test_tagger_slopes():
     rng = np.random.default_rng(0)
     p = {k: v.astype(float) for k, v in char_tagger.start_parameters(3, 4, 5, 0).items()}
