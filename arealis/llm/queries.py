@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, toxicity
+from arealis.llm import centroids, chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, toxicity
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -143,3 +143,37 @@ def op6_chat(spark, sf_dir):
 def op2_suffix_array(spark, sf_dir):
     """All documents without the bytes of strings of 100 bytes that start earlier."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+CENTROID_ROUNDS = 3
+
+
+def centroid_sql(rounds: int) -> str:
+    """Lloyd rounds with integer components, one pair of common table expressions a round."""
+    floor = "CAST((s - ((s % n) + n) % n) / n AS BIGINT)"
+    distance = "list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    parts = [
+        """WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cents0 AS (
+  SELECT CAST(row_number() OVER (ORDER BY h, vec_id, v) - 1 AS INTEGER) AS k, v AS c
+  FROM (SELECT sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, vec_id, v FROM kept ORDER BY h, vec_id, v LIMIT 16)
+), numbered AS (SELECT row_number() OVER (ORDER BY vec_id, v) AS r, vec_id, v FROM kept)"""
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"near{i} AS (SELECT r, vec_id, v, min((d, k)) AS best FROM (SELECT r, vec_id, v, k, CAST({distance} AS BIGINT) AS d FROM numbered CROSS JOIN cents{i}) GROUP BY r, vec_id, v)")
+        if i < rounds:
+            sums = f"SELECT best[2] AS k, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n FROM near{i}, unnest(range(1, 65)) AS t(i) GROUP BY 1, 2"
+            parts.append(f"cents{i + 1} AS (SELECT k, coalesce(m, c) AS c FROM cents{i} LEFT JOIN (SELECT k, list({floor} ORDER BY i) AS m FROM ({sums}) GROUP BY k) USING (k))")
+    tail = f"""SELECT vec_id, CAST(best[2] AS INTEGER) AS cluster, best[1] AS distance, CAST(sum(best[1]) OVER (PARTITION BY best[2]) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best[1]) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM near{rounds} JOIN cents{rounds} ON k = best[2]"""
+    return ", ".join(parts) + " " + tail
+
+
+@query("op13_centroids", centroid_sql(CENTROID_ROUNDS))
+def op13_centroids(spark, sf_dir):
+    """Cluster of every vector after three rounds."""
+    out = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), rounds=CENTROID_ROUNDS)
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
