@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import centroids, chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, toxicity
+from arealis.llm import centroids, chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, toxicity, variants
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -177,3 +177,43 @@ def op13_centroids(spark, sf_dir):
     out = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), rounds=CENTROID_ROUNDS)
     digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
     return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+VARIANT_SQL = """
+WITH RECURSIVE steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)
+), runs AS (
+  SELECT doc_id, run, count(*) AS k FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run
+), bytes AS (
+  SELECT *, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+    lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS BIGINT)] ELSE [CAST(195 AS BIGINT), CAST(unicode(ch) - 64 AS BIGINT)] END)) AS b FROM runs
+), hashed AS (
+  SELECT run, k, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS h FROM bytes, steps
+), typed AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, k FROM hashed
+), vocabulary AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(0, length(word))) AS i FROM vocabulary)
+), near AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN vocabulary b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN vocabulary b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, min((-m, other)) AS top FROM near GROUP BY word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top[1] >= 5 * n THEN top[2] END AS form, CASE WHEN -top[1] >= 5 * n THEN -top[1] END AS form_n FROM vocabulary LEFT JOIN best USING (word)
+), chain AS (
+  SELECT word, coalesce(form, word) AS last, form IS NULL AS done FROM formed
+  UNION ALL SELECT chain.word, coalesce(f.form, chain.last), f.form IS NULL FROM chain JOIN formed f ON f.word = chain.last WHERE NOT done
+)
+SELECT word, form, last AS root, n, n_near, form_n FROM formed JOIN chain USING (word) WHERE done
+"""
+
+
+@query("op12_variants", VARIANT_SQL)
+def op12_variants(spark, sf_dir):
+    """Spelling variants of the words of all documents, with a letter dropped from one run in 199."""
+    return variants.spelling_variants(table(spark, sf_dir, "documents"), typo_every=199)
