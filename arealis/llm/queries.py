@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
-from arealis.llm import centroids, chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, toxicity, variants
+from arealis.llm import centroids, chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, token_counts, toxicity, variants
 from arealis.llm.common import text_of
 from arealis.llm.registry import query, table
 
@@ -217,3 +217,12 @@ SELECT word, form, last AS root, n, n_near, form_n FROM formed JOIN chain USING
 def op12_variants(spark, sf_dir):
     """Spelling variants of the words of all documents, with a letter dropped from one run in 199."""
     return variants.spelling_variants(table(spark, sf_dir, "documents"), typo_every=199)
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark, sf_dir):
+    """Tokens of every document under the public word vocabulary."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.count_tokens(docs)
+    size = F.octet_length(text_of("text")).cast("long")
+    return counted.select("doc_id", size.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
