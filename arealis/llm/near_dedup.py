@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealis.llm.common import quoted, small_side, staged, text_of
+from arealis.llm.common import fresh, quoted, small_side, staged, text_of
 from arealis.llm.components import connected_components
 from arealis.llm.wordhash import mix, shingle_set, word_hashes
 
 BANDS, BAND_ROWS = 24, 4
 BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
+ROW_BYTES = 80  # of a broadcast row of three longs, as the hash table holds it
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,7 +74,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(band_keys(super_minhash(s, BANDS * BAND_ROWS)) if len(s) else np.zeros(0, np.int64))
         at = np.cumsum([0] + [len(k) for k in keys]).astype(np.int32)
         bands = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), *[pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)], bands], ["id", "n", "x1", "x2", "bands"])
+        kept = ["id", "h1", "h2"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(sizes, pa.int64()), *[pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)], bands], [*kept, "n", "x1", "x2", "bands"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,9 +83,8 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(batch), 256):
             part = batch.slice(i, 256)
             sets = [shingle_set(w) for w in word_hashes(part.column("text"))]
-            marks, sizes = [_marks(s) for s in sets], [len(s) for s in sets]
-            shingles = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]).astype(np.int32)), pa.array(np.concatenate(sets).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sizes, pa.int64()), *[pa.array([m[i] for m in marks], pa.int64()) for i in (0, 1)], shingles], ["id", "n", "x1", "x2", "shingles"])
+            shingles = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32)), pa.array(np.concatenate(sets).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column("rep"), shingles], ["rep", "shingles"])
 
 
 def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
@@ -118,40 +119,32 @@ def _cross_links(percent: int):
     return links
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """Classes of documents joined by links of similar shingle sets: ``id``, ``n_shingles``, ``component``.
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two hashes of a text from different starts, so that neither follows from the other."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
 
-    Words are lower-cased in A-Z; a document's set holds its distinct five-word shingles (fewer words: one shingle; no word:
-    empty, linked with nothing).  Two documents are linked when 100 times the intersection is at least ``percent`` times
-    the union, counted on the full sets; a component bears its least id.
 
-    Equal sets are one representative from the start.  Representatives that share a band of their signatures are
-    candidates (24 bands of 4; a pair at 80 % is missed with a chance of 3 in a million).  First each bucket is compared
-    with its least member; buckets whose members are then all in one component are done.  In the others the members of
-    different components are compared exactly, in blocks; members of the largest component are not compared with each
-    other.  No pair is emitted that is not a link, and no bucket is cut short.
-
-    Rows that repeat an id are one document: the row with the most shingles is compared, and all get its component.  A row
-    without an id has a null component.  An empty table gives an empty result.  Other columns are ignored.
-    """
-    base = df.select(quoted(key).cast("long").alias("id"), text_of(quoted(text)).alias("text"))
-    sketched = staged(base.mapInArrow(_sketch, "id long, n long, x1 long, x2 long, bands array<long>"))
-    one = sketched.where("id is not null and n > 0").groupBy("id").agg(F.max(F.struct("n", "x1", "x2", "bands")).alias("s"))
-    named = staged(one.select("id", "s.*"))
-    reps = staged(named.groupBy("n", "x1", "x2").agg(F.min("id").alias("rep")))
-    members = staged(named.join(reps, ["n", "x1", "x2"]).select("id", "rep", "n", F.when(F.col("id") == F.col("rep"), F.col("bands")).alias("bands")))
-    banded = staged(members.select("rep", "n", F.explode("bands").alias("key")))
+def _classes(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """Per row: ``id``, the text's hashes ``h1`` and ``h2``, its set's size ``n``, and ``first``: the id and hashes of the least row of its class (null without words or id)."""
+    body = text_of(quoted(text))
+    h1, h2 = text_hashes(body)
+    base = df.select(quoted(key).cast("long").alias("id"), h1.alias("h1"), h2.alias("h2"), body.alias("text"))
+    sketched = staged(base.mapInArrow(_sketch, "id long, h1 long, h2 long, n long, x1 long, x2 long, bands array<long>"))
+    # a set, not an id, is what gets compared; it bears a number of its own and is read from its least row
+    numbered = sketched.where("id is not null and n > 0").groupBy("n", "x1", "x2").agg(F.min(F.struct("id", "h1", "h2")).alias("first"), F.max("bands").alias("bands"))
+    reps = staged(numbered.withColumn("rep", F.monotonically_increasing_id()))
+    banded = staged(reps.select("rep", "n", F.explode("bands").alias("key")))
     # buckets of the same members need one comparison, so of equal buckets one stays
-    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2"), F.min("rep").alias("pivot"))
+    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"), F.min("rep").alias("pivot"))
     buckets = buckets.where("members > 1").groupBy("members", "x1", "x2").agg(F.min("key").alias("key"), F.min("pivot").alias("pivot"))
     placed = staged(banded.join(buckets.select("key", "members", "pivot"), "key"))
-    candidates = staged(placed.select("rep").distinct())
-    chosen = small_side(candidates.withColumnRenamed("rep", "id"), candidates.count(), 16)
-    sets = (base.join(chosen, "id", "left_semi").mapInArrow(_sets, "id long, n long, x1 long, x2 long, shingles array<long>"))
-    sets = staged(sets.groupBy("id").agg(F.max(F.struct("n", "x1", "x2", "shingles")).alias("s")).select("id", "s.shingles"))
+    candidates = staged(placed.select("rep").distinct().join(reps.select("rep", "first.*"), "rep"))
+    chosen = small_side(candidates, candidates.count(), ROW_BYTES)
+    sets = base.join(chosen, ["id", "h1", "h2"]).select("rep", "text").mapInArrow(_sets, "rep long, shingles array<long>")
+    sets = staged(sets.groupBy("rep").agg(F.max("shingles").alias("shingles")))
     pairs = placed.where("rep != pivot").select("rep", "pivot").distinct()
-    joined = pairs.join(sets.select(F.col("id").alias("rep"), F.col("shingles").alias("a")), "rep")
-    joined = joined.join(sets.select(F.col("id").alias("pivot"), F.col("shingles").alias("b")), "pivot")
+    joined = pairs.join(sets.select("rep", F.col("shingles").alias("a")), "rep")
+    joined = joined.join(sets.select(F.col("rep").alias("pivot"), F.col("shingles").alias("b")), "pivot")
     shared = joined.select(F.col("rep").alias("u"), F.col("pivot").alias("v"), F.size("a").alias("a"), F.size("b").alias("b"), F.size(F.array_intersect("a", "b")).alias("s"))
     stars = staged(shared.where(_linked(F.col("s"), F.col("a"), F.col("b"), percent)).select("u", "v"))
     first_pass = connected_components(stars)
@@ -162,9 +155,33 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
     if not rest.isEmpty():
         links = stars.union(staged(_rest_links(rest, sets, percent)))
     least = connected_components(links).withColumnRenamed("v", "rep")
-    classes = members.join(least, "rep", "left").select("id", F.coalesce("least", "rep").alias("component"))
-    out = sketched.select("id", F.col("n").alias("n_shingles")).join(classes, "id", "left")
-    return out.select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+    grouped = reps.select("n", "x1", "x2", "rep", "first").join(least, "rep", "left").withColumn("group", F.coalesce("least", "rep"))
+    firsts = grouped.groupBy("group").agg(F.min("first").alias("low"))
+    named = grouped.join(firsts, "group").select("n", "x1", "x2", F.col("low").alias("first"))
+    rows = sketched.select("id", "h1", "h2", "n", "x1", "x2")
+    kept = rows.join(named, ["n", "x1", "x2"], "left")
+    return kept.select("id", "h1", "h2", "n", F.when(F.col("id").isNotNull(), F.col("first")).alias("first"))
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    """Classes of documents joined by links of similar shingle sets: ``id``, ``n_shingles``, ``component``.
+
+    Words are lower-cased in A-Z; a document's set holds its distinct five-word shingles (fewer words: one shingle; no word:
+    empty, linked with nothing).  Two documents are linked when 100 times the intersection is at least ``percent`` times
+    the union, counted on the full sets; a component bears its least id.
+
+    Equal sets are one representative from the start.  Representatives that share a band of their signatures are
+    candidates (24 bands of 4; a pair at 80 % is missed with a chance of 3 in a million).  First each bucket is compared
+    with its least member; buckets whose members are then all in one component are done.  In the others the members of
+    different components are compared exactly, in blocks; members of the largest component are not compared with each
+    other.  No pair is emitted that is not a link, and no bucket is cut short.
+
+    Every row is a document of its own: rows that repeat an id with different texts are linked by their texts, never by
+    the id.  A row without an id has a null component.  An empty table gives an empty result.  Other columns are ignored.
+    """
+    rows = _classes(df, key, text, percent)
+    own = F.when(F.col("id").isNotNull(), F.coalesce("first.id", "id"))
+    return rows.select("id", F.col("n").alias("n_shingles"), own.alias("component"))
 
 
 def _rest_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -187,13 +204,30 @@ def _rest_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     with_main = F.transform(F.sequence(F.lit(0), F.col("main_blocks") - 1), lambda j: F.struct(F.col("at").alias("i"), (F.col("blocks") + j).cast("int").alias("j")))
     of_main = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(i.alias("i"), (F.col("blocks") + F.col("at")).cast("int").alias("j")))
     cells = dealt.withColumn("cell", F.explode(F.when(F.col("major"), of_main).otherwise(F.concat(others, with_main))))
-    full = cells.select("key", "cell.i", "cell.j", "rep", "comp").join(sets.withColumnRenamed("id", "rep"), "rep")
+    full = cells.select("key", "cell.i", "cell.j", "rep", "comp").join(sets, "rep")
     return full.groupBy("key", "i", "j").applyInPandas(_cross_links(percent), "u long, v long")
 
 
 def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """Keep the document of the least id of each class; columns are unchanged.  Documents without words and rows without an id stay."""
-    classes = near_duplicates(df, key, text, percent)
-    gone = staged(classes.where("id != component").select("id").distinct())
-    gone = small_side(gone, gone.count(), 16)
-    return df.join(gone, quoted(key).cast("long") == gone["id"], "left_anti")
+    """Keep one document of each class, the one of the least id; columns are unchanged.
+
+    Rows that repeat an id are judged by their own texts: of one id's rows in a class one stays, and an unrelated text under
+    the same id stays too.  Rows that repeat id and text are one document, of which one row stays.  Documents without words
+    and rows without an id stay.
+    """
+    rows = staged(_classes(df, key, text, percent).where("first is not null"))
+    me = F.struct("id", "h1", "h2")
+    gone = staged(rows.where(me != F.col("first")).select("id", "h1", "h2").distinct())
+    again = staged(rows.where(me == F.col("first")).groupBy("id", "h1", "h2").count().where("count > 1").drop("count"))
+    names = fresh(df, "id", "h1", "h2")
+    hashes = text_hashes(text_of(quoted(text)))
+    marked = df.withColumns(dict(zip(names, (quoted(key).cast("long"), *hashes), strict=True)))
+
+    def side(found: DataFrame) -> DataFrame:
+        found = found.toDF(*names)
+        return small_side(found, found.count(), ROW_BYTES)
+
+    kept = marked.join(side(gone), names, "left_anti")
+    if not again.isEmpty():
+        kept = kept.join(side(again), names, "left_anti").unionByName(kept.join(side(again), names, "left_semi").dropDuplicates(names))
+    return kept.select(*[quoted(c) for c in df.columns])

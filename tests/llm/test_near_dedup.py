@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from arealis.llm import near_dedup
 from arealis.llm.components import connected_components
@@ -112,3 +113,33 @@ def test_awkward_rows(spark, awkward, empty):
     assert kept.columns == awkward.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert not {2, 7, 9} & set(ids) and None in ids and {3, 4, 5} <= set(ids)
+
+
+def test_repeated_ids(spark, prose):
+    """Each row is judged by its own text: an unrelated text under a repeated id stays, a copy under it goes."""
+    a, b, c = prose(80), prose(90), prose(70)
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (3, c), (3, c + " end"), (4, b + " end"), (5, ""), (5, None), (None, a)]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = sorted((r["id"] or 0, r["n_shingles"], r["component"]) for r in near_dedup.near_duplicates(df).collect())
+        assert got == sorted([(1, 76, 1), (2, 77, 1), (2, 86, 2), (2, 86, 2), (3, 66, 3), (3, 67, 3), (4, 87, 2), (5, 0, 5), (5, 0, 5), (0, 76, None)])
+        kept = [(r["doc_id"], r["text"]) for r in near_dedup.drop_near_duplicates(df).collect()]
+        assert len(kept) == 6 and {(1, a), (2, b), (5, ""), (5, None), (None, a)} < set(kept) and len({t for i, t in kept if i == 3}) == 1
+
+
+def test_shuffled_joins_give_the_same(spark, awkward, monkeypatch):
+    want = sorted(map(str, near_dedup.drop_near_duplicates(awkward).collect()))
+    monkeypatch.setattr(near_dedup, "small_side", lambda df, rows, row_bytes: df)
+    assert sorted(map(str, near_dedup.drop_near_duplicates(awkward).collect())) == want
+
+
+def test_text_hashes_do_not_follow_from_each_other(spark, prose):
+    """Hashing the first hash again gives what hashing (text, 1) gives, but not the second hash."""
+    df = spark.createDataFrame([(prose(n),) for n in range(1, 200)], "text string")
+    h1, h2 = near_dedup.text_hashes(F.col("text"))
+    chained = F.xxhash64("text", F.lit(1))
+    twice = df.select(h1.alias("h1"), h2.alias("h2"), chained.alias("c")).collect()
+    again = {spark.range(1).select(F.expr(f"xxhash64(1, {r['h1']}L)")).first()[0] for r in twice[:5]}
+    assert len({r["h2"] for r in twice}) == len(twice) and not again & {r["h2"] for r in twice} and all(r["h2"] != r["c"] for r in twice)
+    bits = [bin((r["h1"] ^ r["h2"]) & (2**64 - 1)).count("1") for r in twice]
+    assert 30 < sum(bits) / len(bits) < 34
