@@ -9,7 +9,7 @@ from itertools import groupby
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,6 +24,7 @@ PIECE = 1 << 20
 BLOCK = 1 << 18  # bytes of one suffix array
 CROWD = 1 << 13  # stretches of one anchor that are compared in one task; larger crowds are aggregated by string
 PLACE = np.uint64((1 << 24) - 1)
+ID_BYTES = 64  # of a broadcast id, as the hash table holds it
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _tables: list[np.ndarray] = []
@@ -274,7 +275,7 @@ def repeated_strings(base: DataFrame) -> DataFrame:
     runs = met.where("equal").select("id", "start", "count")
     edges = met.where("not equal")
     ids = staged(edges.select("id").distinct())
-    some = base.join(small_side(ids, ids.count(), 16), "id", "left_semi").select("id", F.col("text").cast("binary").alias("body"))
+    some = base.join(small_side(ids, ids.count(), ID_BYTES), "id", "left_semi").select("id", F.col("text").cast("binary").alias("body"))
     forms = edges.join(some, "id").select("key", "id", "start", "count", "off", "forms", F.expr(f"substring(body, start + 1, count + {LENGTH - 1})").alias("body"))
     forms = staged(forms)
     few = forms.where(F.col("forms") <= CROWD).repartition("key").sortWithinPartitions("key")
@@ -282,6 +283,11 @@ def repeated_strings(base: DataFrame) -> DataFrame:
     return runs.union(compared).union(_crowds(forms.where(F.col("forms") > CROWD)))
 
 
+def _text_hashes() -> list[Column]:
+    """Two hashes of ``text`` from different starts: of the second one the text comes last, so it does not follow from the first."""
+    return [F.xxhash64("text").alias("x1"), F.xxhash64(F.lit(1), "text").alias("x2")]
+
+
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Remove from each text the bytes covered by a string of 100 UTF-8 bytes that also starts earlier: in a document of a smaller key, or before in the same one.
 
@@ -296,19 +302,19 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     body = text_of(quoted(text))
     rows = df.select(F.coalesce(quoted(key).cast("long"), F.lit(-(1 << 63))).alias("id"), body.alias("text"))
     named = rows.select("id", F.col("id").alias("name"), "text")
-    slim = rows.select("id", F.octet_length("text").alias("n"), F.xxhash64("text").alias("x1"), F.xxhash64("text", F.lit(1)).alias("x2"))
+    slim = rows.select("id", F.octet_length("text").alias("n"), *_text_hashes())
     slim = staged(slim)
     repeated = not slim.groupBy("id").count().where("count > 1").isEmpty()
     if repeated:
         named = _numbered(rows)
-        slim = staged(named.select("id", F.octet_length("text").alias("n"), F.xxhash64("text").alias("x1"), F.xxhash64("text", F.lit(1)).alias("x2")))
+        slim = staged(named.select("id", F.octet_length("text").alias("n"), *_text_hashes()))
     firsts = slim.groupBy("n", "x1", "x2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
     copies = staged(slim.join(firsts.where((F.col("copies") > 1) & (F.col("n") >= LENGTH)), ["n", "x1", "x2"]).where("id != first").select("id"))
-    known = small_side(copies, copies.count(), 16)
+    known = small_side(copies, copies.count(), ID_BYTES)
     alone = named.join(known, "id", "left_anti")
     runs = repeated_strings(alone.select("id", "text"))
     runs = staged(runs.groupBy("id").agg(F.collect_list(F.struct("start", "count")).alias("runs")))
-    touched = small_side(runs.select("id"), runs.count(), 16)
+    touched = small_side(runs.select("id"), runs.count(), ID_BYTES)
     changed = alone.join(touched, "id", "left_semi").join(runs, "id").select("id", "text", "runs").mapInArrow(_remove, "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     size = F.octet_length("text").cast("long").alias("n_bytes")
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")

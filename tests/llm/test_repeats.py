@@ -85,3 +85,10 @@ def test_awkward_rows(spark, awkward, empty):
     # the two rows that repeat key 13: of three equal rows the first stays
     assert sorted(r["n_removed"] > 0 for r in by[13]) == [False, True, True]
     assert len(by[None]) == 1
+
+
+def test_shuffled_joins_give_the_same(spark, prose, monkeypatch):
+    rows = corpus(prose)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(repeats, "small_side", lambda df, rows, row_bytes: df)
+    assert sorted(tuple(r) for r in repeats.remove_repeats(df).collect()) == sorted(brute(rows))
