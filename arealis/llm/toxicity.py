@@ -23,6 +23,8 @@ QUIET = 0.25  # chances below this do not add up, or every long text would seem
 COPY = 0.8  # Jaccard similarity of shingles from which a labelled text is a copy
 PIECE = 1 << 18
 SLICE = 1500  # rows whose chains run together
+FIT_CHAIN = 2048  # tokens of a chain in the fit; longer texts are several chains
+FIT_TOKENS = 1 << 18  # tokens whose chains run together in the fit
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -212,13 +214,26 @@ def _new_tokens(docs: list[np.ndarray], toxic: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _chain_slices(lengths: np.ndarray, tokens: int) -> list[tuple[slice, slice]]:
+    """Runs of whole chains of at most ``tokens`` tokens (one chain at least), as slices of the chains and of their tokens."""
+    ends = np.cumsum(lengths)
+    out, at = [], 0
+    while at < len(lengths):
+        before = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + tokens, "right")))
+        out.append((slice(at, to), slice(before, int(ends[to - 1]))))
+        at = to
+    return out
+
+
 def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) -> ToxicityModel:
     """Learn token labels from document labels, then the field from the tokens, then the document scale.
 
     A token of a toxic document is labelled toxic if it or a prefix of it marks toxic documents: the likelihood ratio of its
     document counts, in which a passage of many documents of a label counts once, exceeds what the number of features tested
     would give by chance.  The field is fitted by adaptive
-    gradient steps on the exact likelihood of these labels.
+    gradient steps on the exact likelihood of these labels, summed
+    over slices of whole chains; a text beyond ``FIT_CHAIN`` tokens is several chains.
     """
     toxic = np.asarray(toxic, float)
     if not len(texts) or toxic.min() == toxic.max():
@@ -263,27 +278,35 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 30, seed: int = 5) ->
     label = (np.logical_or.reduce([marks[column] for column in feats.T]) & (toxic[owner] == 1)).astype(float)
     weights, bias, moves = np.zeros(BUCKETS), -4.0, np.zeros((2, 2))
     seen_w, seen_b, seen_m = np.full(BUCKETS, 1e-6), 1e-6, np.full((2, 2), 1e-6)
-    first = np.zeros(len(label), bool)
-    first[np.cumsum(lengths)[:-1][lengths[1:] > 0]] = True
-    first[:1] = True
+    at, first = label.astype(int), np.zeros(len(label), bool)
+    chains = np.array([n for size in lengths.tolist() for n in [FIT_CHAIN] * (size // FIT_CHAIN) + [size % FIT_CHAIN] * (size % FIT_CHAIN > 0)], np.int64)
+    first[(np.cumsum(chains) - chains)] = True
     inner = np.flatnonzero(~first)
-    at = label.astype(int)
     told = np.zeros((2, 2))
     np.add.at(told, (at[inner - 1], at[inner]), 1)
+    del at, first, inner
+    slices = _chain_slices(chains, FIT_TOKENS)
     for _ in range(rounds):
-        p, pairs = marginals(_token_scores(weights, feats) + bias, lengths, moves)
-        slope = label - p
-        up = np.where(common, sum(np.bincount(column, slope, BUCKETS) for column in feats.T) - 0.1 * weights, 0.0)
+        up, slope, pairs = np.zeros(BUCKETS), 0.0, np.zeros((2, 2))
+        for chains_in, tokens_in in slices:
+            own = feats[tokens_in]
+            p, moved = marginals(_token_scores(weights, own) + bias, chains[chains_in], moves)
+            gap = label[tokens_in] - p
+            for column in own.T:
+                up += np.bincount(column, gap, BUCKETS)
+            slope += gap.sum()
+            pairs += moved
+        up = np.where(common, up - 0.1 * weights, 0.0)
         seen_w += up**2
         weights += 0.6 * up / np.sqrt(seen_w)
-        seen_b += slope.sum() ** 2
-        bias += 0.3 * slope.sum() / np.sqrt(seen_b)
+        seen_b += slope**2
+        bias += 0.3 * slope / np.sqrt(seen_b)
         gap = told - pairs
         seen_m += gap**2
         moves += 0.1 * gap / np.sqrt(seen_m)
-    p, _ = marginals(_token_scores(weights, feats) + bias, lengths, moves)
-    edges = np.cumsum(lengths)[:-1]
-    x = np.array([[1.0, *_document_inputs(q)] for q in np.split(p, edges)])
+    chances = [marginals(_token_scores(weights, feats[tokens_in]) + bias, chains[chains_in], moves)[0] for chains_in, tokens_in in slices]
+    p = np.concatenate([np.zeros(0), *chances])
+    x = np.array([[1.0, *_document_inputs(q)] for q in np.split(p, np.cumsum(lengths)[:-1])])
     scale = np.zeros(3)
     for _ in range(50):  # Newton steps of a ridge logistic regression
         q = 1 / (1 + np.exp(-x @ scale))
@@ -323,8 +346,9 @@ def score_column(column: pa.Array, model: ToxicityModel, least: float = 0.5) ->
     return 1 / (1 + np.exp(-value)), found
 
 
-def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows: tuple[int, int] = (3600, 1200), longest: int = 1 << 13) -> ToxicityModel:
-    """Fit on a bounded sample: at most ``rows`` labelled documents (clean, toxic), chosen by a hash of the key, of at most ``longest`` characters.
+def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", keep: str | None = None, rows: tuple[int, int] = (3600, 1200)) -> ToxicityModel:
+    """Fit on a bounded sample: at most ``rows`` labelled documents (clean, toxic), chosen by a hash of the key.  Whole texts are
+    learned from, however long.
 
     ``keep`` is an SQL condition on the labels table for the rows that may be learned from.  Rows with a null key, label or
     text are left out, and keys that are labelled both ways.
@@ -332,10 +356,10 @@ def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     marked = labels.where(keep) if keep else labels
     marked = marked.where(quoted(label).isin(0, 1)).groupBy(quoted(key).alias("k")).agg(F.min(quoted(label)).alias("y"), F.max(quoted(label)).alias("z")).where("y = z").select("k", "y")
     texts = docs.select(quoted(key).alias("k"), quoted(text).cast("string").alias("text"))
-    fits = texts.select("k", F.length("text").alias("n")).where(f"n between 1 and {longest}").join(marked, "k").groupBy("k").agg(F.max("y").alias("y"))
+    fits = texts.select("k", F.length("text").alias("n")).where("n > 0").join(marked, "k").groupBy("k").agg(F.max("y").alias("y"))
     chosen = [fits.where(F.col("y") == y).orderBy(F.xxhash64("k", F.lit(3)), "k").limit(rows[y]) for y in (0, 1)]
     # at most sum(rows) keys, so the sample's keys may be broadcast; texts of other rows do not move
-    some = texts.join(F.broadcast(staged(chosen[0].union(chosen[1]))), "k").where(F.length("text") <= longest).dropDuplicates(["k"])
+    some = texts.join(F.broadcast(staged(chosen[0].union(chosen[1]))), "k").where(F.length("text") > 0).dropDuplicates(["k"])
     sample = some.repartition(1).sortWithinPartitions(F.xxhash64("k", F.lit(4)), "k").select("text", "y")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in registry.QUERIES} == {*(f"op{i}" for i in range(1, 11)), "pipeline"}
+    assert {n.split("_")[0] for n in registry.QUERIES} == {*(f"op{i}" for i in range(1, 14)), "pipeline"}
 
 
 def test_stages_match_brute_force(spark):
@@ -66,6 +66,23 @@ def test_stages_match_brute_force(spark):
     assert len(kept["sharding"]) == len(after) and dealt.max() - dealt.min() <= 1
 
 
+def test_awkward_and_empty_documents(spark, awkward, empty, tmp_path):
+    """All stages on rows with nulls, repeated ids and repeated rows: one row of each text stays, unrelated texts under one id too."""
+    for name, docs in (("awkward", awkward), ("empty", empty)):
+        folder = f"{tmp_path}/{name}"
+        columns = ["doc_id", "text", F.lit("en").alias("lang"), F.col("shard").alias("source"), F.char_length("text").cast("long").alias("n_chars")]
+        docs.select(*columns).write.parquet(f"{folder}/documents.parquet")
+        for table in ("labels", "benchmark"):
+            spark.read.parquet(f"{DATA}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+        out = corpus_pipeline.run(spark, folder).toPandas()
+        if name == "empty":
+            assert len(out) == 0
+        else:
+            ids = out["doc_id"].value_counts()
+            assert {1, 3, 4, 5, 6, 8, 11, 12, 13} <= set(ids.index) and not {2, 7, 9} & set(ids.index)
+            assert out.loc[out["doc_id"] == 12, "text"].nunique() == 2 and out.loc[out["doc_id"] == 13, "text"].nunique() == 1
+
+
 def test_run_gives_the_last_stage(spark):
     out = corpus_pipeline.run(spark, DATA)
     assert {"doc_id", "text", "shard", "slot"} <= set(out.columns) and out.count() > 100
