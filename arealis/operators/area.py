@@ -6,10 +6,11 @@ posteriors are mixtures over a variance grid whose sums come from one aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from arealis.functions.recode import nullif_zero
 from arealis.operators.cells import union_by_name
 from arealis.operators.glm import log_weights, mix_moments
-from arealis.operators.linalg import check_width, cross_sums, dot, double_columns, quadratic_form, read_matrix, read_vector, vector_sums
+from arealis.operators.linalg import NARROW, cross_sums, double_columns, read_matrix, read_vector, task_sums, vector_sums, with_forms
 
 
 @dataclass(frozen=True)
@@ -29,37 +30,64 @@ class EblupFit:
     iterations: int
 
 
-def _reml_sums(fit: DataFrame, cols: Sequence[Column], grid: Sequence[float]) -> list[dict]:
-    """GLS coefficients, restricted log-likelihood and its score at every variance of the grid; one job."""
-    p, y = len(cols), F.col("__y")
+def _grid_sums(fit: DataFrame, p: int, grid: Sequence[float], second: bool = False) -> list[dict]:
+    """Weighted sums at every variance of the grid, one job: ``a`` = X'WX, ``u`` = X'Wy, ``yy``, ``lw``; with ``second`` those of W^2 too."""
+    cols, y = [F.col(f"__x{i}") for i in range(p)], F.col("__y")
+    if p > NARROW:
+        return _wide_grid_sums(fit, p, grid, second)
     tall = fit.select("*", F.posexplode(F.array(*[F.lit(float(g)) for g in grid])).alias("__g", "__s2"))
-    w = 1 / (F.col("__s2") + F.col("__psi"))
-    tall = tall.withColumn("__w", w)
+    tall = tall.withColumn("__w", 1 / (F.col("__s2") + F.col("__psi")))
     w = F.col("__w")
-    rows = (
-        tall.groupBy("__g")
-        .agg(
-            *cross_sums(cols, "a", w),
-            *cross_sums(cols, "b", w * w),
-            *vector_sums(cols, y, "u", w),
-            *vector_sums(cols, y, "v", w * w),
-            F.sum(w * y * y).alias("yy1"),
-            F.sum(w * w * y * y).alias("yy2"),
-            F.sum(w).alias("w1"),
-            F.sum(w * w).alias("w2"),
-            F.sum(F.log(w)).alias("lw"),
-        )
-        .collect()
-    )
+    aggs = [*cross_sums(cols, "a", w), *vector_sums(cols, y, "u", w), F.sum(w * y * y).alias("yy"), F.sum(F.log(w)).alias("lw")]
+    if second:
+        aggs += [*cross_sums(cols, "b", w * w), *vector_sums(cols, y, "v", w * w), F.sum(w * w * y * y).alias("yy2"), F.sum(w).alias("w1"), F.sum(w * w).alias("w2")]
     out: list[dict] = [{}] * len(grid)
-    for r in rows:
+    for r in tall.groupBy("__g").agg(*aggs).collect():
         d = r.asDict()
-        a, b, u = read_matrix(d, "a", p), read_matrix(d, "b", p), read_vector(d, "u", p)
+        out[d["__g"]] = d | {k: read_matrix(d, k, p) for k in ("ab" if second else "a")} | {k: read_vector(d, k, p) for k in ("uv" if second else "u")}
+    return out
+
+
+def _wide_grid_sums(fit: DataFrame, p: int, grid: Sequence[float], second: bool) -> list[dict]:
+    """The same for wide designs: tasks sum one matrix for each point of the grid."""
+    names, points = [f"__x{i}" for i in range(p)], np.asarray(grid, float)
+    powers = (1, 2) if second else (1,)
+
+    def sums(pdf: pd.DataFrame) -> np.ndarray:
+        X, y, psi = pdf[names].to_numpy(float), pdf["__y"].to_numpy(float), pdf["__psi"].to_numpy(float)
+        parts = []
+        for g in points:
+            w = 1 / (g + psi)
+            for power in powers:
+                z = w**power
+                parts += [((X * z[:, None]).T @ X).ravel(), X.T @ (z * y), [(z * y * y).sum(), z.sum()]]
+            parts.append([np.log(w).sum()])
+        return np.concatenate(parts)
+
+    each = len(powers) * (p * p + p + 2) + 1
+    flat = task_sums(fit.select("__y", "__psi", *names).dropna(), sums)
+    out = []
+    for row in (flat if len(flat) else np.zeros(each * len(points))).reshape(len(points), each):
+        d, at = {"lw": float(row[-1])}, 0
+        for matrix, vector, total, weight in (("a", "u", "yy", "w1"), ("b", "v", "yy2", "w2"))[: len(powers)]:
+            d |= {matrix: row[at : at + p * p].reshape(p, p), vector: row[at + p * p : at + p * p + p], total: float(row[at + p * p + p]), weight: float(row[at + p * p + p + 1])}
+            at += p * p + p + 2
+        out.append(d)
+    return out
+
+
+def _reml_sums(fit: DataFrame, p: int, grid: Sequence[float]) -> list[dict]:
+    """GLS coefficients, restricted log-likelihood and its score at every variance of the grid; one job."""
+    out = []
+    for s2, d in zip(grid, _grid_sums(fit, p, grid, second=True)):
+        if not d:
+            raise ValueError("no area has an estimate and its variance")
+        a, b, u = d["a"], d["b"], d["u"]
         ai = np.linalg.inv(a)
         beta = ai @ u
-        score = -0.5 * (d["w1"] - np.trace(ai @ b)) + 0.5 * (d["yy2"] - 2 * beta @ read_vector(d, "v", p) + beta @ b @ beta)
-        ll = 0.5 * d["lw"] - 0.5 * np.linalg.slogdet(a)[1] - 0.5 * (d["yy1"] - u @ beta)
-        out[d["__g"]] = {"s2": float(grid[d["__g"]]), "beta": beta, "cov": ai, "score": float(score), "ll": float(ll), "w2": d["w2"]}
+        score = -0.5 * (d["w1"] - np.trace(ai @ b)) + 0.5 * (d["yy2"] - 2 * beta @ d["v"] + beta @ b @ beta)
+        ll = 0.5 * d["lw"] - 0.5 * np.linalg.slogdet(a)[1] - 0.5 * (d["yy"] - u @ beta)
+        out.append({"s2": float(s2), "beta": beta, "cov": ai, "score": float(score), "ll": float(ll), "w2": d["w2"]})
     return out
 
 
@@ -70,16 +98,15 @@ def fh_eblup(areas: DataFrame, y: str, psi: str, xs: Sequence[str | Column], sig
     point and the root of the score is interpolated in the last one.  Zero is a candidate.
     """
     p = len(xs)
-    check_width(p)
     names = [f"__x{i}" for i in range(p)]
     fit = areas.select(F.col(y).cast("double").alias("__y"), F.col(psi).cast("double").alias("__psi"), *[c.alias(n) for n, c in zip(names, double_columns(xs))])
     fit = fit.filter("__y IS NOT NULL AND __psi IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
-    cols, jobs = [F.col(n) for n in names], 0
+    jobs = 0
     try:
         if sigma2 is None:
             grid = np.concatenate([[0.0], variance_grid(fit, "__y", "__psi", points)])
             for jobs in range(1, rounds + 1):
-                e = _reml_sums(fit, cols, grid)
+                e = _reml_sums(fit, p, grid)
                 k = max(range(len(e)), key=lambda i: e[i]["ll"])
                 lo, hi = max(k - 1, 0), min(k + 1, len(e) - 1)
                 grid = np.linspace(e[lo]["s2"], e[hi]["s2"], points)
@@ -88,7 +115,7 @@ def fh_eblup(areas: DataFrame, y: str, psi: str, xs: Sequence[str | Column], sig
                 s0, s1 = e[i]["score"], e[i + 1]["score"]
                 if s0 > 0 >= s1:
                     sigma2 = e[i]["s2"] + (e[i + 1]["s2"] - e[i]["s2"]) * s0 / (s0 - s1)
-        r = _reml_sums(fit, cols, [sigma2])[0]
+        r = _reml_sums(fit, p, [sigma2])[0]
         return EblupFit(r["beta"], r["cov"], float(sigma2), 2.0 / r["w2"], jobs)
     finally:
         fit.unpersist()
@@ -100,9 +127,8 @@ def eblup_table(areas: DataFrame, fit: EblupFit, y: str, psi: str, xs: Sequence[
     s2 = F.lit(fit.sigma2)
     seen = F.col(y).isNotNull() & F.col(psi).isNotNull()
     gamma = F.when(seen, s2 / (s2 + F.col(psi))).otherwise(0.0)
-    xb, xvx = dot(cols, fit.beta), quadratic_form(cols, fit.cov)
-    out = areas.withColumns({"gamma": gamma, "synthetic": xb})
-    g = F.col("gamma")
+    out = with_forms(areas.withColumn("gamma", gamma), cols, fit.beta, fit.cov, "synthetic", "__q")
+    g, xvx = F.col("gamma"), F.col("__q")
     out = out.withColumns(
         {
             "theta": F.when(seen, g * F.col(y) + (1 - g) * F.col("synthetic")).otherwise(F.col("synthetic")),
@@ -111,7 +137,7 @@ def eblup_table(areas: DataFrame, fit: EblupFit, y: str, psi: str, xs: Sequence[
             "g3": F.when(seen, F.pow(F.col(psi), 2) / F.pow(s2 + F.col(psi), 3) * F.lit(fit.var_sigma2)).otherwise(0.0),
         }
     )
-    return out.withColumn("mse", F.col("g1") + F.col("g2") + 2 * F.col("g3"))
+    return out.withColumn("mse", F.col("g1") + F.col("g2") + 2 * F.col("g3")).drop("__q")
 
 
 # ---------------------------------------------------------------- Bayes by quadrature
@@ -183,7 +209,6 @@ def fh_gaussian_fit(
     the shuffle.
     """
     p = len(xs)
-    check_width(p)
     names = [f"__x{i}" for i in range(p)]
     fit = areas.select(F.col(y).cast("double").alias("__y"), F.col(psi).cast("double").alias("__psi"), *[c.alias(n) for n, c in zip(names, double_columns(xs))])
     fit = fit.filter("__y IS NOT NULL AND __psi IS NOT NULL").persist(StorageLevel.MEMORY_AND_DISK)
@@ -192,22 +217,13 @@ def fh_gaussian_fit(
             grid = variance_grid(fit, "__y", "__psi", points)
         if prior == "flat_sd" and fit.count() < p + 2:
             raise ValueError("a flat prior on the area standard deviation needs at least p + 2 areas")
-        cols, yc = [F.col(n) for n in names], F.col("__y")
-        tall = fit.select("*", F.posexplode(F.array(*[F.lit(float(g)) for g in grid])).alias("__g", "__s2"))
-        w = 1 / (F.col("__s2") + F.col("__psi"))
-        rows = (
-            tall.groupBy("__g")
-            .agg(*cross_sums(cols, "a", w), *vector_sums(cols, yc, "u", w), F.sum(w * yc * yc).alias("yy"), F.sum(F.log(w)).alias("lw"))
-            .collect()
-        )
+        rows = _grid_sums(fit, p, grid)
     finally:
         fit.unpersist()
     G = len(grid)
     logp, beta, cov = np.empty(G), np.empty((G, p)), np.empty((G, p, p))
-    for r in rows:
-        g, r = r["__g"], r.asDict()
-        a = read_matrix(r, "a", p) + np.eye(p) / tau**2
-        u = read_vector(r, "u", p)
+    for g, r in enumerate(rows):
+        a, u = r["a"] + np.eye(p) / tau**2, r["u"]
         beta[g], cov[g] = np.linalg.solve(a, u), np.linalg.inv(a)
         logp[g] = 0.5 * r["lw"] - 0.5 * (r["yy"] - u @ beta[g]) - 0.5 * np.linalg.slogdet(a)[1]
     grid = np.asarray(grid, dtype=float)
@@ -236,6 +252,8 @@ def fh_gaussian_predict(areas: DataFrame, fit: GridFit, y: str, psi: str, xs: Se
     fit = fit.pruned()
     cols = double_columns(xs)
     p = len(cols)
+    if p > NARROW:
+        return _wide_predict(areas, fit, y, psi, cols, area_effect)
     seen = F.col(y).isNotNull() & F.col(psi).isNotNull()
     yv, pv = F.coalesce(F.col(y).cast("double"), F.lit(0.0)), F.col(psi).cast("double")
 
@@ -265,6 +283,34 @@ def fh_gaussian_predict(areas: DataFrame, fit: GridFit, y: str, psi: str, xs: Se
     return out.withColumns({"theta": F.col("__a.e1"), "theta_sd": F.sqrt(var), "observed": seen}).drop("__a", "__grid")
 
 
+def _wide_predict(areas: DataFrame, fit: GridFit, y: str, psi: str, cols: Sequence[Column], area_effect: bool) -> DataFrame:
+    """The same moments for wide designs, batch by batch as matrices."""
+    kept, p = areas.columns, len(cols)
+    table = areas.select(*kept, F.col(y).cast("double").alias("__y"), F.col(psi).cast("double").alias("__psi"), F.array(*cols).alias("__x"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            X = np.array([[np.nan if v is None else v for v in r] for r in pdf["__x"]], float).reshape(len(pdf), p)
+            y_, psi_ = pdf["__y"].to_numpy(float), pdf["__psi"].to_numpy(float)
+            seen = ~np.isnan(y_) & ~np.isnan(psi_)
+            e1, e2 = np.zeros(len(pdf)), np.zeros(len(pdf))
+            for w, s2, b, c in zip(fit.weights, fit.sigma2, fit.beta, fit.cov):
+                gamma = np.where(seen, s2 / (s2 + np.where(seen, psi_, 1.0)), 0.0)
+                m = gamma * np.where(seen, y_, 0.0) + (1 - gamma) * (X @ b)
+                v = np.where(seen, gamma * np.where(seen, psi_, 0.0), s2 if area_effect else 0.0) + (1 - gamma) ** 2 * np.einsum("ri,ri->r", X @ c, X)
+                if fit.link == "arcsine":
+                    c2, c4 = np.exp(-2 * v) * np.cos(2 * m), np.exp(-8 * v) * np.cos(4 * m)
+                    m, second = 0.5 * (1 - c2), 0.375 - 0.5 * c2 + 0.125 * c4
+                else:
+                    second = v + m * m
+                e1, e2 = e1 + w * m, e2 + w * second
+            yield pdf[kept].assign(theta=e1, theta_sd=np.sqrt(np.maximum(e2 - e1 * e1, 0.0)), observed=seen)
+
+    schema = areas.schema.add("theta", "double").add("theta_sd", "double").add("observed", "boolean")
+    out = table.mapInPandas(run, schema)
+    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("theta", "theta_sd")})
+
+
 def fh_normal(areas: DataFrame, y: str, psi: str, xs: Sequence[str | Column], prior: str = "inverse_gamma", **kw) -> tuple[GridFit, DataFrame]:
     fit = fh_gaussian_fit(areas, y, psi, xs, prior, **kw)
     return fit, fh_gaussian_predict(areas, fit, y, psi, xs)

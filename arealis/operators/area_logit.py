@@ -19,7 +19,7 @@ from arealis.functions.numeric import hermite_nodes
 from arealis.functions.quadrature import beta_logit, integrate_groups, multinomial
 from arealis.operators.area import GridFit, log_prior
 from arealis.operators.glm import log_weights
-from arealis.operators.linalg import check_width, double_columns, sum_vectors
+from arealis.operators.linalg import double_columns, sum_vectors
 
 CHUNK = 40_000  # area x grid points integrated at once in a task
 
@@ -72,7 +72,6 @@ def fh_logit_fit(
     areas: DataFrame, kind: str, y: str, n: str, xs: Sequence[str | Column], prior: str, tau: float, grid: np.ndarray | None = None, points: int = 60, nodes: int = 15, tol: float = 1e-7, max_iter: int = 40
 ) -> GridFit:
     p = len(xs)
-    check_width(p)
     s2 = np.exp(np.linspace(np.log(1e-4), np.log(30.0), points)) if grid is None else np.asarray(grid, dtype=float)
     fit = _fit_table(areas, y, n, xs)
     usable = (F.col("__n") > 0) & F.col("__y").isNotNull()

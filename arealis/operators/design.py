@@ -9,8 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 64
-
 
 @dataclass(frozen=True)
 class Factor:
@@ -54,16 +52,20 @@ class DesignSpec:
         return df.select(*keep, *self.expressions())
 
 
-def fit_design(df: DataFrame, terms: Sequence[Factor | Numeric], intercept: bool = True, max_levels: int = MAX_LEVELS) -> DesignSpec:
-    """Learn factor levels from the training table in one aggregate."""
-    open_factors = [t for t in terms if isinstance(t, Factor) and t.levels is None]
+def fit_design(df: DataFrame, terms: Sequence[Factor | Numeric], intercept: bool = True, max_levels: int | None = None) -> DesignSpec:
+    """Learn the levels of all factors from the training table in one aggregate.
+
+    Every level becomes a column of the plan.  A factor of thousands of levels belongs into ``operators.bordered``, which
+    makes no columns; ``max_levels`` lets a caller insist on that.
+    """
+    open_factors = [t.name for t in terms if isinstance(t, Factor) and t.levels is None]
     found: dict[str, tuple[str, ...]] = {}
     if open_factors:
-        for t in open_factors:
-            rows = df.select(F.col(f"`{t.name}`").cast("string").alias("v")).filter("v is not null").distinct().orderBy("v").limit(max_levels + 1).collect()
-            if len(rows) > max_levels:
-                raise ValueError(f"{t.name} has more than {max_levels} levels; use it as a grouping effect instead")
-            found[t.name] = tuple(r["v"] for r in rows)
+        row = df.agg(*[F.sort_array(F.collect_set(F.col(f"`{n}`").cast("string"))).alias(f"f{i}") for i, n in enumerate(open_factors)]).first()
+        found = {n: tuple(row[f"f{i}"]) for i, n in enumerate(open_factors)}
+        for name, levels in found.items():
+            if max_levels is not None and len(levels) > max_levels:
+                raise ValueError(f"{name} has more than {max_levels} levels; use it as the factor of a bordered model or as a grouping effect")
     fitted = tuple(Factor(t.name, found.get(t.name, t.levels)) if isinstance(t, Factor) else t for t in terms)
     spec = DesignSpec(fitted, intercept, ())
     names, full = (["(Intercept)"] if intercept else []), not intercept

@@ -10,12 +10,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arealis.functions.quadrature import probabilities
 from arealis.functions.recode import softmax_ref
-from arealis.operators.linalg import check_width, cross_sums, dot, double_columns, least_squares, read_matrix, read_vector, vector_sums
+from arealis.operators.linalg import NARROW, cross_sums, dot, double_columns, least_squares, moment_sums, read_matrix, read_vector, task_sums, vector_sums
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,6 @@ def collapse_patterns(df: DataFrame, xs: dict[str, Column], sums: dict[str, Colu
 def binomial_model(df: DataFrame, y: str | Column, n: str | Column | None, xs: dict[str, Column], tau: float = 1e4, tol: float = 1e-10, max_iter: int = 50) -> Coefficients:
     """Logistic regression on counts (or 0/1 rows when ``n`` is None), N(0, tau^2) prior; Laplace covariance."""
     p = len(xs)
-    check_width(p)
     yc = F.col(y) if isinstance(y, str) else y
     nc = F.lit(1.0) if n is None else (F.col(n) if isinstance(n, str) else n)
     fit = collapse_patterns(df, xs, {"__y": yc, "__n": nc}).persist(StorageLevel.MEMORY_AND_DISK)
@@ -122,11 +123,9 @@ def binomial_model(df: DataFrame, y: str | Column, n: str | Column | None, xs: d
     try:
         for it in range(1, max_iter + 1):
             _, mu = softmax_ref(dot(cols, beta))
-            row = fit.agg(
-                *cross_sums(cols, "h", F.col("__n") * mu * (1 - mu)), *vector_sums(cols, F.col("__y") - F.col("__n") * mu, "g")
-            ).first().asDict()
-            h = read_matrix(row, "h", p) + prior
-            step = np.linalg.solve(h, read_vector(row, "g", p) - prior @ beta)
+            row = moment_sums(fit, cols, {"h": F.col("__n") * mu * (1 - mu)}, {"g": F.col("__y") - F.col("__n") * mu}, {})
+            h = row["h"] + prior
+            step = np.linalg.solve(h, row["g"] - prior @ beta)
             size = np.abs(step).max()
             beta = beta + step * min(1.0, 5.0 / max(size, 1e-300))
             cov = np.linalg.inv(h)
@@ -143,37 +142,60 @@ def logistic_model(df: DataFrame, y: str, xs: dict[str, Column], tau: float = 1e
     return binomial_model(df, y, None, xs, tau, **kw)
 
 
+def _narrow_sums(fit: DataFrame, cols: Sequence[Column], counts: Sequence[str], beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and negative Hessian of the baseline-category likelihood, as one SQL aggregate."""
+    p, d = len(cols), len(counts) - 1
+    total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
+    probs = softmax_ref(*[dot(cols, beta[k * p : (k + 1) * p]) for k in range(d)])
+    named = fit.withColumns({f"__p{k}": probs[k + 1] for k in range(d)}).withColumn("__t", total)
+    pi = [F.col(f"__p{k}") for k in range(d)]
+    aggs = []
+    for k in range(d):
+        aggs += vector_sums(cols, F.col(counts[k + 1]) - F.col("__t") * pi[k], f"g{k}")
+        for m in range(k, d):
+            w = F.col("__t") * (pi[k] * (1 - pi[k]) if m == k else -pi[k] * pi[m])
+            aggs += cross_sums(cols, f"h{k}{m}", w)
+    row = named.agg(*aggs).first().asDict()
+    h, g = np.zeros((p * d, p * d)), np.zeros(p * d)
+    for k in range(d):
+        g[k * p : (k + 1) * p] = read_vector(row, f"g{k}", p)
+        for m in range(k, d):
+            block = read_matrix(row, f"h{k}{m}", p)
+            h[k * p : (k + 1) * p, m * p : (m + 1) * p] = block
+            h[m * p : (m + 1) * p, k * p : (k + 1) * p] = block
+    return g, h
+
+
+def _wide_sums(fit: DataFrame, names: Sequence[str], counts: Sequence[str], beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same as matrices summed in tasks."""
+    names, counts = list(names), list(counts)
+    p, d = len(names), len(counts) - 1
+
+    def sums(pdf: pd.DataFrame) -> np.ndarray:
+        X, y = pdf[names].to_numpy(float), pdf[counts].to_numpy(float)
+        pi, n = probabilities(X @ beta.reshape(d, p).T), y.sum(axis=1)
+        parts = [(X.T @ (y[:, k + 1] - n * pi[:, k])) for k in range(d)]
+        parts += [((X * (n * pi[:, k] * ((k == m) - pi[:, m]))[:, None]).T @ X).ravel() for k in range(d) for m in range(d)]
+        return np.concatenate(parts)
+
+    flat = task_sums(fit.select(*names, *counts).dropna(), sums)
+    flat = flat if len(flat) else np.zeros(p * d * (1 + p * d))
+    return flat[: p * d], flat[p * d :].reshape(d, d, p, p).transpose(0, 2, 1, 3).reshape(p * d, p * d)
+
+
 def multinomial_model(df: DataFrame, counts: Sequence[str], xs: dict[str, Column], tau: float = 100.0, tol: float = 1e-10, max_iter: int = 50) -> Coefficients:
     """Baseline-category logit; the first count column is the reference category.
 
     Coefficients come category by category, ``<category>:<term>``.
     """
     p, d = len(xs), len(counts) - 1
-    check_width(p * d)
     fit = collapse_patterns(df, xs, {c: F.col(c) for c in counts}).persist(StorageLevel.MEMORY_AND_DISK)
     cols = double_columns(list(xs))
-    total = sum((F.col(c) for c in counts[1:]), F.col(counts[0]))
     prior = np.eye(p * d) / tau**2
     beta, cov, it = np.zeros(p * d), None, 0
     try:
         for it in range(1, max_iter + 1):
-            probs = softmax_ref(*[dot(cols, beta[k * p : (k + 1) * p]) for k in range(d)])
-            named = fit.withColumns({f"__p{k}": probs[k + 1] for k in range(d)}).withColumn("__t", total)
-            pi = [F.col(f"__p{k}") for k in range(d)]
-            aggs = []
-            for k in range(d):
-                aggs += vector_sums(cols, F.col(counts[k + 1]) - F.col("__t") * pi[k], f"g{k}")
-                for m in range(k, d):
-                    w = F.col("__t") * (pi[k] * (1 - pi[k]) if m == k else -pi[k] * pi[m])
-                    aggs += cross_sums(cols, f"h{k}{m}", w)
-            row = named.agg(*aggs).first().asDict()
-            h, g = np.zeros((p * d, p * d)), np.zeros(p * d)
-            for k in range(d):
-                g[k * p : (k + 1) * p] = read_vector(row, f"g{k}", p)
-                for m in range(k, d):
-                    block = read_matrix(row, f"h{k}{m}", p)
-                    h[k * p : (k + 1) * p, m * p : (m + 1) * p] = block
-                    h[m * p : (m + 1) * p, k * p : (k + 1) * p] = block
+            g, h = _wide_sums(fit, list(xs), counts, beta) if p * d > NARROW else _narrow_sums(fit, cols, counts, beta)
             h += prior
             step = np.linalg.solve(h, g - prior @ beta)
             size = np.abs(step).max()
