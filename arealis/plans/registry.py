@@ -39,4 +39,4 @@ def rounded(df: DataFrame, digits: int | dict[str, int] = 6, default: int = 6) -
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from arealis.plans import area_queries, cell_queries, model_queries, recode_queries, survey_queries, zone_queries  # noqa: F401
+    from arealis.plans import area_queries, bordered_queries, cell_queries, model_queries, recode_queries, survey_queries, zone_queries  # noqa: F401
