@@ -91,9 +91,26 @@ def _linked(shared: Column, a: Column, b: Column, percent: int) -> Column:
     return shared * 100 >= (a + b - shared) * percent
 
 
+def spanning(a: list[int], b: list[int]) -> np.ndarray:
+    """Which edges join what the edges before them have not joined yet."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    kept = np.zeros(len(a), bool)
+    for i, (x, y) in enumerate(zip(a, b, strict=True)):
+        x, y = find(x), find(y)
+        if x != y:
+            root[y], kept[i] = x, True
+    return kept
+
+
 def _cross_links(percent: int):
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Links between different components of one block pair, one for each pair of components that they join."""
+        """Links between different components of one block pair: as many as it takes to join those that any link joins."""
         sets = [np.asarray(s) for s in pdf["shingles"]]
         sizes = np.array([len(s) for s in sets])
         flat, who = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
@@ -113,8 +130,8 @@ def _cross_links(percent: int):
         hit = (shared.astype(np.float64) * 100 >= union.astype(np.float64) * percent) & (comp[:, None] != comp[None, :])
         a, b = np.nonzero(np.triu(hit, 1))
         ids = pdf["rep"].to_numpy()
-        out = pd.DataFrame({"u": ids[a], "v": ids[b], "ca": np.minimum(comp[a], comp[b]), "cb": np.maximum(comp[a], comp[b])})
-        return out.drop_duplicates(["ca", "cb"])[["u", "v"]]
+        out = pd.DataFrame({"u": ids[a], "v": ids[b], "ca": np.minimum(comp[a], comp[b]), "cb": np.maximum(comp[a], comp[b])}).drop_duplicates(["ca", "cb"])
+        return out[spanning(out["ca"].tolist(), out["cb"].tolist())][["u", "v"]]
 
     return links
 
@@ -133,11 +150,11 @@ def _classes(df: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     # a set, not an id, is what gets compared; it bears a number of its own and is read from its least row
     numbered = sketched.where("id is not null and n > 0").groupBy("n", "x1", "x2").agg(F.min(F.struct("id", "h1", "h2")).alias("first"), F.max("bands").alias("bands"))
     reps = staged(numbered.withColumn("rep", F.monotonically_increasing_id()))
-    banded = staged(reps.select("rep", "n", F.explode("bands").alias("key")))
+    banded = staged(reps.select("rep", "n", F.col("first.id").alias("low"), F.explode("bands").alias("key")))
     # buckets of the same members need one comparison, so of equal buckets one stays
-    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"), F.min("rep").alias("pivot"))
-    buckets = buckets.where("members > 1").groupBy("members", "x1", "x2").agg(F.min("key").alias("key"), F.min("pivot").alias("pivot"))
-    placed = staged(banded.join(buckets.select("key", "members", "pivot"), "key"))
+    buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(1), "rep")).alias("x2"), F.min(F.struct("low", "rep")).alias("pivot"))
+    buckets = buckets.where("members > 1").groupBy("members", "x1", "x2").agg(F.min("key").alias("key"), F.min("pivot.rep").alias("pivot"))
+    placed = staged(banded.drop("low").join(buckets.select("key", "members", "pivot"), "key"))
     candidates = staged(placed.select("rep").distinct().join(reps.select("rep", "first.*"), "rep"))
     chosen = small_side(candidates, candidates.count(), ROW_BYTES)
     sets = base.join(chosen, ["id", "h1", "h2"]).select("rep", "text").mapInArrow(_sets, "rep long, shingles array<long>")
@@ -172,9 +189,10 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", perc
 
     Equal sets are one representative from the start.  Representatives that share a band of their signatures are
     candidates (24 bands of 4; a pair at 80 % is missed with a chance of 3 in a million).  First each bucket is compared
-    with its least member; buckets whose members are then all in one component are done.  In the others the members of
+    with its member of the least id; buckets whose members are then all in one component are done.  In the others the members of
     different components are compared exactly, in blocks; members of the largest component are not compared with each
-    other.  No pair is emitted that is not a link, and no bucket is cut short.
+    other.  No pair is emitted that is not a link, a block pair emits no more
+    links than join its components, and no bucket is cut short.
 
     Every row is a document of its own: rows that repeat an id with different texts are linked by their texts, never by
     the id.  A row without an id has a null component.  An empty table gives an empty result.  Other columns are ignored.

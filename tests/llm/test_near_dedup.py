@@ -143,3 +143,18 @@ def test_text_hashes_do_not_follow_from_each_other(spark, prose):
     assert len({r["h2"] for r in twice}) == len(twice) and not again & {r["h2"] for r in twice} and all(r["h2"] != r["c"] for r in twice)
     bits = [bin((r["h1"] ^ r["h2"]) & (2**64 - 1)).count("1") for r in twice]
     assert 30 < sum(bits) / len(bits) < 34
+
+
+def test_spanning_edges_keep_components():
+    rng = random.Random(9)
+    for _ in range(50):
+        edges = [(rng.randrange(20), rng.randrange(20)) for _ in range(rng.randint(0, 60))]
+        kept = [e for e, k in zip(edges, near_dedup.spanning([a for a, _ in edges], [b for _, b in edges]), strict=True) if k]
+
+        def parts(links):
+            group = {i: i for i in range(20)}
+            for a, b in links:
+                group = {i: group[a] if g == group[b] else g for i, g in group.items()}
+            return {frozenset(i for i in group if group[i] == g) for g in group.values()}
+
+        assert parts(kept) == parts(edges) and len(kept) == 20 - len(parts(edges))
