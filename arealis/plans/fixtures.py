@@ -104,6 +104,32 @@ def survey(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def deprivations(spark: SparkSession, d: str) -> DataFrame:
+    """The survey with eight deprivations that depend on age, sex, schooling and area without being fixed by them.
+
+    Each is a keyed uniform of the person against a logistic probability with an effect of the area, so that models with
+    all terms have something to find.
+    """
+    raw = survey_raw(spark, d).withColumn("__row", F.concat_ws(":", "l_orderkey", "l_linenumber"))
+    people = raw.select(
+        "__row",
+        "l_partkey",
+        "mpio",
+        "segm",
+        area_code("areageo2").alias("area"),
+        F.col("sexo").cast("string").alias("sexo"),
+        schooling_band("anoest", "edad").alias("anoest"),
+        age_band("edad").alias("edad"),
+        ethnicity_code("etnia_ee").alias("etnia"),
+    )
+    out = {}
+    for k, name in enumerate(INDICATORS):
+        eta = F.lit(-1.2 + 0.2 * k) + 0.15 * (k % 3) * F.col("edad").cast("double") - 0.3 * (F.col("sexo") == "2").cast("double") + 0.4 * (F.col("area") == "1").cast("double")
+        eta = eta - 0.25 * (F.col("anoest") == "3").cast("double") + 0.3 * (F.col("etnia") == "1").cast("double") + 1.2 * (uniform(f"place{k}", "segm") - 0.5) + 0.8 * (uniform(f"town{k}", "mpio") - 0.5)
+        out[name] = (uniform(name, "__row") < 1 / (1 + F.exp(-eta))).cast("int")
+    return people.withColumns(out).drop("__row")
+
+
 AGE_SQL = "CASE WHEN edad<15 THEN '1' WHEN edad<30 THEN '2' WHEN edad<45 THEN '3' WHEN edad<65 THEN '4' ELSE '5' END"
 SCHOOL_SQL = (
     "CASE WHEN edad<4 OR anoest IS NULL THEN '98' WHEN anoest IN (88,99) THEN '99' WHEN anoest=0 THEN '1' "

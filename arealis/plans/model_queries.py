@@ -241,7 +241,7 @@ def binomial_mixed_models(spark, d):
     """Eight deprivation models with area effects nested in municipality effects, fitted together."""
     long = ce.collapse_binomial(fx.survey(spark, d), ["mpio", "segm", "sexo", "area"], list(fx.INDICATORS))
     xs = {**sex_terms(), "urban": (F.col("area") == "1").cast("double")}
-    fits, _, _ = mx.binomial_mixed_models(long, "indicator", "yno", "n", xs, "segm", "mpio", nodes=5)
+    fits, _, _ = mx.binomial_mixed_models(long, "indicator", "yno", "n", xs, "segm", "mpio")
     rows = [(k, n, float(b), float(s)) for k, f in fits.items() for n, b, s in zip(f.names, f.beta, np.sqrt(np.diag(f.cov)))]
     rows += [(k, "sigma_group", float(np.sqrt(f.sigma2_u[0, 0])), None) for k, f in fits.items()]
     return rounded(spark.createDataFrame(rows, "indicator string, variable string, mean double, sd double"), 4)
@@ -254,7 +254,7 @@ def multinomial_mixed_model(spark, d):
     counts = ce.collapse_multinomial(fx.survey(spark, d).filter("l_partkey % 10 <> 3"), ["segm", "sexo", "edad"], "empleo", [1, 2, 3])
     fit, effects = mx.multinomial_mixed_model(counts, cats, cell_terms(), "segm")
     cells = ce.collapse(fx.census(spark, d), ["segm", "mpio", "sexo", "edad"], "n")
-    theta = mx.predict_multinomial(cells, fit, effects, cell_terms(), "segm", nodes=5)
+    theta = mx.predict_multinomial(cells, fit, effects, cell_terms(), "segm")
     return rounded(ce.employment_rates_census(theta, ["mpio"]), 3)
 
 
@@ -537,16 +537,17 @@ def dimension_estimates(spark, d):
     return rounded(mrp.dimension_estimates(e, "indicator", ["mpio"]), 8)
 
 
-def fitted_dimension_draws(spark, d, draws=50):
+def fitted_dimension_draws(spark, d, draws=200):
     """0/1 draws of the eight dimensions per census cell from eight fitted models; a tenth of the areas was not in the sample.
 
-    Sex is the only term: every other classification of the derived survey fixes one of the indicators, whose
-    coefficients would then have no normal posterior to draw from.
+    Terms are sex, urban or rural, and the unemployment rate of the area.  Age, schooling and ethnicity would leave hardly
+    two persons of an area with the same terms, and each step of the fit integrates over every pattern.
     """
-    xs = sex_terms()
-    long = ce.collapse_binomial(fx.survey(spark, d).filter("l_partkey % 10 <> 3"), ["mpio", "segm", "sexo"], list(fx.INDICATORS))
-    fits, effects, uppers = mx.binomial_mixed_models(long, "indicator", "yno", "n", xs, "segm", "mpio", nodes=5)
-    cells = ce.collapse(fx.census(spark, d), ["segm", "mpio", "sexo"], "n").withColumn("cell_id", ce.cell_id("segm", "sexo"))
+    xs = {**sex_terms(), "urban": (F.col("area") == "1").cast("double"), "unemployment": F.col("unemployment")}
+    rate = fx.survey(spark, d).groupBy("segm").agg(F.avg((F.col("empleo") == 2).cast("double")).alias("unemployment"))
+    long = ce.collapse_binomial(fx.deprivations(spark, d).filter("l_partkey % 10 <> 3"), ["mpio", "segm", "sexo", "area"], list(fx.INDICATORS)).join(rate, "segm")
+    fits, effects, uppers = mx.binomial_mixed_models(long, "indicator", "yno", "n", xs, "segm", "mpio")
+    cells = ce.collapse(fx.census(spark, d), ["segm", "mpio", "sexo", "area"], "n").withColumn("cell_id", ce.cell_id("segm", "sexo", "area")).join(rate, "segm")
     e = mx.epred_draw_columns(cells, fits, effects, uppers, xs, "indicator", "segm", "mpio", "cell_id", draws, seed=5, keep=["n"])
     return e.withColumns({i: (uniform(i, "draw", "cell_id") < F.col(i)).cast("int") for i in fx.INDICATORS})
 
