@@ -57,7 +57,7 @@ def time_of(share: Column, weight_class: Column, schedules: tuple) -> Column:
     return out
 
 
-def plan_mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, schedules: tuple = (FALLING, EVEN, RISING), seed: str = "mix", bucket_rows: int = 1 << 15) -> DataFrame:
+def plan_mix(df: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", weights: tuple[int, ...] = (5, 2, 1), cap: int = 3, schedules: tuple = (FALLING, EVEN, RISING), seed: str = "mix", bucket_rows: int = 1 << 15, words: str | None = None) -> DataFrame:
     """Plan how often each document is read, how many of its words each time and at what training time.
 
     The documents of a source stand in a random order that depends on the seed and the row alone and repeats as often as
@@ -66,24 +66,27 @@ def plan_mix(df: DataFrame, text: str = "text", source: str = "source", key: str
     schedule reaches the middle of its words.
 
     Adds ``size`` (words; null text: 0), ``source_size``, ``target``, ``visits`` (array of ``time`` and ``words``, empty
-    where the document is not read) and ``taken``.  Rows of the same key and size are read one after the other; a null
+    where the document is not read) and ``taken``.  ``words`` names a column that holds the number of words already; then
+    no text is read.  Rows of the same key and size are read one after the other; a null
     source is a source of its own; documents without words are not read; an empty table gives an empty result.
     """
     if len(schedules) != len(weights):
         raise ValueError("one schedule for each weight")
-    df = df.drop("size", "source_size", "target", "visits", "taken")
+    counted = word_count(quoted(text).cast("string")) if words is None else quoted(words).cast("long")
+    (held,) = fresh(df, "size")
+    df = df.withColumn(held, F.coalesce(counted, F.lit(0).cast("long"))).drop("size", "source_size", "target", "visits", "taken")
     name, start, cls = fresh(df, "source", "start", "class")
-    sized = df.withColumn("size", F.coalesce(word_count(quoted(text).cast("string")), F.lit(0).cast("long")))
+    sized = df.withColumnRenamed(held, "size")
     sources = sized.groupBy(quoted(source).alias("source")).agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights, cap).select(F.col("source").alias(name), "source_size", F.col("weight_class").alias(cls), "target")
     order = uniform(seed, quoted(key), quoted(source), F.col("size"))
     placed = running_sum(sized, [source], order, "size", start, df.count(), bucket_rows, [key, "size"])
     mixed = placed.join(targets, quoted(source).eqNullSafe(F.col(name)), "left")
-    words = F.floor("target")
+    whole = F.floor("target")
 
     def visit(epoch: Column) -> Column:
         first = epoch * F.col("source_size") + F.col(start)
-        taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), words - first))
+        taken = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), whole - first))
         time = time_of((first + taken / 2) / F.col("target"), F.col(cls), schedules)
         return F.struct(time.alias("time"), taken.alias("words"))
 
@@ -92,6 +95,19 @@ def plan_mix(df: DataFrame, text: str = "text", source: str = "source", key: str
     return mixed.withColumn("taken", F.aggregate("visits", F.lit(0).cast("long"), lambda a, v: a + v["words"])).drop(name, start, cls)
 
 
+def training_order(planned: DataFrame, key: str = "doc_id", bucket_rows: int = 1 << 15) -> DataFrame:
+    """Add ``time``, the training time of a document's first reading, and ``position``, its place among the first readings.
+
+    Positions are gapless from 0 and null for documents that are not read; ties of time are ordered by key and size.  Readings
+    are dealt to equal steps of time, which the curriculum fills evenly, so no task holds more than a step.
+    """
+    planned = planned.drop("time", "position").withColumn("time", F.try_element_at("visits", F.lit(1))["time"])
+    (one,) = fresh(planned, "one")
+    read = planned.where("time is not null").withColumn(one, F.lit(1).cast("long"))
+    placed = running_sum(read, [], F.col("time"), one, "position", read.count(), bucket_rows, [key, "size"]).drop(one)
+    return placed.unionByName(planned.where("time is null").withColumn("position", F.lit(None).cast("long")))
+
+
 def lay_out(planned: DataFrame, text: str = "text") -> DataFrame:
     """The readings of a planned mix in training order: one row per reading, with ``time``; a reading that its source's target ends is cut after its last word."""
     read, cut = fresh(planned, "read", "cut")

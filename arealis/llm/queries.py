@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions.rng import uniform_sql
 from arealis.llm import centroids, chat, decontaminate, fingerprints, mixing, near_dedup, pii, repeats, secrets, sharding, spans, token_counts, toxicity, variants
-from arealis.llm.common import text_of
+from arealis.llm.common import staged, text_of, word_count
 from arealis.llm.registry import query, table
 
 
@@ -19,38 +19,63 @@ def op1_sharding(spark, sf_dir):
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def double(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def time_sql(share: str, weight_class: str, schedules: tuple) -> str:
+    """DuckDB text of ``mixing.time_of``: the inverse of the integral of each broken line."""
+    out = "NULL"
+    for cls, line in reversed(list(enumerate(schedules))):
+        areas = [(t1 - t0) * (r0 + r1) / 2 for (t0, r0), (t1, r1) in zip(line, line[1:], strict=False)]
+        total, met, pieces = sum(areas), 0.0, []
+        for ((t0, r0), (t1, r1)), area in zip(zip(line, line[1:], strict=False), areas, strict=True):
+            more = f"({share} * {double(total)} - {double(met)})"
+            root = f"sqrt(greatest({double(r0 * r0)} + {double(4 * (r1 - r0) / (2 * (t1 - t0)))} * {more}, CAST(0 AS DOUBLE)))"
+            met += area
+            pieces.append((met / total, f"{double(t0)} + CASE WHEN {more} <= 0 THEN CAST(0 AS DOUBLE) ELSE 2 * {more} / ({double(r0)} + {root}) END"))
+        piece = pieces[-1][1]
+        for end, value in reversed(pieces[:-1]):
+            piece = f"CASE WHEN {share} <= {double(end)} THEN {value} ELSE {piece} END"
+        out = f"CASE WHEN {weight_class} = {cls} THEN {piece} ELSE {out} END"
+    return out
+
+
+TIME = time_sql("share", "class", (mixing.FALLING, mixing.EVEN, mixing.RISING))
 MIX_SQL = f"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size FROM documents
 ), sources AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source
 ), ranked AS (
-  SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM sources
+  SELECT *, CASE class WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS class FROM sources)
 ), levels AS (
   SELECT *, CAST((sum(source_size) OVER ())
       - 3 * coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
       / CAST(sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
   FROM ranked
 ), targets AS (
-  SELECT source, source_size, least(weight * max(CASE WHEN weight * level <= 3 * source_size THEN level END) OVER (), CAST(3 * source_size AS DOUBLE)) AS target FROM levels
+  SELECT source, source_size, class, least(weight * max(CASE WHEN weight * level <= 3 * source_size THEN level END) OVER (), CAST(3 * source_size AS DOUBLE)) AS target FROM levels
 ), placed AS (
   SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY source ORDER BY {uniform_sql("mix", "doc_id", "source", "size")}, doc_id, size
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM sized
 )
-SELECT doc_id, size, source_size, target,
-  CAST(greatest(0, least(size, CAST(floor(target) AS BIGINT) - start))
-     + greatest(0, least(size, CAST(floor(target) AS BIGINT) - source_size - start))
-     + greatest(0, least(size, CAST(floor(target) AS BIGINT) - 2 * source_size - start)) AS BIGINT) AS taken
-FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source
+SELECT doc_id, size, source_size, target, taken, round(time, 9) AS time, CASE WHEN time IS NOT NULL THEN row_number() OVER (ORDER BY time NULLS LAST, doc_id, size) - 1 END AS position
+FROM (SELECT *, CASE WHEN first > 0 THEN {TIME} END AS time FROM (
+  SELECT *, (start + first / CAST(2 AS DOUBLE)) / target AS share,
+    CAST(first + greatest(0, least(size, words - source_size - start)) + greatest(0, least(size, words - 2 * source_size - start)) AS BIGINT) AS taken
+  FROM (SELECT placed.*, source_size, target, class, CAST(floor(target) AS BIGINT) AS words, greatest(0, least(size, CAST(floor(target) AS BIGINT) - start)) AS first
+    FROM placed JOIN targets ON placed.source IS NOT DISTINCT FROM targets.source)))
 """
 
 
 @query("op4_mixing", MIX_SQL)
 def op4_mixing(spark, sf_dir):
-    """Words that the mix takes from each document, in the order of their first reading."""
-    planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    slim = planned.select("doc_id", "size", "source_size", "target", "taken", F.try_element_at("visits", F.lit(1))["time"].alias("at"))
-    return slim.orderBy("at").drop("at")
+    """Words that the mix takes from each document, and when and in which order documents are first read."""
+    docs = table(spark, sf_dir, "documents")
+    slim = staged(docs.select("doc_id", "source", word_count(F.col("text").cast("string")).alias("n_words")))
+    ordered = mixing.training_order(mixing.plan_mix(slim, words="n_words"))
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", F.round("time", 9).alias("time"), "position")
 
 
 @query("op3_fingerprints")

@@ -69,3 +69,15 @@ def test_awkward_rows(spark, awkward, empty):
     got = mixing.plan_mix(awkward).toPandas()
     assert len(got) == awkward.count() and got["taken"].notna().all() and (got["taken"] <= 3 * got["size"]).all()
     assert mixing.lay_out(mixing.plan_mix(awkward)).count() > 0
+
+
+def test_training_order(spark, awkward, empty):
+    """Places of first readings are gapless and follow the time; documents that are not read have neither."""
+    planned = mixing.plan_mix(awkward, bucket_rows=2)
+    out = mixing.training_order(planned, bucket_rows=2)
+    assert out.columns == [*[c for c in planned.columns if c != "time"], "time", "position"] and out.count() == awkward.count()
+    rows = out.collect()
+    read = sorted((r for r in rows if r["position"] is not None), key=lambda r: r["position"])
+    assert [r["position"] for r in read] == list(range(len(read))) and [r["time"] for r in read] == sorted(r["time"] for r in read)
+    assert all((r["position"] is None) == (r["taken"] == 0) == (r["time"] is None) for r in rows) and any(r["position"] is None for r in rows)
+    assert mixing.training_order(mixing.plan_mix(empty)).count() == 0
