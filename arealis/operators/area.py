@@ -115,6 +115,8 @@ def fh_eblup(areas: DataFrame, y: str, psi: str, xs: Sequence[str | Column], sig
                 s0, s1 = e[i]["score"], e[i + 1]["score"]
                 if s0 > 0 >= s1:
                     sigma2 = e[i]["s2"] + (e[i + 1]["s2"] - e[i]["s2"]) * s0 / (s0 - s1)
+                    r = _reml_sums(fit, p, [sigma2])[0]  # one scoring step takes out what is left of the interpolation's error
+                    sigma2 = max(sigma2 + 2 * r["score"] / r["w2"], 0.0)
         r = _reml_sums(fit, p, [sigma2])[0]
         return EblupFit(r["beta"], r["cov"], float(sigma2), 2.0 / r["w2"], jobs)
     finally:

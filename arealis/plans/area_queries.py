@@ -55,10 +55,26 @@ def fh_eblup_fixed_variance(spark, d):
     return rounded(_fixed(spark, d).select("segm", "gamma", "theta", "g1", "g2", "g3", "mse"), {"g1": 8, "g2": 8, "g3": 8, "mse": 8})
 
 
-@query("fh_eblup_reml")
+def reml_sql(steps: int = 60) -> str:
+    """CTE chain ending in ``reml``: scoring steps for the area variance under the restricted likelihood, two coefficients."""
+    parts = ["oy AS (SELECT * FROM areas WHERE y IS NOT NULL)", "r0 AS (SELECT CAST(0.01 AS DOUBLE) AS s2)"]
+    for k in range(steps):
+        sums = f"""SELECT s2, sum(w) AS a0, sum(w*x) AS a1, sum(w*x*x) AS a2, sum(w*y) AS u0, sum(w*x*y) AS u1, sum(w*w) AS b0, sum(w*w*x) AS b1, sum(w*w*x*x) AS b2,
+ sum(w*w*y) AS v0, sum(w*w*x*y) AS v1, sum(w*w*y*y) AS yy FROM (SELECT oy.*, s2, 1/(s2+psi) AS w FROM oy, r{k}) GROUP BY s2"""
+        solved = f"SELECT *, a0*a2-a1*a1 AS det, (a2*u0-a1*u1)/(a0*a2-a1*a1) AS c0, (a0*u1-a1*u0)/(a0*a2-a1*a1) AS c1 FROM ({sums})"
+        score = "-0.5*(a0-(a2*b0-2*a1*b1+a0*b2)/det)+0.5*(yy-2*(c0*v0+c1*v1)+c0*c0*b0+2*c0*c1*b1+c1*c1*b2)"
+        parts.append(f"r{k + 1} AS MATERIALIZED (SELECT greatest(s2+({score})/(0.5*b0), 0) AS s2 FROM ({solved}))")
+    return ", ".join(parts) + f", reml AS (SELECT s2 FROM r{steps})"
+
+
+@query(
+    "fh_eblup_reml",
+    fx.ctes("survey", "covariates", extra=AREAS.replace("areas AS (", "areas AS MATERIALIZED (") + ", " + reml_sql() + ", " + EBLUP.replace(str(FIXED_S2), "(SELECT s2 FROM reml)"))
+    + "SELECT segm, round(theta,5) AS theta, round(g1+g2+2*g3,6) AS mse FROM eb",
+)
 def fh_eblup_reml(spark, d):
     a = areas(spark, d)
-    return rounded(ar.eblup_table(a, ar.fh_eblup(a, "y", "psi", terms()), "y", "psi", terms()).select("segm", "theta", "mse"))
+    return rounded(ar.eblup_table(a, ar.fh_eblup(a, "y", "psi", terms()), "y", "psi", terms()).select("segm", "theta", "mse"), {"theta": 5})
 
 
 @query(
@@ -84,22 +100,31 @@ POINTS = 40
 GRID = np.exp(np.linspace(np.log(1e-5), np.log(1.0), POINTS))
 
 
-def _grid_sql(prior: str, arcsine: bool) -> str:
+FIXED_GRID = f"g AS (SELECT exp(ln(0.00001)+i*(ln(1.0)-ln(0.00001))/{POINTS - 1}) AS v, i FROM (SELECT unnest(range(0,{POINTS})) AS i))"
+FITTED_GRID = """g AS (SELECT exp(lo+i*(hi-lo)/199) AS v, i FROM (SELECT ln(m*0.0001) AS lo, ln(greatest(100*m,10*s)) AS hi FROM (SELECT quantile_disc(psi,0.5) AS m, var_samp(y) AS s FROM areas WHERE y IS NOT NULL)),
+ (SELECT unnest(range(0,200)) AS i))"""
+
+
+def _weights_sql(prior: str, arcsine: bool, grid: str) -> str:
+    """CTE chain ending in ``wt``: weight, coefficients and sums at every point of the variance grid."""
     y, psi = ("asin(sqrt(y))", "1/(4*n_eff)") if arcsine else ("y", "psi")
     lp = {"inverse_gamma": "-(1.0001)*ln(v)-0.0001/v", "flat_sd": "-0.5*ln(v)"}[prior]
-    if arcsine:
-        e1 = "0.5*(1-exp(-2*va)*cos(2*m))"
-        e2 = "0.375-0.5*exp(-2*va)*cos(2*m)+0.125*exp(-8*va)*cos(4*m)"
-    else:
-        e1, e2 = "m", "va+m*m"
-    step = f"(ln(1.0)-ln(0.00001))/{POINTS - 1}"
     return f"""z AS (SELECT segm, x, {y} AS z, {psi} AS vz, y IS NOT NULL AS seen FROM areas),
-g AS (SELECT exp(ln(0.00001)+i*{step}) AS v, i FROM (SELECT unnest(range(0,{POINTS})) AS i)),
+{grid},
 sm AS (SELECT i, v, sum(1/(v+vz))+0.0001 AS s0, sum(x/(v+vz)) AS s1, sum(x*x/(v+vz))+0.0001 AS s2, sum(z/(v+vz)) AS t0, sum(x*z/(v+vz)) AS t1, sum(z*z/(v+vz)) AS yy, sum(ln(1/(v+vz))) AS lw
  FROM z, g WHERE seen GROUP BY i, v),
 co AS (SELECT *, s0*s2-s1*s1 AS dt, (s2*t0-s1*t1)/(s0*s2-s1*s1) AS b0, (s0*t1-s1*t0)/(s0*s2-s1*s1) AS b1 FROM sm),
 lg AS (SELECT *, 0.5*lw-0.5*(yy-t0*b0-t1*b1)-0.5*ln(dt)+({lp})+ln(v) AS lp FROM co),
-wt AS (SELECT *, exp(lp-max(lp) OVER ())/sum(exp(lp-(SELECT max(lp) FROM lg))) OVER () AS w FROM lg),
+wt AS (SELECT *, exp(lp-max(lp) OVER ())/sum(exp(lp-(SELECT max(lp) FROM lg))) OVER () AS w FROM lg)"""
+
+
+def _grid_sql(prior: str, arcsine: bool, grid: str = FIXED_GRID) -> str:
+    if arcsine:
+        e1 = "0.5*(1-exp(-2*va)*cos(2*m))"
+        e2 = "0.375-0.5*exp(-2*va)*cos(2*m)+0.125*exp(-8*va)*cos(4*m)"
+    else:
+        e1, e2 = "m", "va+m*m"
+    return f"""{_weights_sql(prior, arcsine, grid)},
 ga AS (SELECT z.*, w, b0+b1*x AS xb, (s2-2*s1*x+s0*x*x)/dt AS q, v, CASE WHEN seen THEN v/(v+vz) ELSE 0 END AS gm FROM z, wt),
 mv AS (SELECT segm, seen, w, gm*coalesce(z,0)+(1-gm)*xb AS m, CASE WHEN seen THEN gm*vz ELSE v END+pow(1-gm,2)*q AS va FROM ga),
 mo AS (SELECT segm, seen, sum(w*({e1})) AS e1, sum(w*({e2})) AS e2 FROM mv GROUP BY segm, seen)
@@ -124,14 +149,20 @@ def fh_arcsine(spark, d):
     return rounded(pred.select("segm", "observed", "theta", "theta_sd"))
 
 
-@query("fh_normal_fitted_grid")
+@query("fh_normal_fitted_grid", fx.ctes("survey", "covariates", extra=AREAS + ", " + _grid_sql("inverse_gamma", False, FITTED_GRID)))
 def fh_normal_fitted_grid(spark, d):
     """Grid chosen from the data, 200 points."""
     _, pred = ar.fh_normal(areas(spark, d), "y", "psi", terms())
     return rounded(pred.select("segm", "observed", "theta", "theta_sd"))
 
 
-@query("fh_normal_coefficients")
+@query(
+    "fh_normal_coefficients",
+    fx.ctes("survey", "covariates", extra=AREAS.replace("l_partkey%10<>3", "true") + ", " + _weights_sql("inverse_gamma", False, FITTED_GRID))
+    + """SELECT '(Intercept)' AS variable, round(sum(w*b0),6) AS mean, round(sqrt(sum(w*(s2/dt+b0*b0))-pow(sum(w*b0),2)),6) AS sd FROM wt
+UNION ALL SELECT 'x', round(sum(w*b1),6), round(sqrt(sum(w*(s0/dt+b1*b1))-pow(sum(w*b1),2)),6) FROM wt
+UNION ALL SELECT 'sigma2_v', round(sum(w*v),6), round(sqrt(greatest(sum(w*v*v)-pow(sum(w*v),2),0)),6) FROM wt""",
+)
 def fh_normal_coefficients(spark, d):
     return rounded(ar.fh_gaussian_fit(areas(spark, d, "true"), "y", "psi", terms()).summary(spark, NAMES))
 

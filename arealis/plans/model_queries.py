@@ -128,13 +128,39 @@ def linear_model_ols(spark, d):
     return rounded(fit.table(spark).filter("variable <> 'sigma2'"))
 
 
-@query("linear_model_bayes")
+BAYES = """r AS (SELECT ln(ingreso+1) AS y, fep/10 AS x, CAST(sexo='2' AS DOUBLE) AS z FROM survey),
+m AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(x) AS x1, sum(z) AS z1, sum(x*x) AS xx, sum(x*z) AS xz, sum(z*z) AS zz, sum(y) AS y1, sum(x*y) AS xy, sum(z*y) AS zy, sum(y*y) AS yy FROM r),
+o AS (SELECT *, n*(xx*zz-xz*xz)-x1*(x1*zz-xz*z1)+z1*(x1*xz-xx*z1) AS det FROM m),
+e AS (SELECT *, ((xx*zz-xz*xz)*y1+(z1*xz-x1*zz)*xy+(x1*xz-z1*xx)*zy)/det AS f0, ((xz*z1-x1*zz)*y1+(n*zz-z1*z1)*xy+(z1*x1-n*xz)*zy)/det AS f1, ((x1*xz-xx*z1)*y1+(x1*z1-n*xz)*xy+(n*xx-x1*x1)*zy)/det AS f2 FROM o),
+f AS (SELECT sum(pow(y-f0-f1*x-f2*z,2)) AS rss FROM r, e),
+g AS (SELECT m.*, rss, ln(rss/(n-3))+8*sqrt(2/n)*(2*i/199.0-1) AS t FROM m, f, (SELECT unnest(range(0,200)) AS i)),
+a AS (SELECT *, exp(t) AS v, n/exp(t)+0.000001 AS a, x1/exp(t) AS b, z1/exp(t) AS c, xx/exp(t)+0.000001 AS d, xz/exp(t) AS h, zz/exp(t)+0.000001 AS k, y1/exp(t) AS p, xy/exp(t) AS q, zy/exp(t) AS s FROM g),
+i AS (SELECT *, a*(d*k-h*h)-b*(b*k-h*c)+c*(b*h-d*c) AS dt FROM a),
+j AS (SELECT *, ((d*k-h*h)*p+(c*h-b*k)*q+(b*h-c*d)*s)/dt AS b0, ((h*c-b*k)*p+(a*k-c*c)*q+(c*b-a*h)*s)/dt AS b1, ((b*h-d*c)*p+(b*c-a*h)*q+(a*d-b*b)*s)/dt AS b2, (d*k-h*h)/dt AS c0, (a*k-c*c)/dt AS c1, (a*d-b*b)/dt AS c2 FROM i),
+l AS (SELECT *, -n/2*t-0.5*(yy/v-p*b0-q*b1-s*b2)-0.5*ln(dt)-1.0001*t-0.0001/v+t AS lp FROM j),
+w AS (SELECT *, exp(lp-(SELECT max(lp) FROM l)) AS w0 FROM l), u AS (SELECT *, w0/sum(w0) OVER () AS w FROM w)"""
+
+
+@query(
+    "linear_model_bayes",
+    fx.ctes("survey", extra=BAYES)
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS variable, round(sum(w*{b}),6) AS mean, round(sqrt(greatest(sum(w*({c}+{b}*{b}))-pow(sum(w*{b}),2),0)),6) AS sd FROM u"
+        for name, b, c in (("(Intercept)", "b0", "c0"), ("q", "b1", "c1"), ("woman", "b2", "c2"), ("sigma2", "v", "0"))
+    ),
+)
 def linear_model_bayes(spark, d):
     fit = glm.linear_model(_log_survey(spark, d), "ly", [F.lit(1.0), F.col("q"), F.col("woman")], ["(Intercept)", "q", "woman"])
     return rounded(fit.table(spark))
 
 
-@query("linear_model_conjugate")
+@query(
+    "linear_model_conjugate",
+    fx.ctes("survey", extra="""r AS (SELECT ln(ingreso+1) AS y, fep/10 AS x FROM survey),
+m AS (SELECT count(*) AS n, count(*)+0.0001 AS a, sum(x) AS b, sum(x*x)+0.0001 AS c, sum(y) AS u, sum(x*y) AS v, sum(y*y) AS yy FROM r),
+k AS (SELECT *, a*c-b*b AS det, (c*u-b*v)/(a*c-b*b) AS b0, (a*v-b*u)/(a*c-b*b) AS b1 FROM m), f AS (SELECT *, (2+yy-b0*u-b1*v)/n AS s2 FROM k)""")
+    + "SELECT '(Intercept)' AS variable, round(b0,6) AS mean, round(sqrt(s2*c/det),6) AS sd FROM f UNION ALL SELECT 'q', round(b1,6), round(sqrt(s2*a/det),6) FROM f UNION ALL SELECT 'sigma2', round(s2,6), NULL FROM f",
+)
 def linear_model_conjugate(spark, d):
     r = glm.linear_model_conjugate(_log_survey(spark, d), "ly", [F.lit(1.0), F.col("q")], np.zeros(2), np.eye(2) * 1e4, 2.0, 1.0)
     rows = [(n, float(m), float(np.sqrt(v))) for n, m, v in zip(["(Intercept)", "q"], r["bq"], np.diag(r["beta_cov"]))]

@@ -247,15 +247,55 @@ def smoothed(spark, d):
     return gvf.gvf_deff(gvf.gvf_predict(base, gvf.gvf_fit(base)))
 
 
-@query("gvf_smooth")
+BASE = """base AS (SELECT segm, n AS nd, n/nullif(deff,0) AS n_effec, p AS pobreza, asin(sqrt(p)) AS "pobreza_T", ee*ee AS vardir, cv, deff/(4*n) AS var_zd, deff AS deff_area FROM direct WHERE grados>=3)"""
+FEATURES = ["1.0", "pobreza", "CAST(nd AS DOUBLE)", "CAST(nd AS DOUBLE)*nd", "pobreza*nd", "sqrt(pobreza)", "sqrt(nd)", "sqrt(pobreza*nd)"]
+
+
+def orthogonal_sql(source: str, features: list[str], used: str, y: str) -> str:
+    """CTE chain ending in ``fit``: least squares by Gram-Schmidt, each feature taken out of the later ones twice.
+
+    Adds ``fitted`` for all rows, and ``leverage`` and ``s2`` over the ``used`` ones.
+    """
+    k, have = len(features), ", ".join(f"CAST({f} AS DOUBLE) AS q{i}" for i, f in enumerate(features))
+    parts = [f"o0 AS (SELECT *, {used} AS used, CASE WHEN {used} THEN {y} END AS target, {have} FROM {source})"]
+    at = 0
+    for i in range(1, k):
+        for _ in range(2):
+            less = " - ".join([f"q{i}"] + [f"q{j}*(sum(q{i}*q{j}) FILTER (WHERE used) OVER ())/(sum(q{j}*q{j}) FILTER (WHERE used) OVER ())" for j in range(i)])
+            parts.append(f"o{at + 1} AS (SELECT * REPLACE ({less} AS q{i}) FROM o{at})")
+            at += 1
+    norm = [f"(sum(q{i}*q{i}) FILTER (WHERE used) OVER ())" for i in range(k)]
+    fitted = " + ".join(f"q{i}*(sum(q{i}*target) FILTER (WHERE used) OVER ())/{norm[i]}" for i in range(k))
+    leverage = " + ".join(f"q{i}*q{i}/{norm[i]}" for i in range(k))
+    parts.append(f"of AS (SELECT *, {fitted} AS fitted, {leverage} AS leverage FROM o{at})")
+    parts.append(f"fit AS (SELECT *, (sum(pow(target-fitted,2)) FILTER (WHERE used) OVER ())/((count(*) FILTER (WHERE used) OVER ())-{k}) AS s2 FROM of)")
+    return ", ".join(parts)
+
+
+GVF = fx.ctes("survey", extra=", ".join([variance_sql(["segm"]), WHOLE, DIRECT, BASE, orthogonal_sql("base", FEATURES, "vardir>0", "ln(vardir)")]))
+BASE_OUT = 'segm, nd, round(n_effec,6) AS n_effec, round(pobreza,6) AS pobreza, round("pobreza_T",6) AS "pobreza_T", round(vardir,6) AS vardir, round(cv,6) AS cv, round(var_zd,6) AS var_zd'
+
+
+@query(
+    "gvf_smooth",
+    GVF
+    + f"""SELECT {BASE_OUT}, round(d,6) AS deff_area, round(hat_var,6) AS hat_var, round(CASE WHEN raw<1 THEN 1 ELSE raw END,6) AS "deff_FGV", round(nd/(CASE WHEN raw<1 THEN 1 ELSE raw END),6) AS "n_eff_FGV"
+FROM (SELECT *, CASE WHEN vardir=0 THEN 1 ELSE hat_var/nullif(vardir/d,0) END AS raw FROM (SELECT *, coalesce(deff_area,1) AS d, CASE WHEN pobreza IS NOT NULL AND vardir IS NOT NULL THEN
+ exp(fitted)*(sum(vardir) FILTER (WHERE used) OVER ())/(sum(exp(fitted)) FILTER (WHERE used) OVER ()) END AS hat_var FROM fit))""",
+)
 def gvf_smooth(spark, d):
     return rounded(smoothed(spark, d))
 
 
-@query("gvf_diagnostics")
+@query(
+    "gvf_diagnostics",
+    GVF
+    + f"""SELECT {BASE_OUT}, round(deff_area,6) AS deff_area, round(target,4) AS observed, round(fitted,3) AS fitted, round(leverage,3) AS leverage, round(target-fitted,3) AS residual,
+round(CASE WHEN leverage<1 THEN (target-fitted)/sqrt(s2*(1-leverage)) END,3) AS std_residual FROM fit WHERE used""",
+)
 def gvf_diagnostics(spark, d):
     base = materialise(gvf.sae_base(direct(spark, d), "segm"))
-    return rounded(gvf.gvf_diagnostics(base, gvf.gvf_fit(base)))
+    return rounded(gvf.gvf_diagnostics(base, gvf.gvf_fit(base)), {"observed": 4, "fitted": 3, "leverage": 3, "residual": 3, "std_residual": 3})
 
 
 @query(
