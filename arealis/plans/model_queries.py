@@ -242,6 +242,31 @@ def random_intercept_model(spark, d):
     return rounded(fit.table(spark), 5)
 
 
+RATIO_POINTS = 81
+RATIOS = np.exp(np.linspace(np.log(1e-8), np.log(1e4), RATIO_POINTS))
+RATIO_SQL = f"""gs AS (SELECT segm, CAST(count(*) AS DOUBLE) AS s, sum(ln(ingreso+1)-10) AS sy, sum(pow(ln(ingreso+1)-10,2)) AS yy FROM survey GROUP BY segm),
+tt AS (SELECT sum(s) AS n, sum(sy) AS ty, sum(yy) AS tyy FROM gs),
+gr AS (SELECT exp(ln(0.00000001)+i*(ln(10000.0)-ln(0.00000001))/{RATIO_POINTS - 1}) AS lam FROM (SELECT unnest(range(0,{RATIO_POINTS})) AS i)),
+el AS (SELECT lam, sum(lam/(1+lam*s)*s*s) AS a, sum(lam/(1+lam*s)*s*sy) AS b, sum(lam/(1+lam*s)*sy*sy) AS q, sum(ln(1+lam*s)) AS ld FROM gs, gr GROUP BY lam),
+so AS (SELECT *, n-a AS d, (ty-b)/(n-a) AS m, tyy-q-(ty-b)*(ty-b)/(n-a) AS rss FROM el, tt),
+lg AS (SELECT *, -0.5*((n-1)*ln(rss)+ld+ln(d))-ln(1+lam)+0.5*ln(lam) AS lp FROM so),
+wt AS (SELECT *, exp(lp-(SELECT max(lp) FROM lg))/(SELECT sum(exp(lp-(SELECT max(lp) FROM lg))) FROM lg) AS w FROM lg)"""
+
+
+@query(
+    "random_intercept_posterior",
+    fx.ctes("survey", extra=RATIO_SQL)
+    + """SELECT '(Intercept)' AS variable, round(sum(w*m),5) AS mean, round(sqrt(sum(w*(rss/(n-3)/d+m*m))-pow(sum(w*m),2)),5) AS sd FROM wt
+UNION ALL SELECT 'sigma2_e', round(sum(w*rss/(n-3)),5), round(sqrt(sum(w*rss*rss/((n-3)*(n-5)))-pow(sum(w*rss/(n-3)),2)),5) FROM wt
+UNION ALL SELECT 'sigma2_u', round(sum(w*lam*rss/(n-3)),5), round(sqrt(sum(w*lam*lam*rss*rss/((n-3)*(n-5)))-pow(sum(w*lam*rss/(n-3)),2)),5) FROM wt""",
+)
+def random_intercept_posterior(spark, d):
+    """Variances of log income between and within areas with their uncertainty."""
+    s = fx.survey(spark, d).select("segm", (F.log1p("ingreso") - 10).alias("y"))
+    fit, _ = mx.random_intercept_posterior(s, "y", {"(Intercept)": F.lit(1.0)}, "segm", grid=RATIOS)
+    return rounded(fit.table(spark), 5)
+
+
 @query("predict_epred")
 def predict_epred(spark, d):
     """Expected log income per census cell; a tenth of the areas was not in the sample."""
@@ -255,9 +280,9 @@ def predict_epred(spark, d):
 def income_poststratified(spark, d):
     """Draws of expected income in poverty lines, negative values set to zero, averaged over census cells."""
     s = fx.survey(spark, d).filter("l_partkey % 10 <> 3")
-    fit, effects = mx.random_intercept_model(ce.collapse_mean(s, ["segm", "sexo", "edad"], "ingreso"), "ingreso", cell_terms(), "segm", "n")
+    fit, effects = mx.random_intercept_posterior(ce.collapse_mean(s, ["segm", "sexo", "edad"], "ingreso"), "ingreso", cell_terms(), "segm", "n")
     cells = ce.collapse(fx.census(spark, d), ["segm", "mpio", "sexo", "edad"], "n").withColumn("cell_id", ce.cell_id("segm", "sexo", "edad"))
-    e = mx.predict_epred_draws(cells, fit, effects, cell_terms(), "segm", "cell_id", 100, seed=3, keep=["mpio", "n"])
+    e = mx.posterior_epred_draws(cells, fit, effects, cell_terms(), "segm", "cell_id", 100, seed=3, keep=["mpio", "n"])
     e = e.withColumn("value", clamp_negative("value") / 10000.0)
     return rounded(mrp.mrp_levels(e, [[], ["mpio"], ["segm"]]), 4)
 

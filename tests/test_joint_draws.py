@@ -72,3 +72,47 @@ def test_nested_logistic_areas(spark):
     wide = mx.epred_draw_columns(df.withColumn("c", F.concat_ws(":", "g", "x")), fits, effects, uppers, xs, "m", "g", "up", "c", 2000, seed=1).toPandas()
     spread = np.log(wide["only"] / (1 - wide["only"])).groupby([wide["g"], wide["c"]]).std().to_numpy()
     assert np.abs(spread / np.sqrt(got["lp_var"].to_numpy()) - 1).max() < 0.12
+
+
+def test_variances_are_integrated(spark):
+    """Ten areas: moments and draws equal a brute-force integral over both variances, and are wider than with them fixed."""
+    rng = np.random.default_rng(11)
+    groups = 10
+    g = np.repeat(np.arange(groups), 4)
+    x = rng.normal(size=len(g)) + 0.3 * g
+    y = 0.5 + 0.4 * x + 0.7 * rng.normal(size=groups)[g] + rng.normal(size=len(g))
+    df = spark.createDataFrame(pd.DataFrame({"g": [f"a{v:02d}" for v in g], "x": x, "y": y}))
+    xs = {"one": F.lit(1.0), "x": F.col("x")}
+    fit, effects = mx.random_intercept_posterior(df, "y", xs, "g")
+    X, Z, n = np.column_stack([np.ones(len(x)), x]), (g[:, None] == np.arange(groups)).astype(float), len(g)
+    A = np.column_stack([X, Z])
+    total, mean, second, rows = 0.0, 0.0, 0.0, []
+    for lam in np.exp(np.linspace(np.log(1e-6), np.log(1e3), 150)):
+        V = np.eye(n) + lam * Z @ Z.T
+        Vi = np.linalg.inv(V)
+        S = X.T @ Vi @ X
+        b = np.linalg.solve(S, X.T @ Vi @ y)
+        rss = (y - X @ b) @ Vi @ (y - X @ b)
+        C = np.linalg.inv(A.T @ A + np.diag([0, 0, *[1 / lam] * groups]))
+        m = C @ A.T @ y
+        for s2 in np.exp(np.linspace(np.log(0.1), np.log(20), 120)):
+            logp = -0.5 * (n - 2) * np.log(s2) - 0.5 * np.linalg.slogdet(V)[1] - 0.5 * np.linalg.slogdet(S)[1] - rss / (2 * s2) - np.log1p(lam) + 0.5 * np.log(lam)
+            rows.append((logp, m, s2 * C, s2, lam * s2))
+    w = np.exp(np.array([r[0] for r in rows]) - max(r[0] for r in rows))
+    w /= w.sum()
+    mean = sum(a * r[1] for a, r in zip(w, rows))
+    second = sum(a * (r[2] + np.outer(r[1], r[1])) for a, r in zip(w, rows))
+    cov = second - np.outer(mean, mean)
+    got_mean, got_cov = fit.moments()
+    assert np.allclose(got_mean, mean[:2], atol=2e-4) and np.allclose(np.sqrt(np.diag(got_cov)), np.sqrt(np.diag(cov))[:2], rtol=2e-3)
+    e = effects.toPandas().sort_values("group")
+    assert np.allclose(e["u"], mean[2:], atol=5e-4) and np.allclose(np.sqrt(e["u_var"]), np.sqrt(np.diag(cov))[2:], rtol=2e-3)
+    table = {r["variable"]: r["mean"] for r in fit.table(spark).collect()}
+    assert np.isclose(table["sigma2_e"], w @ [r[3] for r in rows], rtol=2e-3) and np.isclose(table["sigma2_u"], w @ [r[4] for r in rows], rtol=2e-2)
+    fixed, _ = mx.random_intercept_model(df, "y", xs, "g")
+    assert got_cov[0, 0] > 1.05 * fixed.cov[0, 0]
+    cells = spark.createDataFrame([(f"c{v}", f"a{v:02d}", 2.0) for v in range(groups)], "cell_id string, g string, x double")
+    d = mx.posterior_epred_draws(cells, fit, effects, xs, "g", "cell_id", 4000).groupBy("g").agg(F.avg("value").alias("m"), F.stddev("value").alias("s")).toPandas().sort_values("g")
+    C = np.column_stack([np.ones(groups), np.full(groups, 2.0), np.eye(groups)])
+    sd = np.sqrt(np.einsum("ci,ij,cj->c", C, cov, C))
+    assert np.abs((d["m"] - C @ mean) / sd).max() < 0.1 and np.abs(d["s"] / sd - 1).max() < 0.06
