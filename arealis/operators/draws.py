@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from arealis.functions.rng import normal, uniform
 from arealis.operators.area import GridFit
 from arealis.operators.cells import histogram_table, sample_rows, union_by_name
+from arealis.operators.linalg import double_columns
 from arealis.operators.ranks import group_ranks, pick_quantiles
 
 
@@ -59,6 +60,32 @@ def grid_draws(spark: SparkSession, fit: GridFit, names: Sequence[str], n: int,
     return d.select("chain", "iteration", "draw", F.explode(F.array(*values)).alias("v")).select("chain", "iteration", "draw", "v.variable", "v.value")
 
 
+def area_draws(areas: DataFrame, fit: GridFit, y: str, psi: str, xs: Sequence[str | Column], area: str, n: int, seed: object = 1, chains: int = 4, area_effect: bool = True) -> DataFrame:
+    """Joint posterior draws of all area parameters, long: (chain, iteration, draw, area, value).
+
+    A draw takes a variance and coefficients from the grid, shared by all areas, as :func:`grid_draws` does with the same
+    seed; given both, the parameter of an observed area is normal around its shrunken estimate, that of an unobserved one
+    around its synthetic value.  Only one array of draws travels; the parameters are made where the areas lie.
+    """
+    names = [f"b{i}" for i in range(len(xs))]
+    shared = grid_draws(areas.sparkSession, fit, names, n, seed, chains).groupBy("chain", "iteration", "draw").pivot("variable", [*names, "sigma2_v"]).agg(F.first("value"))
+    items = shared.agg(F.sort_array(F.collect_list(F.struct("draw", "chain", "iteration", F.col("sigma2_v").alias("s2"), F.array(*names).alias("b")))).alias("d")).select("d").scalar()
+    cols = double_columns(xs)
+    seen = F.col(y).isNotNull() & F.col(psi).isNotNull()
+    table = areas.select(F.col(area), seen.alias("__seen"), F.coalesce(F.col(y).cast("double"), F.lit(0.0)).alias("__y"), F.col(psi).cast("double").alias("__psi"), F.array(*cols).alias("__x"))
+    tall = table.withColumn("__d", F.explode(items))
+    xb = F.lit(0.0)
+    for i in range(len(cols)):
+        xb = xb + F.get("__x", i) * F.get("__d.b", i)
+    s2 = F.col("__d.s2")
+    gamma = F.when(F.col("__seen"), s2 / (s2 + F.col("__psi"))).otherwise(0.0)
+    var = F.when(F.col("__seen"), gamma * F.col("__psi")).otherwise(s2 if area_effect else F.lit(0.0))
+    theta = gamma * F.col("__y") + (1 - gamma) * xb + F.sqrt(var) * normal(f"{seed}.theta", "__d.draw", area)
+    value = F.pow(F.sin(theta), F.lit(2)) if fit.link == "arcsine" else theta
+    return tall.select("__d.chain", "__d.iteration", "__d.draw", area, value.alias("value"))
+
+
+
 # ---------------------------------------------------------------- replicated data
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from arealis.functions.rng import normal_sql, uniform_sql
 from arealis.operators import area as ar
 from arealis.operators import area_logit as al
 from arealis.operators import design as dm
+from arealis.operators import draws as dr
 from arealis.operators.joins import with_covariates_keep
 from arealis.plans import fixtures as fx
 from arealis.plans.registry import query, rounded
@@ -167,6 +169,42 @@ def fh_normal_coefficients(spark, d):
     return rounded(ar.fh_gaussian_fit(areas(spark, d, "true"), "y", "psi", terms()).summary(spark, NAMES))
 
 
+AREA_DRAWS = 200
+
+
+def _area_draws_sql(arcsine: bool) -> str:
+    """Per area mean and deviation of draws: grid point by its weight, coefficients by the Cholesky factor, then the area."""
+    value = "pow(sin(theta),2)" if arcsine else "theta"
+    return f"""{_weights_sql("inverse_gamma", arcsine, FIXED_GRID)},
+pr AS (SELECT *, w/sum(w) OVER () AS wn FROM wt WHERE w > 0.000000000001*(SELECT max(w) FROM wt)),
+cu AS (SELECT *, sum(wn) OVER (ORDER BY v) AS c, sqrt(s2/dt+0.00000000000001) AS l00 FROM pr),
+ch AS (SELECT *, -s1/dt/l00 AS l10, sqrt(s0/dt+0.00000000000001-pow(s1/dt/l00,2)) AS l11, row_number() OVER (ORDER BY v)-1 AS k FROM cu),
+dr AS (SELECT draw, {uniform_sql("1.g", "draw")} AS u, {normal_sql("1.0", "draw")} AS z0, {normal_sql("1.1", "draw")} AS z1 FROM (SELECT unnest(range(1,{AREA_DRAWS + 1})) AS draw)),
+pk AS (SELECT dr.*, least((SELECT count(*) FROM ch WHERE c < u), (SELECT count(*) FROM ch)-1) AS k FROM dr),
+co2 AS (SELECT draw, ch.v AS s2, b0+l00*z0 AS c0, b1+l10*z0+l11*z1 AS c1 FROM pk JOIN ch USING (k)),
+th AS (SELECT segm, draw, s2, vz, seen, coalesce(z,0) AS z, c0+c1*x AS xb, CASE WHEN seen THEN s2/(s2+vz) ELSE 0 END AS gm, {normal_sql("1.theta", "draw", "segm")} AS e FROM z, co2),
+va AS (SELECT segm, gm*z+(1-gm)*xb+sqrt(CASE WHEN seen THEN gm*vz ELSE s2 END)*e AS theta FROM th)
+SELECT segm, round(avg({value}),5) AS mean, round(stddev_samp({value}),5) AS sd FROM va GROUP BY segm"""
+
+
+@query("area_draws_normal", fx.ctes("survey", "covariates", extra=AREAS + ", " + _area_draws_sql(False)))
+def area_draws_normal(spark, d):
+    """Joint draws of all area parameters of the normal model, summarised per area."""
+    a = areas(spark, d)
+    fit = ar.fh_gaussian_fit(a, "y", "psi", terms(), grid=GRID)
+    out = dr.area_draws(a, fit, "y", "psi", terms(), "segm", AREA_DRAWS)
+    return rounded(out.groupBy("segm").agg(F.avg("value").alias("mean"), F.stddev("value").alias("sd")), 5)
+
+
+@query("area_draws_arcsine", fx.ctes("survey", "covariates", extra=AREAS + ", " + _area_draws_sql(True)))
+def area_draws_arcsine(spark, d):
+    """The same on the arcsine scale, draws mapped back to proportions."""
+    a = areas(spark, d).withColumns({"z": F.asin(F.sqrt("y")), "vz": 1 / (4 * F.col("n_eff"))})
+    fit = ar.fh_gaussian_fit(a, "z", "vz", terms(), grid=GRID, link="arcsine")
+    out = dr.area_draws(a, fit, "z", "vz", terms(), "segm", AREA_DRAWS)
+    return rounded(out.groupBy("segm").agg(F.avg("value").alias("mean"), F.stddev("value").alias("sd")), 5)
+
+
 @query("fh_binomial")
 def fh_binomial(spark, d):
     a = areas(spark, d).withColumns({"n_eff_FGV": F.col("n_eff"), "pobreza": F.col("y")})

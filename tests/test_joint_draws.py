@@ -116,3 +116,26 @@ def test_variances_are_integrated(spark):
     C = np.column_stack([np.ones(groups), np.full(groups, 2.0), np.eye(groups)])
     sd = np.sqrt(np.einsum("ci,ij,cj->c", C, cov, C))
     assert np.abs((d["m"] - C @ mean) / sd).max() < 0.1 and np.abs(d["s"] / sd - 1).max() < 0.06
+
+
+def test_area_draws_follow_the_posterior(spark):
+    """Draws of area parameters have the moments of the exact posterior and feed the predictive check."""
+    from arealis.operators import area as ar
+    from arealis.operators import draws as dr
+
+    rng = np.random.default_rng(7)
+    n = 40
+    pdf = pd.DataFrame({"segm": [f"s{i:02d}" for i in range(n)], "x": rng.normal(size=n), "psi": rng.uniform(0.01, 0.05, n)})
+    pdf["y"] = 0.4 + 0.1 * pdf["x"] + 0.15 * rng.normal(size=n)
+    pdf.loc[::8, ["y", "psi"]] = np.nan
+    df = spark.createDataFrame(pdf).replace(float("nan"), None)
+    xs = [F.lit(1.0), F.col("x")]
+    fit = ar.fh_gaussian_fit(df, "y", "psi", xs)
+    want = ar.fh_gaussian_predict(df, fit, "y", "psi", xs).toPandas().sort_values("segm")
+    draws = dr.area_draws(df, fit, "y", "psi", xs, "segm", 3000)
+    assert draws.columns == ["chain", "iteration", "draw", "segm", "value"] and draws.count() == 3000 * n
+    got = draws.groupBy("segm").agg(F.avg("value").alias("m"), F.stddev("value").alias("s")).toPandas().sort_values("segm")
+    assert (np.abs(got["m"].to_numpy() - want["theta"].to_numpy()) / want["theta_sd"].to_numpy()).max() < 0.1
+    assert np.abs(got["s"].to_numpy() / want["theta_sd"].to_numpy() - 1).max() < 0.08
+    one = draws.groupBy("draw").agg(F.avg("value").alias("v")).agg(F.stddev("v")).first()[0]
+    assert one > 1.1 * np.sqrt((want["theta_sd"] ** 2).sum()) / n  # areas share coefficients, so their mean varies more than if drawn apart
