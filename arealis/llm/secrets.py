@@ -21,6 +21,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
+PART = re.compile(r"[A-Za-z0-9+]{16,}")  # of a candidate, between separators
 # the split of the public byte-level vocabulary, a fixed value
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -51,13 +52,26 @@ def base_spans(text: str) -> list[Span]:
 
 
 def random_spans(text: str, encoding, ratio: float, letter_ratio: float = LETTER_RATIO) -> list[Span]:
-    """Unknown strings with at most ``ratio`` characters per token; ``letter_ratio`` for those without a digit."""
+    """Unknown strings with at most ``ratio`` characters per token; ``letter_ratio`` for those without a digit.
+
+    Where a whole candidate is neither known nor dense, what stands between its separators is judged by itself, so that a path
+    or a name does not hide the random string that it is joined to.
+    """
+
+    def dense(string: str) -> bool:
+        most = ratio if any(c.isdigit() for c in string) else letter_ratio
+        return len(string) <= most * len(encoding.encode_ordinary(string))
+
     out = []
     for m in CANDIDATE.finditer(text):
-        string = m[0]
-        most = ratio if any(c.isdigit() for c in string) else letter_ratio
-        if not is_known(string) and len(string) <= most * len(encoding.encode_ordinary(string)):
+        if is_known(m[0]):
+            continue
+        if dense(m[0]):
             out.append(("random", *m.span()))
+            continue
+        for part in PART.finditer(m[0]):
+            if part.span() != (0, len(m[0])) and not is_known(part[0]) and dense(part[0]):
+                out.append(("random", m.start() + part.start(), m.start() + part.end()))
     return out
 
 
@@ -114,7 +128,7 @@ def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets", vocabu
 
     Kinds ``assign``, ``access`` and ``hex`` are fixed patterns.  ``random`` is a string of at least 16 letters, digits and
     ``+/_=-`` that is no known digest, UUID, number, date or numbered name, and gives at most ``ratio`` characters per token,
-    or ``letter_ratio`` if it has no digit.  Spans are ordered by start, then kind as listed.
+    or ``letter_ratio`` if it has no digit; where the whole string is not, its parts between ``/_=-`` are judged.  Spans are ordered by start, then kind as listed.
 
     Null and empty texts have no spans; repeated rows get the same spans; a column named ``out`` is replaced; an empty
     table stays empty.

@@ -84,6 +84,19 @@ def test_random_strings_of_letters_alone():
     assert secrets.random_spans(ordinary, encoding, 2.2) == []
 
 
+def test_random_strings_joined_to_their_surroundings():
+    """A path, a name or a sign of equality before a random string does not hide it, and ordinary paths stay ordinary."""
+    rng = random.Random(5)
+    encoding = secrets.encoding_of(open(secrets.VOCABULARY, "rb").read())
+    for lead in ("path/to/deployment/", "credential=", "service_account_", "storage-container-production-"):
+        for size in (16, 24, 40):
+            strings = ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(size)) for _ in range(300)]
+            found = [secrets.random_spans(f"é {lead}{x} end", encoding, 2.2) for x in strings]
+            assert sum(len(f) == 1 and f[0][1] <= 2 + len(lead) and f[0][2] == 2 + len(lead) + size for f in found) >= 0.96 * 300
+    ordinary = "documentation/internationalization/README user_authentication_configuration https-configuration-management=understanding"
+    assert secrets.random_spans(ordinary, encoding, 2.2) == []
+
+
 def test_tagger_slopes():
     rng = np.random.default_rng(0)
     p = {k: v.astype(float) for k, v in char_tagger.start_parameters(3, 4, 5, 0).items()}
