@@ -42,7 +42,20 @@ def beta_binomial_pooled(spark, d):
     return rounded(cj.beta_binomial_posterior(counts, "y", a=0.5, b=0.5, trials="trials"), {"var": 8})
 
 
-@query("beta_interval")
+# with whole parameters the beta distribution function is a binomial tail; its root is bisected
+BETA_TAIL = "list_sum(list_transform(range(a, a+b), lambda k: exp(lgamma(a+b)-lgamma(k+1)-lgamma(a+b-k)+k*ln(x)+(a+b-1-k)*ln(1-x))))"
+
+
+@query(
+    "beta_interval",
+    fx.ctes(
+        "survey",
+        extra=f"""ps AS (SELECT segm, CAST(1+sum(pobreza) AS BIGINT) AS a, CAST(1+count(*)-sum(pobreza) AS BIGINT) AS b FROM survey GROUP BY segm),
+bs AS (SELECT segm, a, b, q, 0 AS step, CAST(0 AS DOUBLE) AS lo, CAST(1 AS DOUBLE) AS hi, CAST(0.5 AS DOUBLE) AS x FROM ps, (SELECT unnest([0.025, 0.975]) AS q)
+UNION ALL SELECT segm, a, b, q, step+1, CASE WHEN p<q THEN x ELSE lo END, CASE WHEN p<q THEN hi ELSE x END, CASE WHEN p<q THEN (x+hi)/2 ELSE (lo+x)/2 END FROM (SELECT *, {BETA_TAIL} AS p FROM bs WHERE step<45))""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1)
+    + "SELECT segm, round(CAST(max(a) AS DOUBLE)/(max(a)+max(b)),6) AS mean, round(max(x) FILTER (q<0.5),6) AS low, round(max(x) FILTER (q>0.5),6) AS high FROM bs WHERE step=45 GROUP BY segm",
+)
 def beta_interval(spark, d):
     post = cj.beta_binomial_posterior(fx.survey(spark, d), "pobreza", ["segm"])
     return rounded(cj.beta_interval(post, 0.95).select("segm", "mean", "low", "high"))

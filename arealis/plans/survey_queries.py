@@ -132,9 +132,31 @@ def direct_estimates(spark, d):
     return rounded(e, {"CV": 5, "CVl": 5, "deff": 5, "n_eff": 4})
 
 
-@query("direct_estimates_student")
+def student_sql(degrees: str, prob: str = "0.95", steps: int = 60) -> str:
+    """Recursive table ``tq`` (grados, t): two-sided Student quantiles of the distinct ``degrees`` by bisection of the closed form for whole degrees."""
+    odd = "2/pi()*(a+CASE WHEN grados>1 THEN sin(a)*list_sum(list_transform(range(1,CAST((grados+1)/2 AS BIGINT)), lambda j: 0.5*sqrt(pi())*exp(lgamma(j)-lgamma(j+0.5))*pow(cos(a),2*j-1))) ELSE 0 END)"
+    even = "sin(a)*list_sum(list_transform(range(0,CAST(grados/2 AS BIGINT)), lambda j: exp(lgamma(j+0.5)-lgamma(j+1))/sqrt(pi())*pow(cos(a),2*j)))"
+    return f"""tb AS (SELECT DISTINCT CAST(grados AS BIGINT) AS grados, 0 AS k, CAST(0 AS DOUBLE) AS lo, pi()/2 AS hi, pi()/4 AS a FROM ({degrees}) WHERE grados>=1
+UNION ALL SELECT grados, k+1, CASE WHEN p<{prob} THEN a ELSE lo END, CASE WHEN p<{prob} THEN hi ELSE a END, CASE WHEN p<{prob} THEN (a+hi)/2 ELSE (lo+a)/2 END
+FROM (SELECT *, CASE WHEN grados%2=1 THEN {odd} ELSE {even} END AS p FROM tb WHERE k<{steps})),
+tq AS (SELECT grados, sqrt(grados)*tan(a) AS t FROM tb WHERE k={steps})"""
+
+
+STUDENT = DIRECT.replace("direct AS (SELECT segm", "direct0 AS (SELECT segm").replace("FROM q)", "FROM q LEFT JOIN tq USING (grados))").replace(str(Z975), "t")
+
+
+@query(
+    "direct_estimates_student",
+    fx.ctes("survey", extra=variance_sql(["segm"]) + ", " + WHOLE + ", " + student_sql("SELECT units-strata AS grados FROM est") + ", " + STUDENT).replace("WITH ", "WITH RECURSIVE ", 1)
+    + """SELECT segm, round(p,6) AS p, round(li,6) AS "LI", round(ls,6) AS "LS", round(ee,6) AS ee, round(cv,5) AS "CV", round(deff,5) AS deff, n,
+round(n/nullif(deff,0),4) AS n_eff, CAST(grados AS BIGINT) AS grados, CAST(y AS DOUBLE) AS y, round(cvl,5) AS "CVl", CAST(units AS BIGINT) AS "UPMs",
+CAST(grados>=3 AS INT) AS "Inclusion_GL", CAST(n<5 AS INT) AS "Exclusion_n", CAST(deff<1 AS INT) AS "Exclusion_DEFF",
+CAST(grados<=2 AS INT) AS "Exclusion_GL", CAST((n<5) OR (deff<1) OR (grados<=2) AS INT) AS "Exclusion",
+CASE (n<5) OR (deff<1) OR (grados<=2) WHEN true THEN 'Excluir' WHEN false THEN 'Incluir' END AS "Flag" FROM direct0""",
+)
 def direct_estimates_student(spark, d):
-    return rounded(sv.direct_estimates(_design(spark, d), "pobreza", ["segm"], interval="student", strict=True))
+    e = sv.direct_estimates(_design(spark, d), "pobreza", ["segm"], interval="student", strict=True)
+    return rounded(e, {"CV": 5, "CVl": 5, "deff": 5, "n_eff": 4})
 
 
 @query(
