@@ -102,14 +102,13 @@ round(count(*) FILTER (edad>=15 AND anoest=0)/nullif(count(*) FILTER (edad>=15),
 round(count(*) FILTER (edad>=15 AND anoest=0)/nullif(count(*) FILTER (edad>=20),0),6) AS alfabeta20 FROM survey_raw GROUP BY segm""",
 )
 def conditional_rate(spark, d):
-    s = fx.survey_raw(spark, d).groupBy("segm", "edad", "anoest").agg(F.count(F.lit(1)).alias("value"))
     age, years = F.col("edad"), F.col("anoest")
-    parts = [
-        ce.conditional_rate(s, ["segm"], (age > 20) & (years > 12), age > 20, "value", "escolaridad"),
-        ce.conditional_rate(s, ["segm"], (age >= 15) & (years == 0), age >= 15, "value", "alfabeta"),
-        ce.conditional_rate(s, ["segm"], (age >= 15) & (years == 0), age >= 20, "value", "alfabeta20"),
+    rates = [
+        ce.conditional_columns((age > 20) & (years > 12), age > 20, out="escolaridad"),
+        ce.conditional_columns((age >= 15) & (years == 0), age >= 15, out="alfabeta"),
+        ce.conditional_columns((age >= 15) & (years == 0), age >= 20, out="alfabeta20"),
     ]
-    return rounded(jn.join_all_inner(parts, "segm"))
+    return rounded(ce.area_rates(fx.survey_raw(spark, d), ["segm"], *rates))
 
 
 LABELS = {i: (i, "1") for i in fx.INDICATORS}
