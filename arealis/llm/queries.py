@@ -164,7 +164,29 @@ def op6_chat(spark, sf_dir):
     return chat.repair_roles(table(spark, sf_dir, "conversations")).drop("position")
 
 
-@query("op2_suffix_array")
+REPEAT_SQL = """
+WITH docs AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents
+), strings AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 99)) AS i FROM docs WHERE n >= 100)
+), firsts AS (
+  SELECT s, min((doc_id, i)) AS first FROM strings GROUP BY s HAVING count(*) > 1
+), later AS (
+  SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS new FROM strings JOIN firsts USING (s) WHERE (doc_id, i) <> first
+), runs AS (
+  SELECT doc_id, r, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM later) GROUP BY doc_id, r
+), pieces AS (
+  SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+), cut AS (
+  SELECT doc_id, sum(b - a) AS removed, count(*) AS spans, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM pieces JOIN docs USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM docs LEFT JOIN cut USING (doc_id)
+"""
+
+
+@query("op2_suffix_array", REPEAT_SQL)
 def op2_suffix_array(spark, sf_dir):
     """All documents without the bytes of strings of 100 bytes that start earlier."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
