@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from arealis.functions.recode import nullif_zero
 from arealis.operators.cells import union_by_name
+from arealis.operators.design import warn_if_saturated
 from arealis.operators.glm import log_weights, mix_moments
 from arealis.operators.linalg import NARROW, cross_sums, double_columns, read_matrix, read_vector, task_sums, vector_sums, with_forms
 
@@ -38,7 +39,7 @@ def _grid_sums(fit: DataFrame, p: int, grid: Sequence[float], second: bool = Fal
     tall = fit.select("*", F.posexplode(F.array(*[F.lit(float(g)) for g in grid])).alias("__g", "__s2"))
     tall = tall.withColumn("__w", 1 / (F.col("__s2") + F.col("__psi")))
     w = F.col("__w")
-    aggs = [*cross_sums(cols, "a", w), *vector_sums(cols, y, "u", w), F.sum(w * y * y).alias("yy"), F.sum(F.log(w)).alias("lw")]
+    aggs = [*cross_sums(cols, "a", w), *vector_sums(cols, y, "u", w), F.sum(w * y * y).alias("yy"), F.sum(F.log(w)).alias("lw"), F.count(F.lit(1)).alias("m")]
     if second:
         aggs += [*cross_sums(cols, "b", w * w), *vector_sums(cols, y, "v", w * w), F.sum(w * w * y * y).alias("yy2"), F.sum(w).alias("w1"), F.sum(w * w).alias("w2")]
     out: list[dict] = [{}] * len(grid)
@@ -61,14 +62,14 @@ def _wide_grid_sums(fit: DataFrame, p: int, grid: Sequence[float], second: bool)
             for power in powers:
                 z = w**power
                 parts += [((X * z[:, None]).T @ X).ravel(), X.T @ (z * y), [(z * y * y).sum(), z.sum()]]
-            parts.append([np.log(w).sum()])
+            parts.append([np.log(w).sum(), len(w)])
         return np.concatenate(parts)
 
-    each = len(powers) * (p * p + p + 2) + 1
+    each = len(powers) * (p * p + p + 2) + 2
     flat = task_sums(fit.select("__y", "__psi", *names).dropna(), sums)
     out = []
     for row in (flat if len(flat) else np.zeros(each * len(points))).reshape(len(points), each):
-        d, at = {"lw": float(row[-1])}, 0
+        d, at = {"lw": float(row[-2]), "m": int(row[-1])}, 0
         for matrix, vector, total, weight in (("a", "u", "yy", "w1"), ("b", "v", "yy2", "w2"))[: len(powers)]:
             d |= {matrix: row[at : at + p * p].reshape(p, p), vector: row[at + p * p : at + p * p + p], total: float(row[at + p * p + p]), weight: float(row[at + p * p + p + 1])}
             at += p * p + p + 2
@@ -225,6 +226,10 @@ def fh_gaussian_fit(
     G = len(grid)
     logp, beta, cov = np.empty(G), np.empty((G, p)), np.empty((G, p, p))
     for g, r in enumerate(rows):
+        if not r:
+            raise ValueError("no area has an estimate and its variance")
+        if g == 0:
+            warn_if_saturated(p, r["m"])
         a, u = r["a"] + np.eye(p) / tau**2, r["u"]
         beta[g], cov[g] = np.linalg.solve(a, u), np.linalg.inv(a)
         logp[g] = 0.5 * r["lw"] - 0.5 * (r["yy"] - u @ beta[g]) - 0.5 * np.linalg.slogdet(a)[1]

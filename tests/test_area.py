@@ -211,3 +211,14 @@ def test_gvf_leverages_sum_to_the_number_of_terms(direct):
     d = gvf.gvf_diagnostics(df, gvf.gvf_fit(df)).toPandas()
     assert d.leverage.sum() == pytest.approx(8, abs=1e-3)
     assert abs(d.residual.mean()) < 1e-8
+
+
+def test_more_columns_than_areas_warns(spark):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from arealis.operators import area as ar
+
+    df = spark.createDataFrame([(float(i), 0.1 * i, 0.02) for i in range(3)], "x double, y double, psi double")
+    with pytest.warns(UserWarning, match="only the prior"):
+        ar.fh_gaussian_fit(df, "y", "psi", [F.lit(1.0), F.col("x"), F.col("x") ** 2], grid=[0.01, 0.1])
