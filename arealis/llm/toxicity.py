@@ -351,7 +351,7 @@ def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     learned from, however long.
 
     ``keep`` is an SQL condition on the labels table for the rows that may be learned from.  Rows with a null key, label or
-    text are left out, and keys that are labelled both ways.
+    text are left out, and keys that are labelled both ways; without any labelled text every score is the same.
     """
     marked = labels.where(keep) if keep else labels
     marked = marked.where(quoted(label).isin(0, 1)).groupBy(quoted(key).alias("k")).agg(F.min(quoted(label)).alias("y"), F.max(quoted(label)).alias("z")).where("y = z").select("k", "y")
@@ -369,7 +369,10 @@ def fit_on_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
         yield pd.DataFrame({"model": [pickle.dumps((m.weights, m.bias, m.moves, m.scale))]})
 
     # the sample is bounded and fits one task; the model is a megabyte
-    return ToxicityModel(*pickle.loads(sample.mapInPandas(run, "model binary").first()["model"]))
+    fitted = sample.mapInPandas(run, "model binary").first()
+    if fitted is None:  # no labelled text, and so no task
+        return fit([], np.zeros(0))
+    return ToxicityModel(*pickle.loads(fitted["model"]))
 
 
 def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text", least: float = 0.5) -> DataFrame:
