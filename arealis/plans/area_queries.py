@@ -175,16 +175,21 @@ AREA_DRAWS = 200
 def _area_draws_sql(arcsine: bool) -> str:
     """Per area mean and deviation of draws: grid point by its weight, coefficients by the Cholesky factor, then the area."""
     value = "pow(sin(theta),2)" if arcsine else "theta"
-    return f"""{_weights_sql("inverse_gamma", arcsine, FIXED_GRID)},
+    return f"""{grid_draws_sql(FIXED_GRID, AREA_DRAWS, arcsine)},
+th AS (SELECT segm, draw, s2, vz, seen, coalesce(z,0) AS z, c0+c1*x AS xb, CASE WHEN seen THEN s2/(s2+vz) ELSE 0 END AS gm, {normal_sql("1.theta", "draw", "segm")} AS e FROM z, co2),
+va AS (SELECT segm, gm*z+(1-gm)*xb+sqrt(CASE WHEN seen THEN gm*vz ELSE s2 END)*e AS theta FROM th)
+SELECT segm, round(avg({value}),5) AS mean, round(stddev_samp({value}),5) AS sd FROM va GROUP BY segm"""
+
+
+def grid_draws_sql(grid: str, draws: int, arcsine: bool = False) -> str:
+    """CTE chain ending in ``co2``: variance and two coefficients of every draw."""
+    return f"""{_weights_sql("inverse_gamma", arcsine, grid)},
 pr AS (SELECT *, w/sum(w) OVER () AS wn FROM wt WHERE w > 0.000000000001*(SELECT max(w) FROM wt)),
 cu AS (SELECT *, sum(wn) OVER (ORDER BY v) AS c, sqrt(s2/dt+0.00000000000001) AS l00 FROM pr),
 ch AS (SELECT *, -s1/dt/l00 AS l10, sqrt(s0/dt+0.00000000000001-pow(s1/dt/l00,2)) AS l11, row_number() OVER (ORDER BY v)-1 AS k FROM cu),
-dr AS (SELECT draw, {uniform_sql("1.g", "draw")} AS u, {normal_sql("1.0", "draw")} AS z0, {normal_sql("1.1", "draw")} AS z1 FROM (SELECT unnest(range(1,{AREA_DRAWS + 1})) AS draw)),
+dr AS (SELECT draw, {uniform_sql("1.g", "draw")} AS u, {normal_sql("1.0", "draw")} AS z0, {normal_sql("1.1", "draw")} AS z1 FROM (SELECT unnest(range(1,{draws + 1})) AS draw)),
 pk AS (SELECT dr.*, least((SELECT count(*) FROM ch WHERE c < u), (SELECT count(*) FROM ch)-1) AS k FROM dr),
-co2 AS (SELECT draw, ch.v AS s2, b0+l00*z0 AS c0, b1+l10*z0+l11*z1 AS c1 FROM pk JOIN ch USING (k)),
-th AS (SELECT segm, draw, s2, vz, seen, coalesce(z,0) AS z, c0+c1*x AS xb, CASE WHEN seen THEN s2/(s2+vz) ELSE 0 END AS gm, {normal_sql("1.theta", "draw", "segm")} AS e FROM z, co2),
-va AS (SELECT segm, gm*z+(1-gm)*xb+sqrt(CASE WHEN seen THEN gm*vz ELSE s2 END)*e AS theta FROM th)
-SELECT segm, round(avg({value}),5) AS mean, round(stddev_samp({value}),5) AS sd FROM va GROUP BY segm"""
+co2 AS (SELECT draw, ch.v AS s2, b0+l00*z0 AS c0, b1+l10*z0+l11*z1 AS c1 FROM pk JOIN ch USING (k))"""
 
 
 @query("area_draws_normal", fx.ctes("survey", "covariates", extra=AREAS + ", " + _area_draws_sql(False)))

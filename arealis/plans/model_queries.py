@@ -15,7 +15,7 @@ from arealis.operators import glm
 from arealis.operators import mixed as mx
 from arealis.operators import mrp
 from arealis.plans import fixtures as fx
-from arealis.plans.area_queries import NAMES, areas, terms
+from arealis.plans.area_queries import AREAS, FITTED_GRID, NAMES, areas, grid_draws_sql, terms
 from arealis.plans.registry import query, rounded
 
 # ---------------------------------------------------------------- conjugate
@@ -325,16 +325,31 @@ def multinomial_mixed_model(spark, d):
 # ---------------------------------------------------------------- draws
 
 
-@query("posterior_draws")
+DRAW_SQL = "SELECT CAST((draw-1)%4+1 AS INT) AS chain, CAST(floor((draw-1)/4)+1 AS INT) AS iteration, CAST(draw AS BIGINT) AS draw"
+OLS_SQL = f"""r AS (SELECT ln(ingreso+1) AS y, fep/10 AS x FROM survey), f AS (SELECT regr_slope(y,x) AS b1, regr_intercept(y,x) AS b0, avg(x) AS mx, regr_sxx(y,x) AS sxx, count(*) AS n FROM r),
+e AS (SELECT sum(pow(y-b0-b1*x,2))/(max(n)-2) AS s2 FROM r, f), ch AS (SELECT b0, b1, s2, mx, sxx, sqrt(s2*(1.0/n+mx*mx/sxx)+0.00000000000001) AS l00 FROM f, e),
+cl AS (SELECT *, -s2*mx/sxx/l00 AS l10, sqrt(s2/sxx+0.00000000000001-pow(s2*mx/sxx/l00,2)) AS l11 FROM ch),
+dr AS (SELECT draw, {normal_sql("1.0", "draw")} AS z0, {normal_sql("1.1", "draw")} AS z1 FROM (SELECT unnest(range(1,1001)) AS draw))"""
+
+
+@query(
+    "posterior_draws",
+    fx.ctes("survey", extra=OLS_SQL)
+    + f"{DRAW_SQL}, '(Intercept)' AS variable, round(b0+l00*z0,5) AS value FROM cl, dr UNION ALL {DRAW_SQL}, 'q', round(b1+l10*z0+l11*z1,5) FROM cl, dr",
+)
 def posterior_draws(spark, d):
     fit = glm.ols(_log_survey(spark, d), "ly", [F.lit(1.0), F.col("q")], ["(Intercept)", "q"])
-    return rounded(dr.posterior_draws(spark, fit.mean, fit.cov, fit.names, 1000))
+    return rounded(dr.posterior_draws(spark, fit.mean, fit.cov, fit.names, 1000), 5)
 
 
-@query("grid_draws")
+@query(
+    "grid_draws",
+    fx.ctes("survey", "covariates", extra=f"{AREAS}, {grid_draws_sql(FITTED_GRID, 1000)}")
+    + " UNION ALL ".join(f"{DRAW_SQL}, '{name}' AS variable, round({v},5) AS value FROM co2" for name, v in (("(Intercept)", "c0"), ("x", "c1"), ("sigma2_v", "s2"))),
+)
 def grid_draws(spark, d):
     fit = ar.fh_gaussian_fit(areas(spark, d), "y", "psi", terms())
-    return rounded(dr.grid_draws(spark, fit, NAMES, 1000))
+    return rounded(dr.grid_draws(spark, fit, NAMES, 1000), 5)
 
 
 REP_DRAWS = 20
