@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from arealis.functions.rng import normal, uniform
 from arealis.operators.area import GridFit
 from arealis.operators.cells import histogram_table, sample_rows, union_by_name
+from arealis.operators.joins import few_groups
 from arealis.operators.linalg import double_columns
 from arealis.operators.ranks import group_ranks, pick_quantiles
 
@@ -211,17 +212,20 @@ def summarise_draws(draws: DataFrame, by: Sequence[str] = ("variable",), value:
     """Mean, median, sd, mad, 5 % and 95 % quantile per variable."""
     by = list(by)
     moments = draws.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))
-    q = pick_quantiles(group_ranks(draws, by, value), by, value, {"median": 0.5, "q5": 0.05, "q95": 0.95})
-    dev = draws.join(q.select(*by, "median"), by).withColumn("__dev", F.abs(F.col(value) - F.col("median")))
-    mad = pick_quantiles(group_ranks(dev, by, "__dev"), by, "__dev", {"__mad": 0.5})
+    few = few_groups(draws, by)
+    q = pick_quantiles(group_ranks(draws, by, value, few=few), by, value, {"median": 0.5, "q5": 0.05, "q95": 0.95})
+    medians = q.select(*by, "median")
+    dev = draws.join(F.broadcast(medians) if few else medians, by).withColumn("__dev", F.abs(F.col(value) - F.col("median")))
+    mad = pick_quantiles(group_ranks(dev, by, "__dev", few=few), by, "__dev", {"__mad": 0.5})
     out = moments.join(q, by).join(mad, by)
     return out.select(*by, "mean", "median", "sd", (1.4826 * F.col("__mad")).alias("mad"), "q5", "q95")
 
 
-def split_chains(draws: DataFrame) -> DataFrame:
+def split_chains(draws: DataFrame, few: bool | None = None) -> DataFrame:
     """Halve every chain; with an odd length the middle draw belongs to no half."""
+    few = few_groups(draws, ["variable", "chain"]) if few is None else few
     last = draws.groupBy("variable", "chain").agg(F.max("iteration").alias("__t"))
-    d = draws.join(last, ["variable", "chain"])
+    d = draws.join(F.broadcast(last) if few else last, ["variable", "chain"])
     half = F.floor(F.col("__t") / 2)
     d = d.filter((F.col("iteration") <= half) | (F.col("iteration") > F.col("__t") - half))
     second = (F.col("iteration") > half).cast("int")
@@ -263,21 +267,23 @@ def normal_quantile_column(p: Column) -> Column:
     return F.when(tail_p >= 0.02425, mid).when(p < 0.5, tail).otherwise(-tail)
 
 
-def rank_normalised(d: DataFrame) -> DataFrame:
+def rank_normalised(d: DataFrame, few: bool | None = None) -> DataFrame:
     """Replace values by normal scores of their average ranks within the variable."""
-    ranks = group_ranks(d, ["variable"], "value")
+    ranks = group_ranks(d, ["variable"], "value", few=few)
     r = F.col("below") + (F.col("k") + 1) / 2
     z = ranks.select("variable", "value", normal_quantile_column((r - 0.375) / (F.col("n") + 0.25)).alias("__z"))
-    return d.join(z, ["variable", "value"]).drop("value").withColumnRenamed("__z", "value")
+    # both sides are as long as the draws; sizes guessed before the run take one for small and would gather it on the driver
+    return d.join(z.hint("merge"), ["variable", "value"]).drop("value").withColumnRenamed("__z", "value")
 
 
 def rhat_rank(draws: DataFrame) -> DataFrame:
     """Rank-normalised split R-hat, the larger of the bulk and the folded one."""
-    d = split_chains(draws)
-    med = pick_quantiles(group_ranks(d, ["variable"], "value"), ["variable"], "value", {"__med": 0.5})
-    folded = d.join(med, "variable").withColumn("value", F.abs(F.col("value") - F.col("__med"))).drop("__med")
-    a = _rhat(rank_normalised(d)).withColumnRenamed("rhat", "bulk")
-    b = _rhat(rank_normalised(folded)).withColumnRenamed("rhat", "folded")
+    few = few_groups(draws, ["variable", "chain"])
+    d = split_chains(draws, few)
+    med = pick_quantiles(group_ranks(d, ["variable"], "value", few=few), ["variable"], "value", {"__med": 0.5})
+    folded = d.join(F.broadcast(med) if few else med, "variable").withColumn("value", F.abs(F.col("value") - F.col("__med"))).drop("__med")
+    a = _rhat(rank_normalised(d, few)).withColumnRenamed("rhat", "bulk")
+    b = _rhat(rank_normalised(folded, few)).withColumnRenamed("rhat", "folded")
     return a.join(b, "variable").select("variable", F.greatest("bulk", "folded").alias("rhat"))
 
 

@@ -1,7 +1,8 @@
 """Joins on area and cell keys.
 
-No join is forced to broadcast: Catalyst and adaptive execution broadcast a side when its measured size is
-under the session's threshold, and split skewed partitions otherwise.
+No join of two tables is forced to broadcast: Catalyst and adaptive execution broadcast a side when its measured size is
+under the session's threshold, and split skewed partitions otherwise.  Only totals of few groups are sent to their rows,
+see :func:`few_groups`.
 """
 
 from __future__ import annotations
@@ -23,6 +24,15 @@ def join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
 
 
+def few_groups(df: DataFrame, by: Sequence[str], limit: int = 1000) -> bool:
+    """Whether the keys have at most ``limit`` combinations, so that totals per group may be broadcast to the rows.
+
+    A join by the keys would put each of a few large groups in one task, and sizes guessed before a run may make the rows
+    themselves the side that is gathered on the driver.
+    """
+    return df.select(*by).distinct().limit(limit + 1).count() <= limit
+
+
 def join_all_inner(tables: Sequence[DataFrame], key: str | Sequence[str]) -> DataFrame:
     """Inner join of many per-area tables on a shared key."""
     return reduce(lambda a, b: a.join(b, key, "inner"), tables)

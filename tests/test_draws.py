@@ -34,6 +34,17 @@ def test_summary_matches_numpy(chains):
     assert (r["q5"], r["q95"]) == pytest.approx(tuple(np.quantile(x, [0.05, 0.95])))
 
 
+def test_draws_are_not_gathered_to_join_their_ranks(chains):
+    df, _ = chains
+    plan = dr.rank_normalised(df)._jdf.queryExecution().sparkPlan().toString()
+    on_values = [line for line in plan.splitlines() if "Join" in line and line.split("Inner")[0].count("value") > 1]
+    assert on_values and all("SortMergeJoin" in line for line in on_values)
+    # totals of few groups go to the rows, so that a group is not one task
+    assert all("BroadcastHashJoin" in line for line in plan.splitlines() if "Join" in line and line not in on_values)
+    few, many = (sorted(map(tuple, group_ranks(df, ["variable"], "value", few=f).collect())) for f in (True, False))
+    assert few == many
+
+
 def ess_by_definition(x):
     m, n = x.shape
     c = x - x.mean(1, keepdims=True)
