@@ -133,6 +133,44 @@ def test_beta_family_derivatives():
     assert ll[1] == 0 and s[1, 0] == 0
 
 
+def test_gamma_terms_equal_the_single_functions():
+    from arealis.functions.numeric import digamma, gamma_terms, lgamma, trigamma
+
+    x = np.r_[1e-8, 1e-3, np.linspace(0.01, 60, 500), 1e6]
+    for got, f in zip(gamma_terms(x), (lgamma, digamma, trigamma)):
+        assert got == pytest.approx(f(x), rel=1e-10, abs=1e-10)
+
+
+@pytest.mark.parametrize("name", ["binomial", "beta", "two categories"])
+def test_group_integral_evaluates_each_node_once(name):
+    from arealis.functions import quadrature as qd
+
+    rng = np.random.default_rng(4)
+    m, d, nodes = (1, 1, 15) if name == "beta" else (4, 2 if name == "two categories" else 1, 5)
+    C, starts = 30 * m, np.arange(30) * m
+    X = np.column_stack([np.ones(C), rng.normal(size=C)])
+    data = (rng.uniform(0.1, 0.9, C), np.full(C, 20.0)) if name == "beta" else (rng.integers(0, 3, (C, d)).astype(float), np.full(C, 6.0))
+    calls = []
+
+    def family(eta, data):
+        calls.append(len(eta))
+        return (qd.beta_logit if name == "beta" else qd.multinomial)(eta, data)
+
+    B, prec = rng.normal(0, 0.3, (d, 2)), np.broadcast_to(np.eye(d) * 2.0, (30, d, d))
+    r = qd.integrate_groups(family, X @ B.T, data, X, starts, prec, nodes)
+    assert len(calls) <= nodes**d + 10
+    # gradient and Hessian are the derivatives of the integral
+    total = lambda b: qd.integrate_groups(family, X @ b.T, data, X, starts, prec, nodes)["ll"].sum()
+    for i in range(d):
+        for j in range(2):
+            e = np.zeros((d, 2))
+            e[i, j] = 1e-4
+            up, mid, low = total(B + e), total(B), total(B - e)
+            k = i * 2 + j
+            assert r["grad"].sum(0)[k] == pytest.approx((up - low) / 2e-4, rel=2e-2, abs=2e-2)
+            assert r["hess"].sum(0)[k, k] == pytest.approx(-(up - 2 * mid + low) / 1e-8, rel=3e-2)
+
+
 @pytest.fixture(scope="module")
 def proportions(spark):
     rng = np.random.default_rng(11)
