@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from arealis.functions.rng import normal, normal_draws, uniform, uniform_draws
 from arealis.operators import geo, mrp
 
 
@@ -72,6 +73,56 @@ def test_bernoulli_draws_do_not_depend_on_partitions(small):
     assert key(mrp.bernoulli_draws(epred.repartition(1), 3)) == key(mrp.bernoulli_draws(epred.repartition(9), 3))
 
 
+def test_packed_draws_equal_keyed_long_ones(spark):
+    """Arrays of draws hold the numbers of the column expressions, without a digest per long row in the plan."""
+    cells = spark.createDataFrame([("c1", "a", 2), ("a longer key " * 9, "a", 3), ("", "b", 4), (None, "b", 5)], "cell_id string, g string, n int")
+    packed = cells.withColumns({"value": uniform_draws("epred", 12, "cell_id"), "z": normal_draws("n", 12, "cell_id")})
+    long = mrp.long_draws(mrp.bernoulli_draws(packed, "dim", out="hit"), "value", "z", "hit")
+    want = long.withColumns({"value": uniform("epred", "draw", "cell_id"), "z": normal("n", "draw", "cell_id")})
+    want = mrp.bernoulli_draws(want, "dim", out="hit").select(*long.columns)
+    key = lambda df: sorted(df.collect(), key=lambda r: (r["n"], r["draw"]))
+    got, expected = key(long), key(want)
+    assert len(got) == 48 and [(r["draw"], r["value"], r["hit"]) for r in got] == [(r["draw"], r["value"], r["hit"]) for r in expected]
+    assert [r["z"] for r in got] == pytest.approx([r["z"] for r in expected], abs=1e-12)
+    assert "md5" not in long._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bernoulli_arrays_keep_missing_chances(spark):
+    df = spark.createDataFrame([("a", [0.0, None, 1.0]), ("b", None), ("c", [1.0])], "cell_id string, value array<double>")
+    assert dict(map(tuple, mrp.bernoulli_draws(df, 1).collect())) == {"a": [0, None, 1], "b": None, "c": [1]}
+
+
+def test_packed_values_join_cells_before_they_are_long(spark, small):
+    cells, epred, v = small
+    packed = spark.createDataFrame([(f"c{c + 1}", [float(x) for x in v[:, c]]) for c in range(4)], "cell_id string, value array<double>")
+    for by in (["g"], None):
+        got, want = ([tuple(r)[-2:] for r in mrp.mrp_estimate(e, by, cells=cells).orderBy("mrp_estimate").collect()] for e in (packed, epred))
+        assert np.allclose(got, want)
+    plan = mrp.mrp_estimate(packed, ["g"], cells=cells)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("MapInArrow") < plan.index("Join Inner")
+
+
+def test_packed_sums_equal_long_ones_with_gaps(spark):
+    """Missing keys, weights and values, draws that some cells lack, and a group that the benchmark factor never reaches."""
+    rows = [(f"c{i}", None if i % 5 == 0 else f"g{i % 3}", None if i == 4 else i % 4 + 1, None if i % 3 == 1 else 1.0 + i / 10, [None if (i + t) % 6 == 0 else (i * 7 + t) % 11 / 11 for t in range(4 - i % 2)]) for i in range(40)]
+    packed = spark.createDataFrame([*rows, ("e", "g0", 2, 1.0, None)], "cell_id string, g string, n int, gk double, value array<double>").repartition(3)
+    for by in (["g"], [], ["g", "cell_id"]):
+        got, want = ({tuple(r)[: len(by) + 1]: tuple(r)[len(by) + 1 :] for r in mrp._totals(e, by, "n", "value", "gk").collect()} for e in (packed, mrp.long_draws(packed, "value")))
+        assert got.keys() == want.keys()
+        for k, w in want.items():
+            assert [x is None for x in got[k]] == [x is None for x in w] and all(a == pytest.approx(b) for a, b in zip(got[k], w) if b is not None), k
+
+
+@pytest.mark.parametrize("query", ["mrp_estimate_national", "mrp_estimate_by_area", "mrp_levels", "mrp_benchmarked", "mrp_without_schooling_gaps", "mrp_estimate_joined_cells", "bernoulli_draws", "multidim_poverty_draws", "dimension_estimates"])
+def test_draws_of_cells_are_hashed_cell_by_cell(spark, query):
+    from arealis.plans import registry
+
+    registry.load_all()
+    plan = registry.QUERIES[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above, found, _ = plan.partition("Generate ")
+    assert found and "md5" not in above and "ArrowEvalPython" in plan
+
+
 def polygon(*xy):
     return [(float(x), float(y)) for x, y in xy]
 
