@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from arealis.functions.rng import normal, normal_draws, uniform, uniform_draws
+from arealis.functions.rng import normal, normal_draws, uniform, uniform_draws, with_normal_draws
 from arealis.operators import geo, mrp
 
 
@@ -87,6 +87,23 @@ def test_packed_draws_equal_keyed_long_ones(spark):
     assert "md5" not in long._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_normal_draws_side_by_side_in_small_slices(spark):
+    df = spark.createDataFrame([(i, f"g{i % 3}") for i in range(20)], "i int, g string")
+    wide = with_normal_draws(df, 5, {"a": ("s", "g"), "b": ("t", "i")}, limit=40)
+    got = sorted(mrp.long_draws(wide, "a", "b").withColumns({"x": normal("s", "draw", "g"), "y": normal("t", "draw", "i")}).collect())
+    assert len(got) == 100 and [(r["a"], r["b"]) for r in got] == [pytest.approx((r["x"], r["y"]), abs=1e-12) for r in got]
+
+
+@pytest.mark.parametrize("query", ["income_poststratified", "poverty_pipeline"])
+def test_effects_of_a_group_are_not_drawn_again_for_every_cell(spark, query):
+    """Normals of group and draw are made before cells become long, so no cosine is taken per draw and cell."""
+    from arealis.plans import registry
+
+    registry.load_all()
+    plan = registry.QUERIES[query](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate " in plan and "COS(" not in plan.upper()
+
+
 def test_bernoulli_arrays_keep_missing_chances(spark):
     df = spark.createDataFrame([("a", [0.0, None, 1.0]), ("b", None), ("c", [1.0])], "cell_id string, value array<double>")
     assert dict(map(tuple, mrp.bernoulli_draws(df, 1).collect())) == {"a": [0, None, 1], "b": None, "c": [1]}
