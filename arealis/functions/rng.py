@@ -47,7 +47,7 @@ def normal_sql(seed: object, *keys: str) -> str:
 # ---------------------------------------------------------------- all draws of a key at once
 
 
-def _key(key: str | Column) -> Column:
+def key_text(key: str | Column) -> Column:
     """A key with the separator before it; a missing one leaves no trace, as in :func:`uniform`."""
     text = (F.col(key) if isinstance(key, str) else key).cast("string")
     return F.coalesce(F.concat(F.lit("|"), text), F.lit(""))
@@ -61,7 +61,7 @@ def uniform_draws(seed: object, draws: int, key: str | Column) -> Column:
     def made(k: pa.Array) -> pa.Array:
         return as_lists(draw_uniforms(k, seed, draws))
 
-    return made(_key(key))
+    return made(key_text(key))
 
 
 def _normals(keys: pa.Array, seed: str, draws: int) -> pa.Array:
@@ -79,7 +79,7 @@ def normal_draws(seed: object, draws: int, key: str | Column) -> Column:
     def made(k: pa.Array) -> pa.Array:
         return _normals(k, seed, draws)
 
-    return made(_key(key))
+    return made(key_text(key))
 
 
 def with_normal_draws(df: DataFrame, draws: int, noise: dict[str, tuple[str, str]], limit: int = 1_000_000) -> DataFrame:
@@ -88,7 +88,7 @@ def with_normal_draws(df: DataFrame, draws: int, noise: dict[str, tuple[str, str
     Rows travel in slices of at most ``limit`` numbers, whatever the count of draws and columns.
     """
     keys = {c: f"__key{i}" for i, c in enumerate(dict.fromkeys(c for _, c in noise.values()))}
-    df = df.withColumns({k: _key(c) for c, k in keys.items()})
+    df = df.withColumns({k: key_text(c) for c, k in keys.items()})
     kept = [c for c in df.columns if c not in keys.values()]
     schema = T.StructType([df.schema[c] for c in kept] + [T.StructField(n, T.ArrayType(T.DoubleType())) for n in noise])
     rows = max(1, limit // max(1, draws * len(noise)))
@@ -117,4 +117,4 @@ def bernoulli_array(seed: object, key: str | Column, chances: str | Column) -> C
         values = pa.array(hit.astype(np.int32), mask=flat.is_null().to_numpy(zero_copy_only=False))
         return pa.ListArray.from_arrays(np.concatenate([[0], counts.cumsum()]).astype(np.int32), values, mask=p.is_null())
 
-    return made(_key(key), chances)
+    return made(key_text(key), chances)

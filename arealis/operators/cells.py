@@ -419,11 +419,17 @@ def cluster_cells(cells: DataFrame, by: Sequence[str], cell: str, limit: int = 1
     sizes = cells.groupBy(*by).agg(F.count(F.lit(1)).alias("__size")).filter(F.col("__size") > limit)
     parts = F.coalesce(F.ceil(F.col("__size") / limit), F.lit(1))
     salted = join_keys(cells, F.broadcast(sizes), by, "left").withColumn("__salt", F.pmod(F.xxhash64(cell), parts))
-    # a fixed number of partitions: rows are light now but grow by the number of draws, which adaptive
-    # execution cannot foresee when it merges small partitions
-    spark = cells.sparkSession
+    return spread_groups(salted, *by, "__salt").drop("__size", "__salt").sortWithinPartitions(*by)
+
+
+def spread_groups(df: DataFrame, *by: str) -> DataFrame:
+    """Deal rows over a fixed number of partitions before they grow by the number of draws.
+
+    Rows are light now, and adaptive execution cannot foresee that growth when it merges small partitions.
+    """
+    spark = df.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return salted.repartition(tasks, *by, "__salt").drop("__size", "__salt").sortWithinPartitions(*by)
+    return df.repartition(tasks, *by)
 
 
 # ---------------------------------------------------------------- order, samples, sets

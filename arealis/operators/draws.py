@@ -9,10 +9,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arealis.functions.rng import normal, uniform
+from arealis.functions.digest import as_lists
+from arealis.functions.discrete import binomial, poisson
+from arealis.functions.rng import key_text, normal, uniform
 from arealis.operators.area import GridFit
 from arealis.operators.cells import histogram_table, sample_rows, union_by_name
 from arealis.operators.joins import few_groups
@@ -94,71 +97,33 @@ def replicate_bernoulli(p: Column, seed: object, *keys: str) -> Column:
     return (uniform(seed, *keys) < p).cast("int")
 
 
-def _bound(values: dict[str, Column], body) -> Column:
-    """Apply ``body`` to values that are computed once, however often it names them."""
-    row = F.struct(*[c.alias(k) for k, c in values.items()])
-    return F.element_at(F.transform(F.array(row), body), 1)
+def _joined(keys: Sequence[str]) -> Column:
+    """The keys of a row as one text, each with the separator before it."""
+    return F.concat(F.lit(""), *[key_text(k) for k in keys])
 
 
-def _by_ratio(x: Column, up, down) -> Column:
-    """Invert a discrete distribution at the uniform ``x.u`` from the ratios of neighbouring probabilities.
+def _counts(n: Column, shares: Sequence[Column], seeds: Sequence[str], keys: Sequence[str], trials_up_to: int) -> Column:
+    """Nested binomial draws as an array: of ``n``, then of what is left, and what is left in the end; all hashed in one go."""
 
-    ``up(k)`` is p(k) / p(k - 1) and ``down(k)`` is p(k) / p(k + 1).  Weights start from 1 at ``x.mode`` and are summed as
-    far as 12 times ``x.sd`` and 40 steps within ``x.low`` and ``x.high``; beyond that they vanish in double precision.
-    """
-
-    def side(length: Column) -> Column:
-        n = F.least(length, x["sd"] * 12 + 40).cast("long")
-        return F.when(n >= 1, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<bigint>"))
-
-    def total(steps: Column, sign: int, ratio) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            return _bound({"w": acc["w"] * ratio(x["mode"] + sign * i)}, lambda v: F.struct(v["w"].alias("w"), (acc["s"] + v["w"]).alias("s")))
-
-        return F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s")), step).getField("s")
-
-    def walk(steps: Column, sign: int, ratio, left: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            k = x["mode"] + sign * i
-            moved = _bound({"w": acc["w"] * ratio(k)}, lambda v: F.struct(v["w"].alias("w"), (acc["left"] - v["w"]).alias("left"), k.alias("k")))
-            return F.when(acc["left"] <= 0, acc).otherwise(moved)
-
-        return F.aggregate(steps, F.struct(F.lit(1.0).alias("w"), left.alias("left"), x["mode"].alias("k")), step).getField("k")
-
-    def pick(y: Column) -> Column:
-        goal = x["u"] * (1 + y["over"] + y["under"])
-        return (
-            F.when(goal <= 1, x["mode"])
-            .when(goal <= 1 + y["over"], walk(y["above"], 1, up, goal - 1))
-            .otherwise(walk(y["below"], -1, down, goal - 1 - y["over"]))
-        )
+    @F.arrow_udf("array<int>")
+    def made(key: pa.Array, size: pa.Array, *chances: pa.Array) -> pa.Array:
+        known = size.is_valid().to_numpy(zero_copy_only=False).copy()
+        left, out, valid = size.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64), [], []
+        for seed, chance in zip(seeds, chances):
+            # without trials nothing depends on the chance
+            known &= (left < 1) | chance.is_valid().to_numpy(zero_copy_only=False)
+            hits = binomial(key, np.where(known, left, 0), chance.fill_null(0.0).to_numpy(zero_copy_only=False), seed, trials_up_to)
+            out.append(hits)
+            valid.append(known.copy())
+            left = left - hits
+        return as_lists(np.stack([*out, left], axis=1).astype(np.int32), np.stack([*valid, known], axis=1))
 
-    sides = _bound({"above": side(x["high"] - x["mode"]), "below": side(x["mode"] - x["low"])}, lambda s: F.struct(s["above"], s["below"], total(s["above"], 1, up).alias("over"), total(s["below"], -1, down).alias("under")))
-    return _bound({"y": sides}, lambda z: pick(z["y"]))
+    return made(_joined(keys), n.cast("int"), *[c.cast("double") for c in shares])
 
 
 def replicate_binomial(n: Column, p: Column, seed: object, *keys: str, trials_up_to: int = 1000) -> Column:
     """An exact binomial draw: the sum of keyed Bernoulli trials, or by inversion beyond ``trials_up_to`` trials."""
-    joined = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-
-    def drawn(x: Column) -> Column:
-        exact = F.aggregate(F.sequence(F.lit(1), x["n"]), F.lit(0), lambda acc, t: acc + (uniform(seed, joined, t) < x["p"]).cast("int"))
-        size, odds = x["n"].cast("double"), F.greatest(x["p"] / F.greatest(1 - x["p"], F.lit(1e-300)), F.lit(1e-300))
-
-        def invert(y: Column) -> Column:
-            return _by_ratio(y, lambda k: (y["high"] - k + 1) / k * y["odds"], lambda k: (k + 1) / ((y["high"] - k) * y["odds"])).cast("int")
-
-        mode = F.least(size, F.floor((size + 1) * x["p"]).cast("double"))
-        values = {"u": uniform(seed, *keys), "mode": mode, "low": F.lit(0.0), "high": size, "sd": F.sqrt(size * x["p"] * (1 - x["p"])), "odds": odds}
-        return (
-            F.when(x["n"] < 1, F.lit(0))
-            .when(x["n"] <= trials_up_to, exact)
-            .when(x["p"] <= 0, F.lit(0))
-            .when(x["p"] >= 1, x["n"])
-            .otherwise(_bound(values, invert))
-        )
-
-    return _bound({"n": n.cast("int"), "p": p.cast("double")}, drawn)
+    return F.get(_counts(n, [p], [str(seed)], keys, trials_up_to), 0)
 
 
 def replicate_normal(mean: Column, sd: Column, seed: object, *keys: str) -> Column:
@@ -167,22 +132,15 @@ def replicate_normal(mean: Column, sd: Column, seed: object, *keys: str) -> Colu
 
 def replicate_poisson(rate: Column, seed: object, *keys: str, from_zero_up_to: float = 500.0) -> Column:
     """An exact Poisson draw by inversion at a keyed uniform, from zero upwards or, where that would underflow, from the mode."""
+    seed = str(seed)
 
-    def drawn(x: Column) -> Column:
-        top = F.ceil(x["rate"] + 12 * F.sqrt(x["rate"]) + 20).cast("int")
-        start = F.struct(F.exp(-x["rate"]).alias("p"), F.lit(0.0).alias("c"), F.lit(0).alias("k"))
+    @F.arrow_udf("int")
+    def made(key: pa.Array, rate: pa.Array, none: pa.Array) -> pa.Array:
+        r, p0 = (a.fill_null(float("nan")).to_numpy(zero_copy_only=False) for a in (rate, none))
+        return pa.array(poisson(key, r, p0, seed, from_zero_up_to).astype(np.int32), mask=np.isnan(r))
 
-        def step(acc: Column, i: Column) -> Column:
-            c = acc["c"] + acc["p"]
-            return F.struct((acc["p"] * x["rate"] / (i + 1)).alias("p"), c.alias("c"), (acc["k"] + (c < x["u"]).cast("int")).alias("k"))
-
-        small = F.aggregate(F.sequence(F.lit(0), top), start, step).getField("k")
-        mode = F.floor(x["rate"]).cast("double")
-        values = {"u": x["u"], "mode": mode, "low": F.lit(0.0), "high": mode + 12 * F.sqrt(x["rate"]) + 40, "sd": F.sqrt(x["rate"]), "rate": x["rate"]}
-        large = _bound(values, lambda y: _by_ratio(y, lambda k: y["rate"] / k, lambda k: (k + 1) / y["rate"]).cast("int"))
-        return F.when(x["rate"] <= from_zero_up_to, small).otherwise(large)
-
-    return _bound({"rate": rate.cast("double"), "u": uniform(seed, *keys)}, drawn)
+    rate = rate.cast("double")
+    return made(_joined(keys), rate, F.exp(-rate))
 
 
 def replicate_category(probs: Sequence[Column], seed: object, *keys: str) -> Column:
@@ -194,15 +152,14 @@ def replicate_category(probs: Sequence[Column], seed: object, *keys: str) -> Col
     return out
 
 
-def replicate_multinomial(n: Column, probs: Sequence[Column], seed: object, *keys: str) -> list[Column]:
-    """Counts per category as nested binomials."""
-    left, rest, out = n.cast("int"), F.lit(1.0), []
-    for k, p in enumerate(probs[:-1]):
-        share = F.when(rest > 1e-12, F.least(p / rest, F.lit(1.0))).otherwise(0.0)
-        c = replicate_binomial(left, share, f"{seed}.{k}", *keys)
-        out.append(c)
-        left, rest = left - c, rest - p
-    return [*out, left]
+def replicate_multinomial(n: Column, probs: Sequence[Column], seed: object, *keys: str, trials_up_to: int = 1000) -> list[Column]:
+    """Counts per category as nested binomials, drawn in one pass over the rows."""
+    rest, shares = F.lit(1.0), []
+    for p in probs[:-1]:
+        shares.append(F.when(rest > 1e-12, F.least(p / rest, F.lit(1.0))).otherwise(0.0))
+        rest = rest - p
+    counts = _counts(n, shares, [f"{seed}.{k}" for k in range(len(shares))], keys, trials_up_to)
+    return [F.get(counts, k) for k in range(len(probs))]
 
 
 # ---------------------------------------------------------------- summaries

@@ -358,7 +358,7 @@ REP_AREAS = f"ap AS (SELECT segm, count(*) AS n, avg(pobreza) AS p FROM survey G
 
 def _replicated_areas(spark, d):
     a = fx.survey(spark, d).groupBy("segm").agg(F.count(F.lit(1)).alias("n"), F.avg("pobreza").alias("p"))
-    return a.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(REP_DRAWS)).cast("array<bigint>")))
+    return ce.spread_groups(a, "segm").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(REP_DRAWS)).cast("array<bigint>")))
 
 
 @query(

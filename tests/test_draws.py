@@ -1,3 +1,5 @@
+import hashlib
+import itertools
 import math
 
 import numpy as np
@@ -135,6 +137,55 @@ def test_replicated_outcomes(spark):
     assert (x.m0 + x.m1 + x.m2 == 12).all() and x.m1.mean() == pytest.approx(3.6, abs=0.06)
 
 
+def test_replicated_counts_are_those_of_their_uniforms(spark):
+    """Draws equal a loop over the same uniforms, missing values included, and Python runs once for all categories."""
+    rows = [(i, n, q) for i, (n, q) in enumerate(itertools.product([None, 0, 1, 7, 8, 9, 40, 1000, 1001, 30000], [None, 0.0, 1e-9, 0.3, 1.0]))]
+    df = spark.createDataFrame(rows, "id long, n long, q double")
+    q = F.col("q")
+    parts = dr.replicate_multinomial(F.col("n"), [q, (1 - q) / 2, (1 - q) / 2], "m", "id", "n")
+    made = df.select("*", dr.replicate_binomial(F.col("n"), q, "b", "id").alias("b"), dr.replicate_poisson(F.col("n") * q, "p", "id").alias("p"), *[c.alias(f"m{i}") for i, c in enumerate(parts)])
+
+    def u(*words):
+        return int(hashlib.md5("|".join(str(w) for w in words if w is not None).encode()).hexdigest()[:13], 16) / 2**52
+
+    def nearest(law, mode, goal):
+        """Counts in the order mode, above, below against the goal, as the draws take them."""
+        above, below = law[mode:] / law[mode], law[:mode][::-1] / law[mode]
+        goal *= above.sum() + below.sum()
+        walk = np.concatenate([above, below]).cumsum()
+        i = int((walk < goal).sum())
+        return mode + i if i < len(above) else mode - 1 - (i - len(above))
+
+    def binomial(n, p, seed, *key):
+        if n < 1 or p <= 0 or p >= 1:
+            return n if p >= 1 else 0
+        if n <= 1000:
+            return sum(u(seed, *key, t) < p for t in range(1, n + 1))
+        k = np.arange(n + 1)
+        log = np.array([math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) for i in k]) + k * math.log(p) + (n - k) * math.log1p(-p)
+        return nearest(np.exp(log - log.max()), min(n, math.floor((n + 1) * p)), u(seed, *key))
+
+    def poisson(rate, *key):
+        k = np.arange(int(rate + 12 * rate**0.5 + 40) + 1)
+        law = np.exp(k * math.log(rate) - rate - np.array([math.lgamma(i + 1) for i in k])) if rate > 0 else np.eye(len(k))[0]
+        return int((law.cumsum() < u(*key)).sum()) if rate <= 500 else nearest(law, math.floor(rate), u(*key))
+
+    for r in made.collect():
+        n, p = r["n"], r["q"]
+        assert r["b"] == (None if n is None or (n and p is None) else binomial(n, p or 0.0, "b", r["id"])), r
+        assert r["p"] == (None if n is None or p is None else poisson(n * p, "p", r["id"])), r
+        if n is None:
+            assert r["m0"] is r["m1"] is r["m2"] is None
+        elif p is None:  # as before: a share without a chance takes all
+            assert (r["m0"], r["m1"], r["m2"]) == (n, 0, 0)
+        else:
+            m0 = binomial(n, p, "m.0", r["id"], n)
+            m1 = binomial(n - m0, min((1 - p) / 2 / (1 - p), 1.0) if p < 1 else 0.0, "m.1", r["id"], n)
+            assert (r["m0"], r["m1"], r["m2"]) == (m0, m1, n - m0 - m1), r
+    plan = made.select("m0", "m1", "m2")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("made(") == 1 and "md5" not in plan
+
+
 def test_draws_follow_the_posterior(spark):
     mean, cov = np.array([1.0, -2.0]), np.array([[1.0, 0.6], [0.6, 2.0]])
     d = dr.posterior_draws(spark, mean, cov, ["a", "b"], 8000).toPandas()
