@@ -2,8 +2,9 @@
 
 The normal equations of dense columns next to the indicators of a factor are bordered: the indicators' block is diagonal.
 Spark sums one small block per level (weight, sums of the dense columns and of the outcome); levels are eliminated where
-they lie, so only the Schur complement of the dense columns comes to the driver, and level effects stay a table.  With
-several wide factors the blocks between them are sparse co-occurrence counts, and conjugate gradients run on tables.
+they lie, so only the Schur complement of the dense columns comes to the driver, and level effects stay a table.  Of several
+factors the widest is eliminated when the others have few levels; else the blocks between them are sparse co-occurrence
+counts, and conjugate gradients run on tables.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from arealis.functions.recode import as_column
 from arealis.operators.area import GridFit, log_prior
 from arealis.operators.area import variance_grid as area_grid
 from arealis.operators.glm import log_weights
-from arealis.operators.linalg import cross_sums, dot, double_columns, read_matrix, read_vector, vector_sums
+from arealis.operators.linalg import NARROW, cross_sums, dot, double_columns, read_matrix, read_vector, task_sums, vector_sums
 from arealis.session import materialise
 
 
@@ -280,28 +281,143 @@ def fh_predict_with_factor(areas: DataFrame, fit: BorderedGrid, y: str, psi: str
 # ---------------------------------------------------------------- several wide factors
 
 
+FEW_LEVELS = 256  # levels of all factors but the widest up to which the driver solves their equations
+
+
 def linear_with_factors(df: DataFrame, y: str | Column, xs: dict[str, Column], factors: Sequence[str], sigma2: float = 1.0, tau: float = 1e4, tol: float = 1e-10, max_iter: int = 500) -> BorderedFit:
     """Least squares on dense columns and the indicators of several wide factors, with N(0, tau^2) priors that make it unique.
 
+    Where all factors but the widest have few levels together, the widest is eliminated where its levels lie and the rest is a
+    small system: no iterations.  Otherwise conjugate gradients run on tables.  The residual variance is taken as given.
+    ``effects`` has ``factor``, ``level`` and ``effect``.
+    """
+    ridge = sigma2 / tau**2
+    rows = _prepared(df, y, xs, factors, None)
+    names = [F.col(f"x{i}") for i in range(len(xs))]
+    levels = [f"l{i}" for i in range(len(factors))]
+    sums = [*cross_sums(names, "e"), *vector_sums(names, F.col("y"), "r"), F.count(F.lit(1)).alias("n")]
+    # rows are read once; only sums of many dense columns are not worth keeping per cell
+    kept = sums if len(sums) <= NARROW else []
+    cells = materialise(rows.groupBy(*levels).agg(F.count(F.lit(1)).cast("double").alias("d"), F.sum("y").alias("t"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(names)], *kept))
+    dense = (cells.agg(*[F.sum(c).alias(c) for c in cells.columns if c[:2] in ("e_", "r_", "n")]) if kept else rows.agg(*sums)).first().asDict()
+    if not dense["n"]:
+        raise ValueError("no row has all values")
+    sizes = cells.agg(*[F.approx_count_distinct(c).alias(c) for c in levels]).first().asDict()
+    wide = max(levels, key=lambda c: sizes[c])
+    small, left = {}, FEW_LEVELS
+    for c in levels:
+        if c != wide and left >= 0:
+            small[c] = {r["level"]: r for r in _totals(cells, c, len(xs)).limit(left + 1).collect()}
+            left -= len(small[c])
+    if left >= 0:
+        beta, effects, it = *_eliminate(cells, wide, small, dense, len(xs), ridge), 0
+    else:
+        beta, effects, it = _conjugate_gradients(cells, levels, dense, len(xs), ridge, tol, max_iter)
+    label = F.get(F.array(*[F.lit(f) for f in factors]), F.col("f"))
+    q = len(xs)
+    return BorderedFit(tuple(xs), beta, np.full((q, q), np.nan), effects.select(label.alias("factor"), "level", F.col("x").alias("effect")), sigma2, dense["n"], float("nan"), it)
+
+
+def _totals(cells: DataFrame, level: str, q: int) -> DataFrame:
+    """Count and sums of every level of a factor."""
+    return cells.groupBy(F.col(level).alias("level")).agg(*[F.sum(c).alias(c) for c in ("d", "t", *[f"s{i}" for i in range(q)])])
+
+
+def _eliminate(cells: DataFrame, wide: str, small: dict[str, dict], dense: dict, q: int, ridge: float) -> tuple[np.ndarray, DataFrame]:
+    """Solve for the dense columns and the levels of the small factors with the wide factor eliminated, then go back to its levels.
+
+    Every wide level sends the products of its counts and sums; tasks add them up as matrices.
+    """
+    spark = cells.sparkSession
+    at = {c: {v: i for i, v in enumerate(sorted(part))} for c, part in small.items()}
+    starts = dict(zip(at, np.cumsum([0, *map(len, at.values())])))
+    K = sum(map(len, at.values()))
+    p = K + q
+    # what remains: the small levels, then the dense columns
+    gram, rhs = np.zeros((p, p)), np.zeros(p)
+    gram[K:, K:], rhs[K:] = read_matrix(dense, "e", q), read_vector(dense, "r", q)
+    for c, part in small.items():
+        for v, r in part.items():
+            i = starts[c] + at[c][v]
+            gram[i, i], rhs[i] = r["d"], r["t"]
+            gram[i, K:] = gram[K:, i] = [r[f"s{k}"] for k in range(q)]
+    for n, c in enumerate(at):
+        for c2 in list(at)[n + 1 :]:
+            for r in cells.groupBy(c, c2).agg(F.sum("d").alias("d")).collect():
+                i, j = starts[c] + at[c][r[c]], starts[c2] + at[c2][r[c2]]
+                gram[i, j] = gram[j, i] = r["d"]
+    placed = cells
+    for c in at:
+        table = spark.createDataFrame([(v, int(starts[c] + i)) for v, i in at[c].items()], f"{c} string, at_{c} int")
+        placed = placed.join(F.broadcast(table), c)
+    sums = [F.sum(f"s{i}") for i in range(q)]
+    blocks = placed.groupBy(F.col(wide).alias("level")).agg(
+        F.sum("d").alias("d"), F.sum("t").alias("t"), F.array(*sums).cast("array<double>").alias("s"), F.collect_list(F.struct("d", *[f"at_{c}" for c in at])).alias("met")
+    )
+    blocks = materialise(blocks)
+    flat = blocks.select("d", "t", "s", F.col("met.d").alias("k"), *[F.col(f"met.at_{c}").alias(f"at_{c}") for c in at])
+
+    def products(pdf) -> np.ndarray:
+        B = len(pdf)
+        owner = np.repeat(np.arange(B), [len(k) for k in pdf["k"]])
+        k = np.concatenate(pdf["k"].to_list())
+        V = np.zeros(B * (p + 1))
+        for c in at:
+            V += np.bincount(owner * (p + 1) + np.concatenate(pdf[f"at_{c}"].to_list()), weights=k, minlength=len(V))
+        V = V.reshape(B, p + 1)
+        if q:
+            V[:, K:p] = np.stack(pdf["s"].to_list())
+        V[:, p] = pdf["t"]
+        d = pdf["d"].to_numpy(float)
+        own = d + ridge
+        return np.concatenate([((V * w[:, None]).T @ V).ravel() for w in ((d + 2 * ridge) / own**2, 1 / own**2)])
+
+    both = task_sums(flat, products).reshape(2, p + 1, p + 1)
+    x = _solve_with_prior(gram - both[0, :p, :p], np.eye(p) + both[1, :p, :p], rhs - both[0, :p, p], both[1, :p, p], np.diag(gram), ridge)
+    values = F.lit([float(v) for v in x[:K]] or [0.0])
+    pull = F.aggregate("met", F.lit(0.0), lambda a, m: a + m["d"] * sum((F.get(values, m[f"at_{c}"]) for c in at), F.lit(0.0)))
+    back = (F.col("t") - pull - dot([F.get("s", i) for i in range(q)], x[K:])) / (F.col("d") + ridge)
+    effects = blocks.select(F.lit(int(wide[1:])).alias("f"), "level", back.alias("x"))
+    for c in at:
+        effects = effects.unionByName(spark.createDataFrame([(int(c[1:]), v, float(x[starts[c] + i])) for v, i in at[c].items()], "f int, level string, x double"))
+    return x[K:], effects
+
+
+def _solve_with_prior(P: np.ndarray, W: np.ndarray, b: np.ndarray, g: np.ndarray, size: np.ndarray, ridge: float) -> np.ndarray:
+    """Solve (P + ridge W) x = b + ridge g for positive semidefinite P that may be singular, however small the ridge.
+
+    What P leaves open (indicators of two factors add up to the same column) is settled by W and g alone, so that rounding of P
+    is not divided by the ridge.
+    """
+    c = 1 / np.sqrt(np.where(size > 0, size, 1.0))
+    P, W, b, g = P * np.outer(c, c), W * np.outer(c, c), b * c, g * c
+    mu, U = np.linalg.eigh((P + P.T) / 2)
+    free = mu <= 1e-12
+    N, R = U[:, free], U[:, ~free]
+    lower = np.hstack([ridge * R.T @ W @ N, np.diag(mu[~free]) + ridge * R.T @ W @ R])
+    upper = np.hstack([N.T @ W @ N, N.T @ W @ R])
+    scale = np.abs(upper).max(axis=1, initial=0.0)
+    x = np.linalg.solve(np.vstack([upper / scale[:, None], lower]), np.concatenate([N.T @ g / scale, R.T @ (b + ridge * g)]))
+    return c * (np.hstack([N, R]) @ x)
+
+
+def _conjugate_gradients(cells: DataFrame, levels: Sequence[str], dense: dict, q: int, ridge: float, tol: float, max_iter: int) -> tuple[np.ndarray, DataFrame, int]:
+    """Levels of any number in every factor.
+
     Between two factors the normal equations hold co-occurrence counts: a sparse table.  Conjugate gradients with the
     diagonal as preconditioner run on a table of one row per level; a step is one join with the counts, one checkpoint of
-    the level table and two aggregates, and the dense columns are a small block on the driver.  The residual variance is
-    taken as given.  ``effects`` has ``factor``, ``level`` and ``effect``.
+    the level table and two aggregates, and the dense columns are a small block on the driver.
     """
-    q, ridge = len(xs), sigma2 / tau**2
-    rows = _prepared(df, y, xs, factors, None).persist(StorageLevel.MEMORY_AND_DISK)
-    names = [f"x{i}" for i in range(q)]
+    parts, pairs = [], []
+    for i, c in enumerate(levels):
+        parts.append(_totals(cells, c, q).select(F.lit(i).alias("f"), "level", (F.col("d") + ridge).alias("d"), "t", F.array(*[F.col(f"s{k}") for k in range(q)]).cast("array<double>").alias("s")))
+        for j, c2 in enumerate(levels):
+            if i != j:
+                pairs.append(cells.groupBy(F.lit(i).alias("f"), F.col(c).alias("level"), F.lit(j).alias("f2"), F.col(c2).alias("level2")).agg(F.sum("d").alias("k")))
+    table = reduce(DataFrame.unionByName, parts)
+    state = materialise(table.withColumns({"x": F.lit(0.0), "r": F.col("t"), "p": F.col("t") / F.col("d")}))
     counts = None
     try:
-        dense = rows.agg(*cross_sums([F.col(c) for c in names], "e"), *vector_sums([F.col(c) for c in names], F.col("y"), "r"), F.count(F.lit(1)).alias("n")).first().asDict()
-        parts, pairs = [], []
-        for i in range(len(factors)):
-            parts.append(rows.groupBy(F.lit(i).alias("f"), F.col(f"l{i}").alias("level")).agg((F.count(F.lit(1)) + ridge).alias("d"), F.sum("y").alias("t"), F.array(*[F.sum(c) for c in names]).cast("array<double>").alias("s")))
-            for j in range(len(factors)):
-                if i != j:
-                    pairs.append(rows.groupBy(F.lit(i).alias("f"), F.col(f"l{i}").alias("level"), F.lit(j).alias("f2"), F.col(f"l{j}").alias("level2")).agg(F.count(F.lit(1)).cast("double").alias("k")))
-        levels = reduce(DataFrame.unionByName, parts)
-        state = materialise(levels.withColumns({"x": F.lit(0.0), "r": F.col("t"), "p": F.col("t") / F.col("d")}))
         if pairs:
             counts = reduce(DataFrame.unionByName, pairs).repartition("f2", "level2").persist(StorageLevel.MEMORY_AND_DISK)
         e = read_matrix(dense, "e", q) + ridge * np.eye(q)
@@ -330,9 +446,7 @@ def linear_with_factors(df: DataFrame, y: str | Column, xs: dict[str, Column], f
             pb, size = zb + new / size * pb, new
         if size > tol**2 * start:
             raise RuntimeError(f"no convergence after {max_iter} steps; the residual is {np.sqrt(size / start):.2g} of the first one")
-        label = F.get(F.array(*[F.lit(f) for f in factors]), F.col("f"))
-        return BorderedFit(tuple(xs), xb, np.full((q, q), np.nan), state.select(label.alias("factor"), "level", F.col("x").alias("effect")), sigma2, dense["n"], float("nan"), it)
+        return xb, state, it
     finally:
-        rows.unpersist()
         if counts is not None:
             counts.unpersist()

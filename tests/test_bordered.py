@@ -123,6 +123,32 @@ def test_two_wide_factors_by_conjugate_gradients(people):
     assert fit.iterations < 60
 
 
+@pytest.mark.parametrize("few", [256, 0])
+@pytest.mark.parametrize("tau", [1e4, 2.0])
+def test_factors_with_few_levels_need_no_steps(spark, monkeypatch, few, tau):
+    """Three factors, two parts of the table that share no level, a dense column that the levels fix: equal to a dense solve."""
+    monkeypatch.setattr(bd, "FEW_LEVELS", few)
+    rng = np.random.default_rng(12)
+    n = 1200
+    part = rng.integers(0, 2, n)
+    pdf = pd.DataFrame({"u": [f"u{2 * v + k}" for v, k in zip(rng.integers(0, 60, n), part)], "v": [f"v{2 * v + k}" for v, k in zip(rng.integers(0, 5, n), part)], "w": [f"w{2 * v + k}" for v, k in zip(rng.integers(0, 3, n), part)]})
+    pdf["a"], pdf["half"] = 100 * rng.normal(size=n), part.astype(float)
+    pdf["y"] = 10 + 0.02 * pdf["a"] + part + rng.normal(size=n)
+    df = spark.createDataFrame(pdf).repartition(4)
+    columns = [(f, v) for f in "uvw" for v in sorted(pdf[f].unique())]
+    X = np.column_stack([pdf["a"], pdf["half"], *[(pdf[f] == v).astype(float) for f, v in columns]])
+    # the ridge as rows of its own, so that the reference does not square it
+    want = np.linalg.lstsq(np.vstack([X, np.eye(X.shape[1]) / tau]), np.concatenate([pdf["y"], np.zeros(X.shape[1])]), rcond=1e-13)[0]
+    fit = bd.linear_with_factors(df, "y", xs("a", "half"), ["v", "u", "w"], tau=tau, tol=1e-12, max_iter=1 if few else 500)
+    assert (fit.iterations == 0) == (few > 0) and fit.n == n
+    got = {(r["factor"], r["level"]): r["effect"] for r in fit.effects.collect()}
+    assert set(got) == set(columns)
+    found = np.concatenate([fit.beta, [got[c] for c in columns]])
+    assert np.allclose(X @ found, X @ want, atol=1e-6)
+    if few or tau < 1e4:
+        assert np.allclose(found, want, atol=1e-5)
+
+
 def test_many_dense_columns(spark):
     """Beyond the width of SQL sums: least squares, logistic, multinomial and area models with 90 columns equal numpy."""
     from arealis.operators import glm
