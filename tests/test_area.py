@@ -205,6 +205,30 @@ def test_beta_model_recovers_simulated_areas(proportions):
     assert abs(fit.beta_mean[1] - 0.6) < 0.25
 
 
+@pytest.mark.parametrize("kind", ["binomial", "beta"])
+def test_points_start_from_one_fit(proportions, monkeypatch, kind):
+    """Few evaluations beyond one per grid point; each point that matters is where it gets alone, and weights leave none out."""
+    df = proportions[0].withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(16)))).coalesce(2).cache()
+    y, n, prior, tau = ("y", "n", "half_cauchy", 1e4) if kind == "binomial" else ("p", "n", "inverse_gamma", 100.0)
+    grid = np.exp(np.linspace(np.log(1e-3), np.log(20.0), 24))
+    visits, sums = [], al._newton_sums
+    monkeypatch.setattr(al, "_newton_sums", lambda fit, kind, beta, s2, nodes: visits.append(len(s2)) or sums(fit, kind, beta, s2, nodes))
+    fit = al.fh_logit_fit(df, kind, y, n, terms(), prior, tau, grid=grid)
+    assert sum(visits) < 3 * len(grid), visits
+    seen = al._fit_table(df.where(f"{y} is not null"), y, n, terms()).cache()
+    best = int(fit.weights.argmax())
+    height = {}
+    for g in {0, best - 2, best - 1, best, best + 1, best + 2}:
+        s = grid[[g]]
+        alone = al.fh_logit_fit(df, kind, y, n, terms(), prior, tau, grid=s)
+        b = alone.beta[0]
+        height[g] = sums(seen, kind, alone.beta, s, 15)[0][0] - 0.5 * b @ b / tau**2 + 0.5 * np.linalg.slogdet(alone.cov[0])[1] + al.log_prior(s, prior)[0] + np.log(s[0])
+        if fit.weights[g] > 1e-12:
+            assert np.allclose(fit.beta[g], b, atol=1e-6) and np.allclose(fit.cov[g], alone.cov[0], rtol=1e-4)
+    for g, h in height.items():
+        assert fit.weights[g] == pytest.approx(fit.weights[best] * np.exp(h - height[best]), rel=1e-4, abs=1e-12)
+
+
 def test_missing_covariate_gives_missing_prediction(spark, proportions):
     df = proportions[0]
     fit, _ = al.fh_binomial(df, "y", "n", terms(), points=5)
