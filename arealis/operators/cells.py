@@ -400,15 +400,31 @@ def row_position(df: DataFrame, keys: Sequence[str], out: str = "position", digi
     buckets; each bucket is numbered on its own and shifted by the sizes of the buckets before it, so no
     task sees the whole table.
     """
-    tagged = df.withColumn("__id", cell_id(*keys)).withColumn("__b", F.substring("__id", 1, digits))
-    sizes = tagged.groupBy("__b").agg(F.count(F.lit(1)).alias("__size"))
+    tagged, sizes = _buckets(df, keys, digits)
     before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__b", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     inside = Window.partitionBy("__b").orderBy("__id")
-    numbered = tagged.withColumn("__rn", F.row_number().over(inside)).join(offsets, "__b")
+    # every bucket has an offset; an inner join would filter one side alone, which could then not share its input with the sizes
+    numbered = tagged.withColumn("__rn", F.row_number().over(inside)).join(offsets, "__b", "left")
     return numbered.withColumn(out, F.col("__rn") + F.col("__offset")).drop("__id", "__b", "__rn", "__offset")
 
 
+def row_total(df: DataFrame, keys: Sequence[str], digits: int = 3) -> Column:
+    """Number of rows as a scalar that a query with :func:`row_position` of the same rows takes from its bucket sizes."""
+    return _buckets(df, keys, digits)[1].agg(F.coalesce(F.sum("__size"), F.lit(0)).alias("n")).select("n").scalar()
+
+
+def _buckets(df: DataFrame, keys: Sequence[str], digits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with identifier and bucket, and the size of every bucket.
+
+    The sizes look at a hash of all columns, so that Spark reads the same columns for both and computes the rows before the
+    last shuffle once.
+    """
+    tagged = df.withColumn("__id", cell_id(*keys)).withColumn("__b", F.substring("__id", 1, digits))
+    counted = tagged.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"), F.max(F.xxhash64(*df.columns)).alias("__seen"))
+    return tagged, counted.select("__b", F.when(F.col("__seen").isNotNull(), F.col("__n")).alias("__size"))
+
+
 def cluster_cells(cells: DataFrame, by: Sequence[str], cell: str, limit: int = 10_000) -> DataFrame:
     """Bring the cells of a group together before they are multiplied by draws.
 
@@ -450,7 +466,7 @@ def sample_rows(df: DataFrame, k: int, key: str, seed: object = 1) -> DataFrame:
     return df.withColumn("__u", uniform(seed, key)).orderBy("__u", key).limit(k).drop("__u")
 
 
-def sample_with_replacement(df: DataFrame, k: int, position: str, total: int, seed: object = 1) -> DataFrame:
+def sample_with_replacement(df: DataFrame, k: int, position: str, total: int | Column, seed: object = 1) -> DataFrame:
     """``k`` rows with replacement from rows numbered 1..total in ``position``; ``pick`` numbers the picks."""
     from arealis.functions.rng import uniform
 

@@ -523,8 +523,9 @@ def sample_rows(spark, d):
     + f"SELECT pick, cell_id, n FROM (SELECT pick, CAST(floor({fx.uniform_sql(9, 'pick')}*(SELECT count(*) FROM p))+1 AS BIGINT) AS position FROM (SELECT unnest(range(1,201)) AS pick)) JOIN p USING (position)",
 )
 def sample_with_replacement(spark, d):
-    rows = ce.row_position(fx.census(spark, d), fx.CELL_KEYS)
-    return ce.sample_with_replacement(rows, 200, "position", rows.count(), seed=9).select("pick", "cell_id", "n")
+    cells = fx.census(spark, d)
+    rows = ce.row_position(cells, fx.CELL_KEYS)
+    return ce.sample_with_replacement(rows, 200, "position", ce.row_total(cells, fx.CELL_KEYS), seed=9).select("pick", "cell_id", "n")
 
 
 @query(

@@ -100,6 +100,26 @@ def test_row_position_does_not_depend_on_partitions(spark, parts):
     assert out == again
 
 
+def test_sample_reads_its_rows_once(spark):
+    """Positions, bucket sizes and the total share what is computed before the cells' shuffle; picks are the rows at their positions."""
+    read = spark.sparkContext.accumulator(0)
+
+    def source(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    rows = spark.range(600, numPartitions=3).select((F.col("id") % 200).alias("k"), F.lit(None).cast("string").alias("g")).mapInPandas(source, "k long, g string")
+    cells = rows.groupBy("k", "g").agg(F.count(F.lit(1)).alias("n"))
+    picked = ce.sample_with_replacement(ce.row_position(cells, ["k", "g"]), 50, "position", ce.row_total(cells, ["k", "g"]), seed=3).select("pick", "position", "k", "n").collect()
+    assert read.value == 600
+    place = {r["k"]: r["position"] for r in ce.row_position(cells, ["k", "g"]).collect()}
+    assert sorted(place.values()) == list(range(1, 201))
+    assert sorted(r["pick"] for r in picked) == list(range(1, 51)) and all(r["position"] == place[r["k"]] and r["n"] == 3 for r in picked)
+    assert len({r["position"] for r in picked}) > 30
+    assert cells.limit(0).select(ce.row_total(cells.where("false"), ["k"])).count() == 0
+
+
 def test_share_within_null_prefix(spark):
     df = spark.createDataFrame([(None, 1), (None, 3), ("a", 2)], "g string, n int")
     got = sorted((str(r["g"]), r["share"]) for r in ce.share_within(df, "n", ["g"]).collect())
