@@ -181,3 +181,37 @@ def test_facets_need_code_lists(spark):
     df = spark.createDataFrame([("a", "1", "2", 0.5)], "depto string, sexo string, foo string, v double")
     with pytest.raises(KeyError):
         geo.facet_table(df.select("depto"), df, "depto", "sexo", "foo", "v")
+
+
+def test_levels_of_packed_values_are_summed_in_one_pass(spark):
+    """Several levels from packed values with gaps equal those of long rows; draws meet at a group as arrays, never as rows."""
+    rows = [(f"c{i}", None if i % 7 == 0 else f"g{i % 3}", f"a{i % 11}", ("1", "2", "99")[i % 3], i % 4 + 1, [None if (i + t) % 6 == 0 else (i * 7 + t) % 11 / 11 for t in range(5)]) for i in range(60)]
+    packed = spark.createDataFrame(rows, "cell_id string, mpio string, segm string, anoest string, n int, value array<double>").repartition(4)
+    levels = [[], ["mpio"], ["segm"], ["mpio", "anoest"]]
+    got, want = ({tuple(r)[:4]: tuple(r)[4:] for r in mrp.mrp_levels(e, levels).collect()} for e in (packed, mrp.long_draws(packed, "value")))
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    plan = mrp.mrp_levels(packed, levels[:3])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("RepartitionByExpression") and "Expand" not in plan
+
+
+def test_packed_income_draws_are_the_long_ones(spark):
+    from arealis.operators import mixed as mx
+
+    rng = np.random.default_rng(3)
+    rows = [(f"g{g}", f"g{g}.{k}", float(k % 2), float(rng.normal() + 0.3 * g)) for g in range(6) for k in range(5)]
+    df = spark.createDataFrame(rows, "g string, cell_id string, x double, y double")
+    xs = {"1": F.lit(1.0), "x": F.col("x")}
+    fit, effects = mx.random_intercept_posterior(df, "y", xs, "g", points=41)
+    cells = df.drop("y").union(spark.createDataFrame([("new", "n.0", 1.0), ("g1", "n.1", None)], "g string, cell_id string, x double"))
+    packed = {r["cell_id"]: r["value"] for r in mx.packed_posterior_draws(cells, fit, effects, xs, "g", "cell_id", 7, seed=4).collect()}
+    long = mx.posterior_epred_draws(cells, fit, effects, xs, "g", "cell_id", 7, seed=4)
+    assert long.columns == ["draw", "cell_id", "g", "value"] and len(packed) == 32 and packed["n.1"] == [None] * 7
+    assert {(r["cell_id"], r["draw"]): r["value"] for r in long.collect()} == {(c, t + 1): v for c, d in packed.items() for t, v in enumerate(d)}
+    z = {r["draw"]: r["z"] for r in spark.range(1, 8).withColumnRenamed("id", "draw").select("draw", normal("u4", "draw", F.lit("new")).alias("z")).collect()}
+    gen = np.random.default_rng(4)
+    at = gen.choice(len(fit.lam), 7, p=fit.weights)
+    s2 = fit.rss[at] / gen.chisquare(fit.free, 7)
+    noise = gen.standard_normal((7, 2))
+    for t in range(7):
+        b = fit.beta[at[t]] + np.linalg.cholesky(s2[t] * fit.inv[at[t]]) @ noise[t]
+        assert packed["n.0"][t] == pytest.approx(b.sum() + np.sqrt(s2[t] * fit.lam[at[t]]) * z[t + 1])
